@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding, topk
+from . import jaccard, mixing, sharding, topk
 
 
 def queries() -> dict:
     return {
         "op1_sharding": sharding.op1_sharding,
+        "op2_jaccard": jaccard.op2_jaccard,
         "op5_topk": topk.op5_topk,
         "op10_mixing": mixing.op10_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": topk.OP5_SQL, "op10_mixing": mixing.op10_sql()}
+    return {"op2_jaccard": jaccard.OP2_SQL, "op5_topk": topk.OP5_SQL, "op10_mixing": mixing.op10_sql()}
