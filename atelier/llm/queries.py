@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, sharding, topk
+from . import jaccard, mixing, quality, sharding, topk
 
 
 def queries() -> dict:
     return {
         "op1_sharding": sharding.op1_sharding,
         "op2_jaccard": jaccard.op2_jaccard,
+        "op3_quality": quality.op3_quality,
         "op5_topk": topk.op5_topk,
         "op10_mixing": mixing.op10_mixing,
     }
