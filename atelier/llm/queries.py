@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, quality, sharding, topk
+from . import jaccard, linededup, mixing, quality, sharding, topk
 
 
 def queries() -> dict:
@@ -11,9 +11,10 @@ def queries() -> dict:
         "op2_jaccard": jaccard.op2_jaccard,
         "op3_quality": quality.op3_quality,
         "op5_topk": topk.op5_topk,
+        "op7_lines": linededup.op7_lines,
         "op10_mixing": mixing.op10_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard": jaccard.OP2_SQL, "op5_topk": topk.OP5_SQL, "op10_mixing": mixing.op10_sql()}
+    return {"op2_jaccard": jaccard.OP2_SQL, "op5_topk": topk.OP5_SQL, "op7_lines": linededup.OP7_SQL, "op10_mixing": mixing.op10_sql()}
