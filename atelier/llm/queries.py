@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, linededup, mixing, quality, sharding, topk
+from . import jaccard, linededup, mixing, pieces, quality, sharding, tokencounts, topk
 
 
 def queries() -> dict:
@@ -10,8 +10,10 @@ def queries() -> dict:
         "op1_sharding": sharding.op1_sharding,
         "op2_jaccard": jaccard.op2_jaccard,
         "op3_quality": quality.op3_quality,
+        "op4_tokencounts": tokencounts.op4_tokencounts,
         "op5_topk": topk.op5_topk,
         "op7_lines": linededup.op7_lines,
+        "op9_pieces": pieces.op9_pieces,
         "op10_mixing": mixing.op10_mixing,
     }
 
