@@ -37,6 +37,10 @@ LARGE = 48
 #: Most entries of the broadcast table of frequent shingles (16 bytes each); the threshold of frequency doubles until they fit.
 FREQUENT_MOST = 1_000_000
 PIVOT_ROUNDS = 2
+#: Points of one part of a family; two parts meet in a task.
+BLOCK = 256
+#: Names of points that are broadcast at most; more are joined by key.
+BROADCAST_ROWS = 500_000
 FLUSH = 2_000_000
 K1, K2 = U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB)
 HEAVY = np.uint32(1 << 31)
@@ -181,37 +185,49 @@ def _regions(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(part), bool)), none, i64(part[:, 0]), none, none, i64(part[:, 1])], names=["hot", "tok", "a", "n", "pos", "b"])
 
 
-def _verify(batches):
-    """Sizes of intersection and union of each pair of texts."""
-    for batch in batches:
-        sets: dict = {}
-        for sid, text in (("ta", "text_a"), ("tb", "text_b")):
-            first = {name: i for i, name in enumerate(batch.column(sid).to_pylist()) if name not in sets}
-            names = list(first)
-            for i, x in shingle_sets(batch.column(text).take(pa.array(first.values(), pa.int64()))):
-                sets[names[i]] = x
-        both, either = [], []
-        for a, b in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
-            x, y = sets[a], sets[b]
-            small, big = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.minimum(np.searchsorted(big, small), len(big) - 1)
-            c = int((big[at] == small).sum())
-            both.append(c)
-            either.append(len(x) + len(y) - c)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("ta"), batch.column("tb"), pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "ta", "tb", "common", "either"])
+def _verify(pairs, texts):
+    """Sizes of intersection and union of each pair of a block; each text of the block is taken apart once."""
+    names, sets = texts["sid"].to_pylist(), {}
+    for i, x in shingle_sets(texts["text"]):
+        sets[names[i]] = x
+    tkey = dict(zip(names, texts["tkey"].to_pylist()))
+    a, b, common, either = pairs["a"].to_pylist(), pairs["b"].to_pylist(), [], []
+    for x, y in zip(a, b):
+        small, big = sorted((sets[x], sets[y]), key=len)
+        at = np.minimum(np.searchsorted(big, small), len(big) - 1)
+        c = int((big[at] == small).sum())
+        common.append(c)
+        either.append(len(small) + len(big) - c)
+    return pa.table({"a": pairs["a"], "b": pairs["b"], "ta": pa.array([tkey[x] for x in a], pa.string()), "tb": pa.array([tkey[y] for y in b], pa.string()), "common": pa.array(common, pa.int64()), "either": pa.array(either, pa.int64())})
 
 
 def verified(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """(a, b, ta, tb, common, either) of the distinct pairs (a, b) of points (sid, tkey), on whole texts (tkey, text)."""
+    """(a, b, ta, tb, common, either) of the distinct pairs (a, b) of points (sid, tkey), on whole texts (tkey, text).
+
+    Pairs are dealt to blocks of at most two times ``BLOCK`` points, mostly one for each family of similar
+    points, so that a text travels once to a block and not once for every pair.
+    """
     pairs = scratch.table(pairs.select("a", "b").distinct(), f"{name}-pairs")
-    need = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    named = scratch.table(points.join(need, "sid", "left_semi").select("sid", "tkey"), f"{name}-points")
-    some = texts.join(named.select("tkey").distinct(), "tkey", "left_semi").groupBy("tkey").agg(F.first("text").alias("text"))
-    held = scratch.table(named.join(some, "tkey"), f"{name}-texts")
-    side = lambda x: held.select(F.col("sid").alias(x), F.col("tkey").alias(f"t{x}"), F.col("text").alias(f"text_{x}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").filter("ta <> tb").select("a", "b", "ta", "tb", "text_a", "text_b")
-    out = scratch.table(joined.repartition(partitions(scratch.spark)).mapInArrow(_verify, "a long, b long, ta string, tb string, common long, either long"), f"{name}-verified")
-    scratch.drop(f"{name}-texts")
+    ends = pairs.select("a", "b").union(pairs.select("b", "a"))
+    family = scratch.table(ends.groupBy(F.col("a").alias("sid")).agg(F.min("b").alias("_m")).select("sid", F.least("sid", "_m").alias("family")), f"{name}-family")
+    side = lambda x: family.select(F.col("sid").alias(x), F.col("family").alias(f"f{x}"))
+    keyed = scratch.table(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.least("fa", "fb").alias("family")), f"{name}-keyed")
+    member = keyed.select("family", F.col("a").alias("sid")).union(keyed.select("family", F.col("b").alias("sid"))).distinct()
+    parts = member.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    part = lambda x: F.pmod(F.xxhash64(x), F.col("parts")).cast("int")
+    dealt = keyed.join(parts, "family").select("a", "b", "family", F.least(part("a"), part("b")).alias("p"), F.greatest(part("a"), part("b")).alias("q"))
+    dealt = scratch.table(dealt, f"{name}-dealt")
+    need = dealt.select("family", "p", "q", F.col("a").alias("sid")).union(dealt.select("family", "p", "q", F.col("b").alias("sid"))).distinct()
+
+    named = scratch.table(points.join(family.select("sid"), "sid", "left_semi").select("sid", "tkey"), f"{name}-points")
+    named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
+    some = texts.join(named.select("tkey"), "tkey", "left_semi").groupBy("tkey").agg(F.first("text").alias("text"))
+    held = scratch.table(some.join(named, "tkey"), f"{name}-texts")
+    sent = need.join(held, "sid").select(F.col("family").alias("f"), F.col("p").alias("fp"), F.col("q").alias("fq"), "sid", "tkey", "text")
+    out = dealt.groupBy("family", "p", "q").cogroup(sent.groupBy("f", "fp", "fq")).applyInArrow(_verify, "a long, b long, ta string, tb string, common long, either long")
+    out = scratch.table(out, f"{name}-verified")
+    for x in ("texts", "keyed", "dealt", "pairs"):
+        scratch.drop(f"{name}-{x}")
     return out
 
 
@@ -287,7 +303,8 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = r"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
       ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS sh FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
