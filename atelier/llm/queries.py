@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, linededup, mixing, pieces, quality, sharding, tokencounts, topk
+from . import jaccard, linededup, mixing, pieces, quality, sharding, tokencounts, topk, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_quality": quality.op3_quality,
         "op4_tokencounts": tokencounts.op4_tokencounts,
         "op5_topk": topk.op5_topk,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op7_lines": linededup.op7_lines,
         "op9_pieces": pieces.op9_pieces,
         "op10_mixing": mixing.op10_mixing,
