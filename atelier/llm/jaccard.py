@@ -201,8 +201,8 @@ def _verify(pairs, texts):
     return pa.table({"a": pairs["a"], "b": pairs["b"], "ta": pa.array([tkey[x] for x in a], pa.string()), "tb": pa.array([tkey[y] for y in b], pa.string()), "common": pa.array(common, pa.int64()), "either": pa.array(either, pa.int64())})
 
 
-def verified(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """(a, b, ta, tb, common, either) of the distinct pairs (a, b) of points (sid, tkey), on whole texts (tkey, text).
+def compared(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataFrame, name: str, compare, schema: str) -> DataFrame:
+    """``compare(pairs, texts)`` over blocks of the distinct pairs (a, b) of points (sid, tkey), with whole texts (tkey, text).
 
     Pairs are dealt to blocks of at most two times ``BLOCK`` points, mostly one for each family of similar
     points, so that a text travels once to a block and not once for every pair.
@@ -224,13 +224,18 @@ def verified(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataF
     some = texts.join(named.select("tkey"), "tkey", "left_semi").groupBy("tkey").agg(F.first("text").alias("text"))
     held = scratch.table(some.join(named, "tkey"), f"{name}-texts")
     sent = need.join(held, "sid").select(F.col("family").alias("f"), F.col("p").alias("fp"), F.col("q").alias("fq"), "sid", "tkey", "text")
-    out = dealt.groupBy("family", "p", "q").cogroup(sent.groupBy("f", "fp", "fq")).applyInArrow(_verify, "a long, b long, ta string, tb string, common long, either long")
+    out = dealt.groupBy("family", "p", "q").cogroup(sent.groupBy("f", "fp", "fq")).applyInArrow(compare, schema)
     out = scratch.table(out, f"{name}-verified")
     for x in ("texts", "keyed", "dealt", "pairs"):
         scratch.drop(f"{name}-{x}")
     return out
 
 
+def verified(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """(a, b, ta, tb, common, either) of the distinct pairs (a, b) of points."""
+    return compared(scratch, pairs, points, texts, name, _verify, "a long, b long, ta string, tb string, common long, either long")
+
+
 LINK = "100 * common >= 80 * either"
 
 

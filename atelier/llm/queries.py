@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, linededup, mixing, pieces, quality, sharding, tokencounts, topk, toxicity
+from . import jaccard, linededup, mixing, pieces, quality, sharding, substrings, tokencounts, topk, toxicity
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_topk": topk.op5_topk,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_lines": linededup.op7_lines,
+        "op8_substrings": substrings.op8_substrings,
         "op9_pieces": pieces.op9_pieces,
         "op10_mixing": mixing.op10_mixing,
     }
