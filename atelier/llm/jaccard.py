@@ -131,12 +131,8 @@ def _postings(n_buckets, frequent):
     return run
 
 
-def possible(na, nb, pa_, pb) -> np.ndarray:
-    """Length and place bounds: what lies before a common shingle in the order is not common."""
-    return (5 * np.minimum(na, nb) >= 4 * np.maximum(na, nb)) & (9 * np.minimum(na - pa_, nb - pb) >= 4 * (na + nb))
-
-
-FOUND = "hot boolean, tok long, a long, n long, pos long, b long"
+FOUND = "hot boolean, tok long, a long, n long, pos long, b long, nb long, shared long, top long"
+NAMES = ["hot", "tok", "a", "n", "pos", "b", "nb", "shared", "top"]
 
 
 def _regions(batches):
@@ -163,7 +159,8 @@ def _regions(batches):
     i64 = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
     for a in range(0, len(at := np.flatnonzero(hot)), 100_000):
         part = at[a : a + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), bool)), i64(tok[part]), i64(sid[part]), i64(n[part]), i64(pos[part]), pa.nulls(len(part), pa.int64())], names=["hot", "tok", "a", "n", "pos", "b"])
+        none = pa.nulls(len(part), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), bool)), i64(tok[part]), i64(sid[part]), i64(n[part]), i64(pos[part]), none, none, none, none], names=NAMES)
     pairs = []
     cold = ~hot[head] & (run > 1)
     for s in np.unique(run[cold]):
@@ -171,18 +168,21 @@ def _regions(batches):
         for i in range(s - 1):
             x = np.repeat(first + i, s - 1 - i)
             y = (first[:, None] + np.arange(i + 1, s)).ravel()
-            ok = possible(n[x], n[y], pos[x], pos[y])
+            ok = 5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y])
             if ok.any():
-                pairs.append(np.stack((sid[x[ok]], sid[y[ok]]), axis=1))
+                x, y = x[ok], y[ok]
+                pairs.append((sid[x], sid[y], n[x], n[y], np.minimum(n[x] - pos[x], n[y] - pos[y])))
     if pairs:
-        both = np.concatenate(pairs)
-        order = np.lexsort((both[:, 1], both[:, 0]))
-        both = both[order]
-        both = both[np.concatenate(([True], (both[1:] != both[:-1]).any(axis=1)))]
-        for a in range(0, len(both), 100_000):
-            part = both[a : a + 100_000]
-            none = pa.nulls(len(part), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(part), bool)), none, i64(part[:, 0]), none, none, i64(part[:, 1])], names=["hot", "tok", "a", "n", "pos", "b"])
+        a, b, na, nb, top = (np.concatenate(c) for c in zip(*pairs))
+        order = np.lexsort((b, a))
+        a, b, na, nb, top = a[order], b[order], na[order], nb[order], top[order]
+        at = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+        shared, top = np.diff(np.append(at, len(a))), np.maximum.reduceat(top, at)
+        a, b, na, nb = a[at], b[at], na[at], nb[at]
+        for lo in range(0, len(a), 100_000):
+            c = slice(lo, lo + 100_000)
+            none = pa.nulls(len(a[c]), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(a[c]), bool)), none, i64(a[c]), i64(na[c]), none, i64(b[c]), i64(nb[c]), i64(shared[c]), i64(top[c])], names=NAMES)
 
 
 def _verify(pairs, texts):
@@ -223,6 +223,7 @@ def compared(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataF
     named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
     some = texts.join(named.select("tkey"), "tkey", "left_semi").groupBy("tkey").agg(F.first("text").alias("text"))
     held = scratch.table(some.join(named, "tkey"), f"{name}-texts")
+    need = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
     sent = need.join(held, "sid").select(F.col("family").alias("f"), F.col("p").alias("fp"), F.col("q").alias("fq"), "sid", "tkey", "text")
     out = dealt.groupBy("family", "p", "q").cogroup(sent.groupBy("f", "fp", "fq")).applyInArrow(compare, schema)
     out = scratch.table(out, f"{name}-verified")
@@ -236,6 +237,9 @@ def verified(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataF
     return compared(scratch, pairs, points, texts, name, _verify, "a long, b long, ta string, tb string, common long, either long")
 
 
+#: Length and place bounds of a pair; a text of n shingles has ceil(0.8 n) - 1 beyond its rarest.
+POSSIBLE = """9 * (shared + least(coalesce(ha, 0), coalesce(hb, 0)) + greatest((4 * na + 4) div 5, (4 * nb + 4) div 5) - 1) >= 4 * (na + nb)
+    and (9 * top >= 4 * (na + nb) or least(coalesce(ha, 0), coalesce(hb, 0)) > 0)"""
 LINK = "100 * common >= 80 * either"
 
 
@@ -263,8 +267,13 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
     blobs = docs.select("text").mapInArrow(_postings(n_buckets, frequent), "bucket int, blob binary").repartition(n_buckets, "bucket")
     found = scratch.table(blobs.mapInArrow(_regions, FOUND), "found")
 
-    small = found.filter("not hot").select("a", "b")
     hot = scratch.table(found.filter("hot").select("tok", F.col("a").alias("sid"), "n", "pos"), "hot")
+    # What two texts have in common: the shared shingles among their rarest (those of large regions at most all),
+    # and no more than one of them has beyond.  Nor more than either has from the first shared one on.
+    hots = hot.groupBy("sid").agg(F.count("*").alias("h"))
+    counted = found.filter("not hot").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("top").alias("top"), F.max("n").alias("na"), F.max("nb").alias("nb"))
+    counted = counted.join(hots.select(F.col("sid").alias("a"), F.col("h").alias("ha")), "a", "left").join(hots.select(F.col("sid").alias("b"), F.col("h").alias("hb")), "b", "left")
+    small = counted.filter(POSSIBLE).select("a", "b")
     # central members first: least share of rarer shingles
     rank = F.struct((F.col("pos") / F.col("n")).alias("share"), F.col("sid"), F.col("n"))
     pivots = hot.groupBy("tok").agg(F.min(rank).alias("p"), F.count("*").alias("members")).filter("members > 1").select("tok", F.col("p.sid").alias("pivot"), F.col("p.n").alias("pn"))
