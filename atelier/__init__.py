@@ -1,0 +1 @@
+"""A Spark-native engine for drawing and specification analytics."""
