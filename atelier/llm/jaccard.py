@@ -213,9 +213,10 @@ def compared(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataF
     side = lambda x: family.select(F.col("sid").alias(x), F.col("family").alias(f"f{x}"))
     keyed = scratch.table(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.least("fa", "fb").alias("family")), f"{name}-keyed")
     member = keyed.select("family", F.col("a").alias("sid")).union(keyed.select("family", F.col("b").alias("sid"))).distinct()
-    parts = member.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    part = lambda x: F.pmod(F.xxhash64(x), F.col("parts")).cast("int")
-    dealt = keyed.join(parts, "family").select("a", "b", "family", F.least(part("a"), part("b")).alias("p"), F.greatest(part("a"), part("b")).alias("q"))
+    parts = scratch.table(member.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).filter("parts > 1"), f"{name}-parts")
+    parts = F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts  # large families only
+    part = lambda x: F.pmod(F.xxhash64(x), F.coalesce("parts", F.lit(1))).cast("int")
+    dealt = keyed.join(parts, "family", "left").select("a", "b", "family", F.least(part("a"), part("b")).alias("p"), F.greatest(part("a"), part("b")).alias("q"))
     dealt = scratch.table(dealt, f"{name}-dealt")
     need = dealt.select("family", "p", "q", F.col("a").alias("sid")).union(dealt.select("family", "p", "q", F.col("b").alias("sid"))).distinct()
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, schema_with
 
 SITES = 5
 LG_K = 10
@@ -101,7 +101,7 @@ def strip_boilerplate(spark: SparkSession, docs: DataFrame, sites: int = SITES,
     docs = docs.drop("n_lines", "n_removed", "left_whole", "_lh")
     hashed = docs.withColumn("_lh", line_hashes())
     known = boilerplate(scratch, hashed.select("source", "_lh"), sites)
-    schema = docs.select("*", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), F.lit(True).alias("left_whole")).schema
+    schema = schema_with(docs, n_lines="bigint", n_removed="bigint", left_whole="boolean")
     at, lh = docs.columns.index("text"), len(docs.columns)
     if known.count() <= broadcast_most:
         table = spark.sparkContext.broadcast(np.sort(known.toArrow()["h"].to_numpy()))

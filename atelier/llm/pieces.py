@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import ship
+from .scratch import schema_with, ship
 from .textkit import U, _power, buffers, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -387,8 +387,7 @@ def encode(docs: DataFrame, path: str = MODEL, text: str = "text", out: str = "i
                 yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(same)], names=[*part.schema.names, out, "round_trip"])
 
     ship(docs.sparkSession)
-    schema = docs.select("*", F.array(F.lit(0)).alias(out), F.lit(True).alias("round_trip")).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema_with(docs, **{out: "array<int>", "round_trip": "boolean"}))
 
 
 def decode(rows: DataFrame, path: str = MODEL, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -409,7 +408,7 @@ def decode(rows: DataFrame, path: str = MODEL, ids: str = "ids", out: str = "tex
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
     ship(rows.sparkSession)
-    return rows.mapInArrow(run, rows.select("*", F.lit("").alias(out)).schema)
+    return rows.mapInArrow(run, schema_with(rows, **{out: "string"}))
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,6 +60,12 @@ class Scratch:
         remove(self.spark, f"{self.root}/{name}")
 
 
+def schema_with(df: DataFrame, **more: str) -> T.StructType:
+    """Schema of ``df`` with further columns; anything may be null."""
+    own = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
+    return T.StructType(own + [T.StructField(k, T.DataType.fromDDL(v), True) for k, v in more.items()])
+
+
 def hadoop(spark: SparkSession, path: str):
     """(file system, path object) of Hadoop's API, which reaches every store that Spark reads."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -17,9 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .scratch import Scratch
+from .scratch import Scratch, schema_with
 
 BUCKET_BYTES = 32 << 20
 
@@ -68,7 +67,7 @@ def external_shuffle(spark: SparkSession, docs: DataFrame, n_shards: int, out: s
         table = table.select(keep).take(pa.array(order))
         return table.append_column("shard", pa.array(shard, pa.int32())).append_column("slot", pa.array(place - cuts[shard], pa.int64()))
 
-    schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in docs.schema.fields), T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
+    schema = schema_with(docs, shard="int", slot="bigint")
     mixed = placed.groupBy("_bucket", "_sub").applyInArrow(shuffle, schema)
     mixed.write.mode("overwrite").option("compression", "zstd").partitionBy("shard").parquet(out)
     return spark.read.schema(schema).parquet(out)

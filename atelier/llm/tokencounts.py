@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, exists, hadoop, ship
+from .scratch import Scratch, exists, hadoop, schema_with, ship
 from .textkit import Words, buffers, spans
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -60,8 +60,7 @@ def count_tokens(docs: DataFrame, path: str = RANKS, text: str = "text") -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(words), pa.array(tokens, pa.int64())], names=[*rest, "n_words", "n_tokens"])
 
     ship(docs.sparkSession)
-    schema = docs.select(*rest, F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_tokens")).schema
-    return docs.select(*rest, text).mapInArrow(run, schema)
+    return docs.select(*rest, text).mapInArrow(run, schema_with(docs.select(*rest), n_words="bigint", n_tokens="bigint"))
 
 
 class TokenRollup:
