@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import Scratch, partitions
-from .textkit import U, mix, shingle_sets
+from .textkit import U, mix, shingle_sets, tidy
 
 #: Regions over this many members recur on document pivots; shingles found in more documents come last in the order of rarity.
 LARGE = 48
@@ -41,7 +41,7 @@ PIVOT_ROUNDS = 2
 BLOCK = 256
 #: Names of points that are broadcast at most; more are joined by key.
 BROADCAST_ROWS = 500_000
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 K1, K2 = U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB)
 HEAVY = np.uint32(1 << 31)
 
@@ -251,7 +251,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
     texts = docs.filter("text is not null").select(F.md5("text").alias("tkey"), "text")
     id_type = dict(docs.dtypes)["doc_id"]
     wide = docs.select(F.col("doc_id").cast("long"), "text", F.md5("text").alias("tkey"))
-    raw = scratch.table(wide.mapInArrow(_profile, "doc_id long, f1 long, f2 long, n long, tkey string, tok long, cnt long"), "profile")
+    raw = scratch.table(wide.mapInArrow(tidy(_profile), "doc_id long, f1 long, f2 long, n long, tkey string, tok long, cnt long"), "profile")
     rows = raw.filter("n is not null").drop("tok", "cnt")
     counts = scratch.table(raw.filter("n is null").groupBy("tok").agg(F.sum("cnt").alias("cnt")).filter(F.col("cnt") > LARGE), "counts")
     least = LARGE
@@ -265,8 +265,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
     points = scratch.table(rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("tkey").alias("tkey"), F.min("doc_id").alias("least_id")), "points")
     sids = points.select(F.col("f1").alias("sid"), "tkey")
     n_buckets = partitions(spark)
-    blobs = docs.select("text").mapInArrow(_postings(n_buckets, frequent), "bucket int, blob binary").repartition(n_buckets, "bucket")
-    found = scratch.table(blobs.mapInArrow(_regions, FOUND), "found")
+    blobs = docs.select("text").mapInArrow(tidy(_postings(n_buckets, frequent)), "bucket int, blob binary").repartition(n_buckets, "bucket")
+    found = scratch.table(blobs.mapInArrow(tidy(_regions), FOUND), "found")
 
     hot = scratch.table(found.filter("hot").select("tok", F.col("a").alias("sid"), "n", "pos"), "hot")
     # What two texts have in common: the shared shingles among their rarest (those of large regions at most all),

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, schema_with
+from .textkit import tidy
 
 SITES = 5
 LG_K = 10
@@ -105,11 +106,11 @@ def strip_boilerplate(spark: SparkSession, docs: DataFrame, sites: int = SITES,
     at, lh = docs.columns.index("text"), len(docs.columns)
     if known.count() <= broadcast_most:
         table = spark.sparkContext.broadcast(np.sort(known.toArrow()["h"].to_numpy()))
-        return hashed.mapInArrow(_strip(at, lh, None, table), schema)
+        return hashed.mapInArrow(tidy(_strip(at, lh, None, table)), schema)
     keyed = hashed.withColumn("_k", F.md5("text"))
     hits = keyed.select("_k", F.explode(F.array_distinct(F.array_compact("_lh"))).alias("h")).distinct().join(known, "h").groupBy("_k").agg(F.collect_list("h").alias("_hit"))
     joined = keyed.join(hits, "_k", "left").select(*docs.columns, "_lh", "_hit")
-    return joined.mapInArrow(_strip(at, lh, lh + 1, None), schema)
+    return joined.mapInArrow(tidy(_strip(at, lh, lh + 1, None)), schema)
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

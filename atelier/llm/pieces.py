@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import schema_with, ship
-from .textkit import U, _power, buffers, mix
+from .textkit import U, _power, buffers, mix, spans, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, BLANK = 1, "▁"
 NONE = np.int32(2**30)
 #: Words of more symbols than this take the streaming walk one by one.
 SHORT = 64
+#: Bytes of text that are encoded at once.
+SLICE = 5 << 19
 _models: dict = {}
 
 
@@ -324,10 +326,14 @@ def encode_column(m: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     head[offs[:-1][full]] = True
     first = np.flatnonzero(head)
     end = np.append(first[1:], len(data))
-    up, down = _power(len(data) + 1)
-    run = np.zeros(len(data) + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * U(0xD6E8FEB86659FD93) * up[:-1], out=run[1:])
-    key = mix((run[end] - run[first]) * down[first] + (end - first).astype(U))
+    key = np.zeros(len(first), U)
+    for a, b in spans(np.append(first, len(data))):  # a mebibyte at a time bounds the memory
+        lo = first[a]
+        part, s, e = data[lo : end[b - 1]], first[a:b] - lo, end[a:b] - lo
+        up, down = _power(len(part) + 1)
+        run = np.zeros(len(part) + 1, U)
+        np.cumsum((part.astype(U) + U(1)) * U(0xD6E8FEB86659FD93) * up[:-1], out=run[1:])
+        key[a:b] = mix((run[e] - run[s]) * down[s] + (e - s).astype(U))
     _, one, which = np.unique(key, return_index=True, return_inverse=True)
     words = data[_gather(first[one], (end - first)[one])]
     word_at = np.concatenate(([0], np.cumsum((end - first)[one])))
@@ -362,6 +368,21 @@ def decode_column(m: Model, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarr
     return out, total - np.searchsorted(lead, total)
 
 
+def comes_back(m: Model, column: pa.Array, ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Whether each text's ids decode to its bytes."""
+    raw, was = buffers(column)
+    same = np.zeros(len(was) - 1, bool)
+    for a, b in spans(was):
+        data, back = decode_column(m, ids[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+        own, at = raw[was[a] : was[b]], was[a : b + 1] - was[a]
+        if np.array_equal(back, at):
+            wrong = np.concatenate(([0], np.cumsum(data != own)))[at]
+            same[a:b] = np.diff(wrong) == 0
+        else:
+            same[a:b] = [data[back[i] : back[i + 1]].tobytes() == own[at[i] : at[i + 1]].tobytes() for i in range(b - a)]
+    return same
+
+
 def encode(docs: DataFrame, path: str = MODEL, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the ids of its texts and whether they decode to the same bytes (``round_trip``)."""
     docs = docs.drop(out, "round_trip")
@@ -370,24 +391,17 @@ def encode(docs: DataFrame, path: str = MODEL, text: str = "text", out: str = "i
     def run(batches):
         m = model(path)
         for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                part = batch.slice(a, 2000)
+            for a, b in spans(buffers(batch.column(at))[1], SLICE):
+                part = batch.slice(a, b - a)
                 column = part.column(at)
                 ids, offs = encode_column(m, column)
-                data, back = decode_column(m, ids, offs)
-                raw, was = buffers(column)
-                same = np.diff(back) == np.diff(was)
-                if same.all():
-                    wrong = np.concatenate(([0], np.cumsum(data != raw)))[was]
-                    same &= np.diff(wrong) == 0
-                else:
-                    same &= [data[back[i] : back[i + 1]].tobytes() == raw[was[i] : was[i + 1]].tobytes() for i in range(part.num_rows)]
+                same = comes_back(m, column, ids, offs)
                 null = column.is_null().to_numpy(zero_copy_only=False)
                 lists = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids), mask=pa.array(null) if null.any() else None)
                 yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(same)], names=[*part.schema.names, out, "round_trip"])
 
     ship(docs.sparkSession)
-    return docs.mapInArrow(run, schema_with(docs, **{out: "array<int>", "round_trip": "boolean"}))
+    return docs.mapInArrow(tidy(run), schema_with(docs, **{out: "array<int>", "round_trip": "boolean"}))
 
 
 def decode(rows: DataFrame, path: str = MODEL, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -408,7 +422,7 @@ def decode(rows: DataFrame, path: str = MODEL, ids: str = "ids", out: str = "tex
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
     ship(rows.sparkSession)
-    return rows.mapInArrow(run, schema_with(rows, **{out: "string"}))
+    return rows.mapInArrow(tidy(run), schema_with(rows, **{out: "string"}))
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, schema_with, ship
-from .textkit import Words, buffers, spans, windows
+from .textkit import Words, buffers, spans, tidy, windows
 
 LEARN_ROWS = 20_000
 SEED = 11
@@ -101,7 +101,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[k]) for k in names)], names=[*batch.schema.names, *names])
 
     ship(docs.sparkSession)
-    return docs.mapInArrow(run, schema_with(docs, **dict.fromkeys(names, "bigint")))
+    return docs.mapInArrow(tidy(run), schema_with(docs, **dict.fromkeys(names, "bigint")))
 
 
 BASE_FAILED = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"

@@ -26,9 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Rows of an Arrow batch, where the session has Spark's own default: whole texts come in a batch, and a batch is held on both sides.
+BATCH_ROWS = "2000"
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per Spark context."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if getattr(sc, "_atelier_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]

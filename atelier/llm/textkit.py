@@ -6,6 +6,8 @@ runs of code points other than those.  Hashes are 64-bit and the same in every p
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +26,28 @@ STEP = U(0xD6E8FEB86659FD93)
 _powers: dict[str, np.ndarray] = {}
 
 
+def release() -> None:
+    """Give freed memory back, so that a worker that waits for its next task doesn't hold it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run):
+    """A function over batches that gives its memory back at the end of its partition."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of 64-bit hashes (splitmix's constants)."""
     x = x ^ (x >> U(30))

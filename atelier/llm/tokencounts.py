@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, exists, hadoop, schema_with, ship
-from .textkit import Words, buffers, spans
+from .textkit import Words, buffers, spans, tidy
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splits a text before merges; part of the vocabulary's definition.
@@ -60,7 +60,7 @@ def count_tokens(docs: DataFrame, path: str = RANKS, text: str = "text") -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(words), pa.array(tokens, pa.int64())], names=[*rest, "n_words", "n_tokens"])
 
     ship(docs.sparkSession)
-    return docs.select(*rest, text).mapInArrow(run, schema_with(docs.select(*rest), n_words="bigint", n_tokens="bigint"))
+    return docs.select(*rest, text).mapInArrow(tidy(run), schema_with(docs.select(*rest), n_words="bigint", n_tokens="bigint"))
 
 
 class TokenRollup:
