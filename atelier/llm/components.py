@@ -27,3 +27,15 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         labels = labels.select("node", "label")
         if not changed:
             return labels
+
+
+def extended(scratch: Scratch, labels: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """``labels`` after further edges: the edges are drawn between components, so only what they join is walked again."""
+    of = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}"))
+    drawn = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+    drawn = scratch.table(drawn, f"{name}-drawn")
+    up = components(scratch, drawn.filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")), name)
+    fresh = drawn.select(F.col("a").alias("node"), F.col("la").alias("label")).union(drawn.select("b", "lb")).distinct()
+    every = labels.unionByName(fresh.join(labels.select("node"), "node", "left_anti"))
+    moved = every.join(up.select(F.col("node").alias("label"), F.col("label").alias("_up")), "label", "left")
+    return scratch.table(moved.select("node", F.coalesce("_up", "label").alias("label")), f"{name}-labels")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, extended
 from .scratch import Scratch, partitions
 from .textkit import U, mix, shingle_sets, tidy
 
@@ -190,7 +190,6 @@ def _verify(pairs, texts):
     names, sets = texts["sid"].to_pylist(), {}
     for i, x in shingle_sets(texts["text"]):
         sets[names[i]] = x
-    tkey = dict(zip(names, texts["tkey"].to_pylist()))
     a, b, common, either = pairs["a"].to_pylist(), pairs["b"].to_pylist(), [], []
     for x, y in zip(a, b):
         small, big = sorted((sets[x], sets[y]), key=len)
@@ -198,7 +197,7 @@ def _verify(pairs, texts):
         c = int((big[at] == small).sum())
         common.append(c)
         either.append(len(small) + len(big) - c)
-    return pa.table({"a": pairs["a"], "b": pairs["b"], "ta": pa.array([tkey[x] for x in a], pa.string()), "tb": pa.array([tkey[y] for y in b], pa.string()), "common": pa.array(common, pa.int64()), "either": pa.array(either, pa.int64())})
+    return pa.table({"a": pairs["a"], "b": pairs["b"], "common": pa.array(common, pa.int64()), "either": pa.array(either, pa.int64())})
 
 
 def compared(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataFrame, name: str, compare, schema: str) -> DataFrame:
@@ -225,7 +224,7 @@ def compared(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataF
     some = texts.join(named.select("tkey"), "tkey", "left_semi").groupBy("tkey").agg(F.first("text").alias("text"))
     held = scratch.table(some.join(named, "tkey"), f"{name}-texts")
     need = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
-    sent = need.join(held, "sid").select(F.col("family").alias("f"), F.col("p").alias("fp"), F.col("q").alias("fq"), "sid", "tkey", "text")
+    sent = need.join(held, "sid").select(F.col("family").alias("f"), F.col("p").alias("fp"), F.col("q").alias("fq"), "sid", "text")
     out = dealt.groupBy("family", "p", "q").cogroup(sent.groupBy("f", "fp", "fq")).applyInArrow(compare, schema)
     out = scratch.table(out, f"{name}-verified")
     for x in ("texts", "keyed", "dealt", "pairs"):
@@ -234,8 +233,8 @@ def compared(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataF
 
 
 def verified(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """(a, b, ta, tb, common, either) of the distinct pairs (a, b) of points."""
-    return compared(scratch, pairs, points, texts, name, _verify, "a long, b long, ta string, tb string, common long, either long")
+    """(a, b, common, either) of the distinct pairs (a, b) of points."""
+    return compared(scratch, pairs, points, texts, name, _verify, "a long, b long, common long, either long")
 
 
 #: Length and place bounds of a pair; a text of n shingles has ceil(0.8 n) - 1 beyond its rarest.
@@ -280,12 +279,11 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
     pivots = hot.groupBy("tok").agg(F.min(rank).alias("p"), F.count("*").alias("members")).filter("members > 1").select("tok", F.col("p.sid").alias("pivot"), F.col("p.n").alias("pn"))
     star = hot.join(pivots, "tok").filter("sid <> pivot and 5 * least(n, pn) >= 4 * greatest(n, pn)").select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
     checked = verified(scratch, small.unionByName(star), sids, texts, "first")
-    links = checked.filter(LINK).select(F.col("ta").alias("a"), F.col("tb").alias("b"))
-    labels = components(scratch, links, "cc0")
+    labels = components(scratch, checked.filter(LINK).select("a", "b"), "cc0")
     for k in range(1, PIVOT_ROUNDS + 1):
         if not hot.limit(1).count():
             break
-        label_of = scratch.table(sids.join(hot.select("sid").distinct(), "sid", "left_semi").join(labels.withColumnRenamed("node", "tkey"), "tkey", "left").select("sid", F.coalesce("label", "tkey").alias("label")), f"labels-{k}")
+        label_of = scratch.table(hot.select("sid").distinct().join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", F.coalesce("label", "sid").alias("label")), f"labels-{k}")
         member = hot.join(label_of, "sid")
         if k < PIVOT_ROUNDS:  # the next pivot: the most central member outside the last one's component
             lead = member.groupBy("tok").agg(F.min(F.struct((F.col("pos") / F.col("n")).alias("share"), F.col("sid"), F.col("label"))).alias("p")).select("tok", F.col("p.label").alias("lead"))
@@ -301,10 +299,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
             more = x.join(y, "tok").filter(bounds).select("a", "b")
         again = verified(scratch, more.join(checked.select("a", "b"), ["a", "b"], "left_anti"), sids, texts, f"again-{k}")
         checked = checked.unionByName(again)
-        links = links.unionByName(again.filter(LINK).select(F.col("ta").alias("a"), F.col("tb").alias("b")))
-        labels = components(scratch, links, f"cc{k}")
+        labels = extended(scratch, labels, again.filter(LINK).select("a", "b"), f"cc{k}")
 
-    least_id = points.join(labels.withColumnRenamed("node", "tkey"), "tkey", "left").withColumn("label", F.coalesce("label", "tkey"))
+    least_id = points.join(labels.withColumnRenamed("node", "f1"), "f1", "left").withColumn("label", F.coalesce("label", "f1"))
     named = least_id.groupBy("label").agg(F.min("least_id").alias("component_id"))
     final = scratch.table(least_id.join(named, "label").select("f1", "f2", "component_id"), "final")
     full = rows.filter("n > 0").join(final, ["f1", "f2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
