@@ -33,14 +33,14 @@ def multi_slice_counts(t):
 _CONF = "greatest(0.1, least(1.0, CASE WHEN source = 'src0' THEN 0.85 WHEN source = 'src1' THEN 0.9 WHEN quality IS NOT NULL THEN 0.8 ELSE 0.6 END * CASE WHEN n_chars >= 2000 THEN 1.0 WHEN n_chars >= 1000 THEN 0.85 WHEN n_chars >= 500 THEN 0.7 ELSE 0.3 END * (1.0 - CASE WHEN toxic IS NULL THEN 0.1 ELSE 0 END)))"
 
 
-@query(f"SELECT lang, round(avg(v), 3)::DOUBLE AS mean, count(*) FILTER (v >= 0.8) AS high, count(*) FILTER (v >= 0.5 AND v < 0.8) AS medium, count(*) FILTER (v < 0.5) AS low FROM (SELECT lang, round({_CONF}, 3)::DOUBLE AS v FROM documents LEFT JOIN labels USING (doc_id)) GROUP BY 1")
+@query(f"SELECT lang, round(avg(v), 6)::DOUBLE AS mean, count(*) FILTER (v >= 0.8) AS high, count(*) FILTER (v >= 0.5 AND v < 0.8) AS medium, count(*) FILTER (v < 0.5) AS low FROM (SELECT lang, round_even({_CONF}, 3)::DOUBLE AS v FROM documents LEFT JOIN labels USING (doc_id)) GROUP BY 1")
 def confidence_buckets(t):
     rows = t.documents.select("doc_id", "lang", "source", "n_chars").join(t.labels, "doc_id", "left")
     method = F.when(c("source") == "src0", "ocr").when(c("source") == "src1", "table").when(c("quality").isNotNull(), "cross_ref").otherwise("inferred")
     pages = F.when(c("n_chars") >= 2000, 3).when(c("n_chars") >= 1000, 2).when(c("n_chars") >= 500, 1).otherwise(0)
     v = scores.room_confidence(method, pages, c("toxic").isNotNull(), F.lit(True), F.lit(True))
     rows = rows.select("lang", v.alias("v"))
-    return rows.groupBy("lang").agg(F.round(F.avg("v"), 3).alias("mean"), F.count_if(c("v") >= 0.8).alias("high"), F.count_if((c("v") >= 0.5) & (c("v") < 0.8)).alias("medium"), F.count_if(c("v") < 0.5).alias("low"))
+    return rows.groupBy("lang").agg(F.round(F.avg("v"), 6).alias("mean"), F.count_if(c("v") >= 0.8).alias("high"), F.count_if((c("v") >= 0.5) & (c("v") < 0.8)).alias("medium"), F.count_if(c("v") < 0.5).alias("low"))
 
 
 @query("""SELECT event_id, severity, type FROM (SELECT event_id, 'error' AS severity, 'low' AS type FROM events WHERE value < 10 UNION ALL SELECT event_id, 'warning', 'low' FROM events WHERE value >= 10 AND value < 30 UNION ALL SELECT event_id, 'error', 'kind' FROM events WHERE event_type = 'error' UNION ALL SELECT event_id, 'warning', 'no_props' FROM events WHERE props IS NULL OR props = '{}')""")

@@ -9,14 +9,19 @@ from ..plans import detect
 from ..sources import files
 
 
+def _timed(events: DataFrame) -> DataFrame:
+    """Event time as a point in time; one without a zone is taken in the session's."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def windowed(events: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """Count and sum of each kind in tumbling windows; rows later than ``late`` are left out when streaming."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
+    return _timed(events).withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Sessions of each user: events no further apart than ``gap``."""
-    return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("stop"), "user_id", "n")
+    return _timed(events).withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("stop"), "user_id", "n")
 
 
 def detect_stream(spark: SparkSession, folder: str, out: str, checkpoint: str):
