@@ -157,3 +157,54 @@ def test_streams(spark, tmp_path):
     (tmp_path / "land" / "a.json").write_text('{"source": "a", "page": 1, "texts": [{"text": "101", "bbox": {"x0": 0, "y0": 0, "x1": 9, "y1": 9}}]}')
     streams.detect_stream(spark, f"file://{tmp_path}/land", f"file://{tmp_path}/out", f"file://{tmp_path}/cp").awaitTermination()
     assert [r.number for r in spark.read.parquet(f"file://{tmp_path}/out").collect()] == ["101"]
+
+
+def test_rooms_on_pages(spark):
+    from atelier.plans import locate
+
+    spans = blocks(spark, [("A-101", 100, 100), ("CLASSE", 100, 130), ("102", 500, 500), ("CLASSE", 2000, 2000), ("B.201", 900, 900)])
+    rooms = spark.createDataFrame([("A-101", "classe", "d", 12, 2.0), ("A-102", "corridor", "d", 12, 1.0), ("A-B-201", "gym", "d", 12, 1.0), ("A-999", "x", "d", 12, 1.0)], "id string, name string, doc string, page int, scale double")
+    got = {r.id: (r.named, r.box.x0, r.box.y1) for r in locate.on_page(rooms, spans).collect()}
+    assert got == {"A-101": (True, 170.0, 310.0), "A-102": (False, 470.0, 540.0), "A-B-201": (False, 870.0, 940.0)}
+    words = spark.createDataFrame([(3, "A-102", 80.0, 10.0, 10.0, 20.0, 20.0), (3, "102", 90.0, 500.0, 500.0, 510.0, 510.0), (3, "101", 10.0, 1.0, 1.0, 2.0, 2.0)], "page int, text string, conf double, x0 double, y0 double, x1 double, y1 double")
+    boxes = {r.id: r for r in locate.from_words(words, spark.createDataFrame([("A-102", 3), ("A-101", 3)], "id string, page int"), 1000.0, 800.0).collect()}
+    assert boxes["A-102"].confidence == 0.9 and boxes["A-102"].box.x0 == 465.0 and boxes["A-101"].fallback and boxes["A-101"].box.x1 == 900.0
+    plans = spark.createDataFrame([(12, "A-150", "RDC", True)], "page int, plan_id string, description string, preferred boolean")
+    assert [(r.page, r.plan_id) for r in locate.sightings("A-101", spans, plans).collect()] == [(12, "A-150")]
+    floors = spark.createDataFrame([("A", 1, 8), ("A", 1, 8), ("A", 1, 9), ("B", 1, 5), ("B", 1, 4)], "block string, floor int, page int")
+    assert {(r.block, r.page) for r in locate.floor_pages(floors).collect()} == {("A", 8), ("B", 4)}
+    many = spark.createDataFrame([(f"A-{i}", "A" if i < 90 else "B") for i in range(100)], "id string, block string")
+    picked = locate.sampled_rooms(many, many.filter("id <> 'A-0'")).collect()
+    assert len(picked) == 30 and sum(r.block == "B" for r in picked) >= 3 and all(r.id != "A-0" for r in picked)
+    assert [r[0] for r in spark.createDataFrame([("Arch/a.png",), ("a.png",)], "p string").select(locate.discipline(c("p"))).collect()] == ["arch", "autre"]
+
+
+def test_books(spark):
+    from atelier.plans import books
+
+    ddl = "doc string, page int, ord int, text string, x0 double, y0 double, size double, bold boolean"
+    rows = [("SECTION 09 91 00", 14.0, True), ("Peinturage des locaux", 10.0, False), ("Sous-titre", 12.0, False), ("voir local 101 et classe 204, plan B-205", 10.0, False), ("norme CSA-A371 et ASTM C979", 10.0, False), ("isolation du local 305", 10.0, False)]
+    b = spark.createDataFrame([("d", 1, i, t, 0.0, 10.0 * i, s, bold) for i, (t, s, bold) in enumerate(rows)], ddl)
+    heads = books.titled_sections(b, ["doc"]).orderBy("section").collect()
+    assert [(h.title, h.level, h.code) for h in heads] == [("SECTION 09 91 00", 1, "09 91 00"), ("Sous-titre", 2, None)] and heads[0].content == "Peinturage des locaux" and heads[1].parent == heads[0].section
+    assert {r.room_ref for r in books.room_references(b, ["doc"]).collect()} == {"101", "204", "B-205", "305"}
+    assert {r.room_ref for r in books.room_references(b, ["doc"], whole_words=False).collect()} == {"101", "204", "B-205"}
+    h = spark.createDataFrame([("d", 0, 3), ("d", 1, 7)], "doc string, ord int, page int")
+    assert [r.end_page for r in books.section_ends(h, ["doc"], 20).orderBy("ord").collect()] == [7, 20]
+    assert spark.createDataFrame([("Devis\n12\nbody\nPage 3 of 9",)], "t string").select(books.clean_page(c("t"), ["Devis"])).first()[0] == "body"
+    chunks = spark.createDataFrame([("k1", "peinture du A-101", "09 91 00", "Peinture"), ("k2", "autre", "09 91 00", "Peinture"), ("k3", "local 102", "09 30 13", "Céramique")], "id string, text string, code string, title string")
+    rooms = spark.createDataFrame([("A-101", "CLASSE"), ("A-102", "WC")], "id string, type string")
+    related = books.chunk_rooms(chunks, rooms)
+    assert {(r.chunk_id, r.room_id) for r in related.collect()} == {("k1", "A-101"), ("k3", "A-102")}
+    need = spark.createDataFrame([("CLASSE", "09 91 00")], "type string, code string")
+    assert [(r.chunk_id, r.room_id) for r in books.required_chunks(rooms, chunks, need, related).collect()] == [("k2", "A-101")]
+    assert {(r.code, r.n_chunks, tuple(r.rooms)) for r in books.section_index(chunks, related).collect()} == {("09 91 00", 2, ("A-101",)), ("09 30 13", 1, ("A-102",))}
+    assert {(r.room_ref, tuple(r.codes)) for r in books.local_index(spark.createDataFrame([("1", ["a", "b"]), ("2", ["a"])], "code string, locals array<string>")).collect()} == {("a", ("1", "2")), ("b", ("1",))}
+    photos = spark.createDataFrame([("p1", "local 101", None, None), ("p2", None, "A-102", None), ("p3", "nothing", None, 50.0), ("p4", None, None, None), ("p5", None, None, 900.0)], "photo_id string, notes string, seen string, metres double")
+    links = spark.createDataFrame([("p4", "A-101")], "photo_id string, room_id string")
+    assert {(r.photo_id, r.room_id, r.method) for r in books.photos(photos, rooms, links).collect()} == {("p1", "A-101", "notes"), ("p2", "A-102", "seen"), ("p3", None, "site"), ("p4", "A-101", "manual"), ("p5", None, "none")}
+    log = spark.createDataFrame([("d", "intro\n## 2025-01-02 visite\n- Local: A-101\n- Note: mur fini\n## 2025-01-03\nType: photo\n")], "doc string, text string")
+    assert [(r.day, r.room, r.kind, r.note) for r in books.activities(log).orderBy("n").collect()] == [("2025-01-02", "A-101", None, "mur fini"), ("2025-01-03", None, "photo", None)]
+    v = books.validated(spark.createDataFrame([("A", 0.5), ("B", 0.5), ("C", 0.5)], "id string, confidence double"), spark.createDataFrame([("A", "confirmed", None), ("B", "corrected", "B2")], "id string, verdict string, new_id string"))
+    assert {(r.id, r.confidence, r.original_id) for r in v.collect()} == {("A", 0.95, None), ("B2", 0.9, "B"), ("C", 0.5, None)}
+    assert [r[0] for r in spark.createDataFrame([("A-101",), ("A-150",), ("12",)], "r string").select(books.valid_local(c("r"))).collect()] == [True, False, False]
