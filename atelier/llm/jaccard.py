@@ -304,6 +304,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
     least_id = points.join(labels.withColumnRenamed("node", "f1"), "f1", "left").withColumn("label", F.coalesce("label", "f1"))
     named = least_id.groupBy("label").agg(F.min("least_id").alias("component_id"))
     final = scratch.table(least_id.join(named, "label").select("f1", "f2", "component_id"), "final")
+    scratch.sweep("profile", "final")
     full = rows.filter("n > 0").join(final, ["f1", "f2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     none = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.unionByName(none).withColumns({c: F.col(c).cast(id_type) for c in ("doc_id", "component_id")})

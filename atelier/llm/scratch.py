@@ -65,6 +65,13 @@ class Scratch:
     def drop(self, name: str) -> None:
         remove(self.spark, f"{self.root}/{name}")
 
+    def sweep(self, *keep: str) -> None:
+        """Remove all tables of the run but those that its result still reads."""
+        fs, at = hadoop(self.spark, self.root)
+        for s in fs.listStatus(at) if fs.exists(at) else []:
+            if s.getPath().getName() not in keep:
+                fs.delete(s.getPath(), True)
+
 
 def schema_with(df: DataFrame, **more: str) -> T.StructType:
     """Schema of ``df`` with further columns; anything may be null."""
