@@ -36,10 +36,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that repeat that doc_id are one document: one of them stays.  A document without words groups with nothing;
     one without a doc_id stays if nothing in its group has one.
     """
+    scratch = Scratch(spark, "near")
     groups = jaccard.jaccard_components(spark, docs).select("doc_id", "component_id")
-    chosen = groups.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.filter("doc_id is null").unionByName(kept.filter("doc_id is not null").dropDuplicates(["doc_id"])).select(*COLUMNS)
+    ids = groups.groupBy("doc_id").agg(F.bool_or(F.expr("doc_id <=> component_id")).alias("stays"), (F.count("*") > 1).alias("repeated"))
+    # only ids that go or repeat are looked up, so that texts stay where they are
+    marked = scratch.table(ids.filter("not stays or repeated").select(F.col("doc_id").alias("_id"), "stays", "repeated"), "marked")
+    side = F.broadcast(marked) if marked.count() <= jaccard.BROADCAST_ROWS else marked
+    kept = docs.join(side, F.col("doc_id").eqNullSafe(F.col("_id")), "left").filter("coalesce(stays, true)")
+    one = kept.filter("repeated and doc_id is not null").dropDuplicates(["doc_id"])
+    return kept.filter("not coalesce(repeated, false) or doc_id is null").unionByName(one).select(*COLUMNS)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
