@@ -45,7 +45,8 @@ def boilerplate(scratch: Scratch, docs: DataFrame, sites: int = SITES) -> DataFr
     """(h): hashes of the lines on at least ``sites`` distinct sources."""
     site = F.xxhash64(F.coalesce(F.concat(F.lit("="), "source"), F.lit("none")))
     hashes = docs.select(site.alias("site"), F.array_distinct(F.array_compact("_lh")).alias("hs"))
-    lines = scratch.table(hashes.select("site", F.explode("hs").alias("h")), "lines")
+    # a row for each line and site, however many documents hold it: combined before the shuffle
+    lines = scratch.table(hashes.select("site", F.explode("hs").alias("h")).distinct(), "lines")
     # more than one site: a plain aggregate that leaves few lines to sketch
     spread = lines.groupBy("h").agg(F.min("site").alias("lo"), F.max("site").alias("hi")).filter("lo <> hi").select("h")
     wide = lines.join(spread, "h", "left_semi")
@@ -53,7 +54,7 @@ def boilerplate(scratch: Scratch, docs: DataFrame, sites: int = SITES) -> DataFr
     judged = scratch.table(sketched.select("h", F.hll_sketch_estimate("sketch").alias("n")), "estimates")
     sure = judged.filter(F.col("n") >= sites * BAND[1]).select("h")
     near = judged.filter((F.col("n") >= sites * BAND[0]) & (F.col("n") < sites * BAND[1])).select("h")
-    exact = lines.join(near, "h", "left_semi").distinct().groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= sites).select("h")
+    exact = lines.join(near, "h", "left_semi").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= sites).select("h")
     return scratch.table(sure.unionByName(exact), "boilerplate")
 
 
