@@ -65,7 +65,6 @@ def stratified(df: DataFrame, stratum: str, key: str, size: int, least: int = 3,
     """A proportional sample of each stratum, ``least`` rows at least; which rows is settled by a hash of the key and seed."""
     order = order or [F.xxhash64(F.col(key), F.lit(seed)), key]
     counts = df.groupBy(stratum).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*").alias("_all"))
-    quota = counts.crossJoin(F.broadcast(total)).withColumn("_quota", F.greatest(F.lit(least), F.floor(F.col("_n") * size / F.col("_all"))))  # one row on the right
+    quota = counts.withColumn("_quota", F.greatest(F.lit(least), F.floor(F.col("_n") * size / F.lit(max(1, df.count())))))
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy(*order))
     return df.join(quota.select(stratum, "_quota"), stratum).withColumn("_rank", rank).filter("_rank <= _quota").drop("_rank", "_quota")
