@@ -44,7 +44,8 @@ def topic(text: str = "text", n: str = "n_tokens") -> F.Column:
 def tempered(cells: DataFrame, dim: str, alpha: float = ALPHA) -> DataFrame:
     """Targets for one dimension: token shares to the power alpha, scaled to one."""
     sums = cells.groupBy(dim).agg(F.pow(F.sum("w"), F.lit(alpha)).alias("t"))
-    return sums.crossJoin(F.broadcast(sums.agg(F.sum("t").alias("t_all")))).select(dim, (F.col("t") / F.col("t_all")).alias(f"target_{dim}"))  # one row on the right
+    every = sums.agg(F.sum("t")).first()[0] or 1.0  # one number
+    return sums.select(dim, (F.col("t") / F.lit(every)).alias(f"target_{dim}"))
 
 
 def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -63,14 +64,14 @@ def fit_cells(spark: SparkSession, scratch: Scratch, docs: DataFrame, targets: d
     n = cells.count()
     small = n <= SMALL_CELLS
     base = cells.coalesce(1) if small else cells
-    full = base.crossJoin(F.broadcast(cells.agg(F.sum("w").alias("total"))))
+    full = base.withColumn("total", F.lit(float(cells.agg(F.sum("w")).first()[0] or 0.0)))
     for dim in DIMS:
         side = ((targets or {}).get(dim) or tempered(cells, dim)).withColumnRenamed(dim, "_k")
         side = F.broadcast(side) if small else side
         full = full.join(side, F.col(dim).eqNullSafe(F.col("_k")), "left").drop("_k").fillna(0.0, [f"target_{dim}"])
     fitted = scratch.table(rake(full, rounds).select(*DIMS, "w", F.when(F.col("w") > 0, F.col("fit") / F.col("w")).otherwise(1.0).alias("factor")), "fitted")
-    top = fitted.agg(F.greatest(F.max("factor"), F.lit(1e-300)).alias("top"))
-    return fitted.crossJoin(F.broadcast(top)).select(*DIMS, "factor", (F.col("factor") / F.col("top")).alias("prob")), n
+    top = max(fitted.agg(F.max("factor")).first()[0] or 0.0, 1e-300)
+    return fitted.select(*DIMS, "factor", (F.col("factor") / F.lit(top)).alias("prob")), n
 
 
 def unit(seed: int = SEED, key: str = "doc_id") -> F.Column:
