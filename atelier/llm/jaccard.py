@@ -57,7 +57,7 @@ def _profile(batches):
 
     def counts():
         tok, n = np.unique(np.concatenate(held), return_counts=True)
-        tok, n = tok[n >= 4], n[n >= 4]
+        tok, n = tok[n >= 2], n[n >= 2]
         none = pa.nulls(len(tok), pa.int64())
         return pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(tok), pa.string()), pa.array(tok.view(np.int64)), pa.array(n.astype(np.int64))], names=["doc_id", "f1", "f2", "n", "tkey", "tok", "cnt"])
 
