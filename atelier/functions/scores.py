@@ -24,10 +24,10 @@ def page_scores(text: Column) -> Column:
         low, out = x["low"], []
 
         def count(acc, e):
-            return acc + F.floor((F.length(low) - F.length(F.replace(low, e["w"], F.lit("")))) / e["n"]).cast("int") * e["k"]
+            return acc + F.when(F.contains(low, e["w"]), F.floor((F.octet_length(low) - F.octet_length(F.replace(low, e["w"], F.lit("")))) / e["n"]).cast("int") * e["k"]).otherwise(0)
 
         for name, words in fixed.PAGE_WORDS.items():
-            table = F.array(*(F.struct(F.lit(w).alias("w"), F.lit(len(w)).alias("n"), F.lit(k).alias("k")) for w, k in words.items()))
+            table = F.array(*(F.struct(F.lit(w).alias("w"), F.lit(len(w.encode())).alias("n"), F.lit(k).alias("k")) for w, k in words.items()))
             score = F.aggregate(table, F.lit(0), count)
             out.append((score + F.least(x["numbers"] * fixed.NUMBER_WEIGHT, F.lit(fixed.NUMBER_MOST)) if name == "PLAN" else score).alias(name))
         return F.struct(*out)
