@@ -4,6 +4,10 @@ Token counts are summed to cells of (source, language, topic).  Raking scales th
 totals match the target of every source, language and topic; the factor of a cell, over the largest
 factor, is the probability with which its documents are kept.
 
+With a stated ``share`` the probability is min(1, c * factor) instead, c such that this share of all tokens is
+expected: then a small cell of a high factor is kept whole and doesn't set the rate of all others.  Cells at 1
+fall short of their targets by what c * factor has beyond 1.
+
 Defined results: a null in source or language is a value of its own; a null or empty text has no
 tokens and topic ``empty``, and where a cell holds no tokens its factor is the mean of 1; ties and
 repeated rows are kept or left together, since the draw depends on doc_id and seed; a null doc_id
@@ -58,7 +62,20 @@ def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return out
 
 
-def fit_cells(spark: SparkSession, scratch: Scratch, docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS) -> tuple[DataFrame, int]:
+def scale(fitted: DataFrame, share: float) -> float:
+    """The c at which the cells' tokens times min(1, c * factor) come to ``share`` of all.  It grows until no further cell meets 1."""
+    c, capped = 0.0, -1
+    while True:
+        full = F.col("factor") * F.lit(c) >= 1
+        n, held, rest, total = fitted.agg(F.count_if(full), F.sum(F.when(full, F.col("w"))), F.sum(F.when(~full, F.col("w") * F.col("factor"))), F.sum("w")).first()
+        if not total:
+            return share
+        if n == capped or not rest:
+            return c
+        c, capped = max(c, (share * total - (held or 0.0)) / rest), n
+
+
+def fit_cells(spark: SparkSession, scratch: Scratch, docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, share: float | None = None) -> tuple[DataFrame, int]:
     """Cells with factor and probability, and their number.  targets: {dimension: (dimension, target_<dimension>)}."""
     cells = scratch.table(docs.groupBy(*DIMS).agg(F.sum("n_tokens").cast("double").alias("w")), "cells")
     n = cells.count()
@@ -70,6 +87,8 @@ def fit_cells(spark: SparkSession, scratch: Scratch, docs: DataFrame, targets: d
         side = F.broadcast(side) if small else side
         full = full.join(side, F.col(dim).eqNullSafe(F.col("_k")), "left").drop("_k").fillna(0.0, [f"target_{dim}"])
     fitted = scratch.table(rake(full, rounds).select(*DIMS, "w", F.when(F.col("w") > 0, F.col("fit") / F.col("w")).otherwise(1.0).alias("factor")), "fitted")
+    if share is not None:
+        return fitted.select(*DIMS, "factor", F.least(F.lit(1.0), F.col("factor") * F.lit(scale(fitted, share))).alias("prob")), n
     top = max(fitted.agg(F.max("factor")).first()[0] or 0.0, 1e-300)
     return fitted.select(*DIMS, "factor", (F.col("factor") / F.lit(top)).alias("prob")), n
 
@@ -80,12 +99,12 @@ def unit(seed: int = SEED, key: str = "doc_id") -> F.Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
-def mix(spark: SparkSession, docs: DataFrame, scratch: Scratch | None = None, targets: dict[str, DataFrame] | None = None, seed: int = SEED) -> DataFrame:
-    """``docs`` with n_tokens, topic, factor, prob and sampled (all rows; the caller filters)."""
+def mix(spark: SparkSession, docs: DataFrame, scratch: Scratch | None = None, targets: dict[str, DataFrame] | None = None, seed: int = SEED, share: float | None = None) -> DataFrame:
+    """``docs`` with n_tokens, topic, factor, prob and sampled (all rows; the caller filters).  share: of all tokens, to expect in the draw."""
     scratch = scratch or Scratch(spark, "mixing")
     counted = docs.drop("n_tokens", "topic", "factor", "prob", "sampled").withColumn("n_tokens", tokens())
     counted = counted.withColumn("topic", topic())
-    cells, n = fit_cells(spark, scratch, counted.select(*DIMS, "n_tokens"), targets)
+    cells, n = fit_cells(spark, scratch, counted.select(*DIMS, "n_tokens"), targets, share=share)
     side = cells.select(*(F.col(d).alias(f"_{d}") for d in DIMS), "factor", "prob")
     side = F.broadcast(side) if n <= SMALL_CELLS else side
     same = F.lit(True)

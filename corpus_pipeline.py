@@ -13,6 +13,8 @@ from atelier.llm import jaccard, linededup, mixing, pieces, quality
 from atelier.llm.scratch import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Share of the tokens that mixing_sources draws.
+TOKEN_SHARE = 0.5
 
 
 def _same(docs: DataFrame) -> DataFrame:
@@ -48,8 +50,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn with the probabilities that rake tokens to the target weights of source, language and topic."""
-    return mixing.mix(spark, docs).filter("sampled").select(*COLUMNS)
+    """Documents drawn towards the target weights of source, language and topic; half of all tokens are expected in the draw."""
+    return mixing.mix(spark, docs, share=TOKEN_SHARE).filter("sampled").select(*COLUMNS)
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

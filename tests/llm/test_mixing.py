@@ -47,3 +47,14 @@ def test_empty_and_native(spark):
     assert mixing.mix(spark, df.limit(0)).count() == 0
     plan = mixing.mix(spark, df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_tiny_cell_does_not_set_the_rate_of_a_stated_share(spark):
+    from corpus_pipeline import TOKEN_SHARE, mixing_sources
+
+    tiny = spark.createDataFrame([(9999, "four words of text", "new", "xx", "c")], "doc_id long, text string, source string, lang string, topic string")
+    for df in (docs(spark), docs(spark).union(tiny)):
+        out = mixing.mix(spark, df, share=TOKEN_SHARE).toPandas()
+        assert out["prob"].between(0, 1).all() and (out["n_tokens"] * out["prob"]).sum() == pytest.approx(TOKEN_SHARE * out["n_tokens"].sum())
+        kept = mixing_sources(spark, df.withColumn("n_chars", mixing.F.lit(0)), "").toPandas()
+        assert abs(len(kept) - out["prob"].sum()) <= 4 * len(out) ** 0.5 and len(kept) >= 0.3 * len(out)
