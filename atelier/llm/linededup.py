@@ -5,7 +5,8 @@ HyperLogLog sketches of the sites of each line hash merge by aggregation (map si
 estimate is near the threshold get an exact distinct count; the rest are decided by the sketch.
 
 A document of which more than half (in bytes of its lines) would go is a copy of other documents rather
-than a carrier of boilerplate, and is left whole for document-level deduplication.
+than a carrier of boilerplate, and is left whole for document-level deduplication.  With ``own`` this holds only
+of a document all of whose lines would go: any line of its own makes it a carrier.
 
 Defined results: blank lines are never counted or removed; a null text stays null with no lines; a null
 source is a site of its own; lines repeated within a document count once; repeated rows get equal results;
@@ -58,7 +59,7 @@ def boilerplate(scratch: Scratch, docs: DataFrame, sites: int = SITES) -> DataFr
     return scratch.table(sure.unionByName(exact), "boilerplate")
 
 
-def _strip(at: int, hashes: int, hits: int | None, known) -> object:
+def _strip(at: int, hashes: int, hits: int | None, known, own_line: bool) -> object:
     def run(batches):
         table = known.value if known is not None else None
         for batch in batches:
@@ -82,7 +83,8 @@ def _strip(at: int, hashes: int, hits: int | None, known) -> object:
                 lines = texts[int(d)].as_py().encode().split(b"\n")
                 go = hit[offs[d] : offs[d + 1]]
                 sizes = np.array([len(x) for x in lines])
-                if 2 * sizes[go].sum() > sizes[~blank[offs[d] : offs[d + 1]]].sum():
+                live = ~blank[offs[d] : offs[d + 1]]
+                if go[live].all() if own_line else 2 * sizes[go].sum() > sizes[live].sum():
                     whole[d], removed[d] = True, 0
                 else:
                     changed[int(d)] = b"\n".join(x for x, g in zip(lines, go) if not g).decode()
@@ -97,7 +99,7 @@ def _strip(at: int, hashes: int, hits: int | None, known) -> object:
     return run
 
 
-def strip_boilerplate(spark: SparkSession, docs: DataFrame, sites: int = SITES, broadcast_most: int = BROADCAST_MOST) -> DataFrame:
+def strip_boilerplate(spark: SparkSession, docs: DataFrame, sites: int = SITES, broadcast_most: int = BROADCAST_MOST, own: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``; adds n_lines, n_removed and left_whole."""
     scratch = Scratch(spark, "lines")
     docs = docs.drop("n_lines", "n_removed", "left_whole", "_lh")
@@ -107,11 +109,11 @@ def strip_boilerplate(spark: SparkSession, docs: DataFrame, sites: int = SITES,
     at, lh = docs.columns.index("text"), len(docs.columns)
     if known.count() <= broadcast_most:
         table = spark.sparkContext.broadcast(np.sort(known.toArrow()["h"].to_numpy()))
-        return hashed.mapInArrow(tidy(_strip(at, lh, None, table)), schema)
+        return hashed.mapInArrow(tidy(_strip(at, lh, None, table, own)), schema)
     keyed = hashed.withColumn("_k", F.md5("text"))
     hits = keyed.select("_k", F.explode(F.array_distinct(F.array_compact("_lh"))).alias("h")).distinct().join(known, "h").groupBy("_k").agg(F.collect_list("h").alias("_hit"))
     joined = keyed.join(hits, "_k", "left").select(*docs.columns, "_lh", "_hit")
-    return joined.mapInArrow(tidy(_strip(at, lh, lh + 1, None)), schema)
+    return joined.mapInArrow(tidy(_strip(at, lh, lh + 1, None, own)), schema)
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,8 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on many sources go from the texts; documents stay."""
-    return _same(linededup.strip_boilerplate(spark, docs))
+    """Lines on many sources go from every text that has a line of its own; documents stay."""
+    return _same(linededup.strip_boilerplate(spark, docs, own=True))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

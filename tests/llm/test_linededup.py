@@ -33,3 +33,16 @@ def test_sketches_agree_with_exact_counts_about_the_threshold(spark):
 
 def test_empty(spark):
     assert linededup.strip_boilerplate(spark, spark.createDataFrame([], "doc_id long, source string, text string")).count() == 0
+
+
+@pytest.mark.parametrize("most", [linededup.BROADCAST_MOST, 0])
+def test_a_line_of_its_own_makes_a_carrier(spark, most):
+    from corpus_pipeline import line_dedup
+
+    short = [(400, "site1", f"{BAD}\nmine\n\n{BAD}"), (401, "site1", f"{BAD}\n\n {BAD}")]
+    df = spark.createDataFrame(rows() + short, "doc_id long, source string, text string")
+    got = {r.doc_id: r for r in linededup.strip_boilerplate(spark, df, broadcast_most=most, own=True).collect()}
+    assert (got[400].text, got[400].n_removed, got[400].left_whole) == ("mine\n", 2, False)
+    assert got[401].text == short[1][2] and got[401].left_whole and got[200].left_whole and got[None].left_whole
+    stage = line_dedup(spark, df.selectExpr("*", "'en' AS lang", "0L AS n_chars"), "")
+    assert stage.filter("doc_id = 400").first().text == "mine\n"
