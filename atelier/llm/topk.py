@@ -8,7 +8,8 @@ task pass it on.
 
 Defined results: vectors that are null, empty or hold a null or non-finite component take no part; only
 vectors of the query's own length are candidates; ties go to the smaller id; a query with fewer
-candidates than k returns all; repeated vec_ids are the query's own and take no part in its result;
+candidates than k returns all; every row is a candidate, so rows that repeat a vec_id take a rank each; rows of the
+query's own vec_id take no part in its result; queries have distinct query_ids;
 a null vec_id takes no part; an empty table gives an empty result.
 """
 
@@ -178,7 +179,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int =
     bounded = scratch.table(asked.groupBy("dim", "block").cogroup(kth.groupBy("k_dim", "k_block")).applyInArrow(floors, "dim int, block int, asked binary"), "bounded")
     rest = against(led.filter("shard <> lead").drop("lead"), bounded)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return first.unionByName(rest).distinct().withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return first.unionByName(rest).withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _ids_of(batches):

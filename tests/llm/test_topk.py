@@ -29,6 +29,20 @@ def test_equals_brute_force(spark):
     assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == brute(rows, 20) and len(got) == len(set(got))
 
 
+def test_repeated_rows_take_a_rank_each(spark):
+    rnd = random.Random(4)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(4)]) for i in range(1, 300)] + [(7, [9.0] * 4)] * 5 + [(11, [8.0] * 4)] * 3 + [(20, [1.0] * 4)] * 2
+    v = topk.integral(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    asked = v.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id").dropDuplicates(["query_id"])
+    got = {}
+    for r in topk.top_k(spark, v, asked, 20, shard_rows=40).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    data = v.collect()
+    for q in asked.collect():
+        want = sorted((-sum(x * y for x, y in zip(q.v, c.v)), c.vec_id) for c in data if c.vec_id != q.query_id)
+        assert got[q.query_id] == want[:20]
+
+
 def test_empty(spark):
     v = topk.integral(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert topk.top_k(spark, v, v.withColumnRenamed("vec_id", "query_id")).count() == 0
