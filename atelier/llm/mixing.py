@@ -2,7 +2,9 @@
 
 Token counts are summed to cells of (source, language, topic).  Raking scales the cells until their
 totals match the target of every source, language and topic; the factor of a cell, over the largest
-factor, is the probability with which its documents are kept.
+factor, is the probability with which its documents are kept.  Rounds go on until no total is further from its
+target than ``TOLERANCE`` of it, or ``MOST_ROUNDS`` are done (targets that no weights of the cells meet); the largest
+distance that is left is returned with every row (``residual``).
 
 With a stated ``share`` the probability is min(1, c * factor) instead, c such that this share of all tokens is
 expected: then a small cell of a high factor is kept whole and doesn't set the rate of all others.  Cells at 1
@@ -11,7 +13,8 @@ fall short of their targets by what c * factor has beyond 1.
 Defined results: a null in source or language is a value of its own; a null or empty text has no
 tokens and topic ``empty``, and where a cell holds no tokens its factor is the mean of 1; ties and
 repeated rows are kept or left together, since the draw depends on doc_id and seed; a null doc_id
-draws as the text ``null``; an empty table gives an empty result; further columns are passed through.
+draws as the text ``null``; texts of any length count whole; an empty table gives an empty result; further
+columns are passed through, but for those that are added, which are replaced (``topic`` is read where it is asked for).
 """
 
 from __future__ import annotations
@@ -23,7 +26,10 @@ from .scratch import Scratch
 
 DIMS = ("source", "lang", "topic")
 ALPHA = 0.7  # targets: share of tokens to this power
-ROUNDS = 12
+ROUNDS = 4  # in one plan; the residual is read between plans
+SQL_ROUNDS = 12
+MOST_ROUNDS = 240
+TOLERANCE = 1e-10
 SEED = 29
 #: Cells up to this number are raked in one task without an exchange, and broadcast; more are dealt by key.
 SMALL_CELLS = 100_000
@@ -53,13 +59,15 @@ def tempered(cells: DataFrame, dim: str, alpha: float = ALPHA) -> DataFrame:
 
 
 def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Cells with columns w, total and target_<dim>: adds ``fit``, raked to every target in turn."""
-    out = cells.withColumn("fit", F.col("w"))
+    """Cells with columns w, total and target_<dim>: adds ``fit``, or takes it further, raked to every target in turn,
+    and ``gap``: how far the cell's totals are from their targets, relative to these."""
+    out = cells if "fit" in cells.columns else cells.withColumn("fit", F.col("w"))
     for _ in range(rounds):
         for dim in DIMS:
             total = F.sum("fit").over(Window.partitionBy(dim))
             out = out.withColumn("fit", F.when(total > 0, F.col("fit") * F.col(f"target_{dim}") * F.col("total") / total).otherwise(F.lit(0.0)))
-    return out
+    gaps = [F.coalesce(F.abs(F.try_divide(F.sum("fit").over(Window.partitionBy(dim)), F.col(f"target_{dim}") * F.col("total")) - 1), F.lit(0.0)) for dim in DIMS]
+    return out.withColumn("gap", F.greatest(*gaps))
 
 
 def scale(fitted: DataFrame, share: float) -> float:
@@ -75,8 +83,8 @@ def scale(fitted: DataFrame, share: float) -> float:
         c, capped = max(c, (share * total - (held or 0.0)) / rest), n
 
 
-def fit_cells(spark: SparkSession, scratch: Scratch, docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, share: float | None = None) -> tuple[DataFrame, int]:
-    """Cells with factor and probability, and their number.  targets: {dimension: (dimension, target_<dimension>)}."""
+def fit_cells(spark: SparkSession, scratch: Scratch, docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float | None = None) -> tuple[DataFrame, int]:
+    """Cells with factor, probability and the residual, and their number.  targets: {dimension: (dimension, target_<dimension>)}."""
     cells = scratch.table(docs.groupBy(*DIMS).agg(F.sum("n_tokens").cast("double").alias("w")), "cells")
     n = cells.count()
     small = n <= SMALL_CELLS
@@ -86,11 +94,16 @@ def fit_cells(spark: SparkSession, scratch: Scratch, docs: DataFrame, targets: d
         side = ((targets or {}).get(dim) or tempered(cells, dim)).withColumnRenamed(dim, "_k")
         side = F.broadcast(side) if small else side
         full = full.join(side, F.col(dim).eqNullSafe(F.col("_k")), "left").drop("_k").fillna(0.0, [f"target_{dim}"])
-    fitted = scratch.table(rake(full, rounds).select(*DIMS, "w", F.when(F.col("w") > 0, F.col("fit") / F.col("w")).otherwise(1.0).alias("factor")), "fitted")
+    done, far = 0, None
+    while far is None or far > TOLERANCE and done < MOST_ROUNDS:
+        full = scratch.table(rake(full), f"raked-{done}")
+        full = full.coalesce(1) if small else full
+        done, far = done + ROUNDS, full.agg(F.max("gap")).first()[0] or 0.0  # one number
+    fitted = full.select(*DIMS, "w", F.when(F.col("w") > 0, F.col("fit") / F.col("w")).otherwise(1.0).alias("factor"), F.lit(far).alias("residual"))
     if share is not None:
-        return fitted.select(*DIMS, "factor", F.least(F.lit(1.0), F.col("factor") * F.lit(scale(fitted, share))).alias("prob")), n
+        return fitted.select(*DIMS, "factor", F.least(F.lit(1.0), F.col("factor") * F.lit(scale(fitted, share))).alias("prob"), "residual"), n
     top = max(fitted.agg(F.max("factor")).first()[0] or 0.0, 1e-300)
-    return fitted.select(*DIMS, "factor", (F.col("factor") / F.lit(top)).alias("prob")), n
+    return fitted.select(*DIMS, "factor", (F.col("factor") / F.lit(top)).alias("prob"), "residual"), n
 
 
 def unit(seed: int = SEED, key: str = "doc_id") -> F.Column:
@@ -99,18 +112,22 @@ def unit(seed: int = SEED, key: str = "doc_id") -> F.Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
-def mix(spark: SparkSession, docs: DataFrame, scratch: Scratch | None = None, targets: dict[str, DataFrame] | None = None, seed: int = SEED, share: float | None = None) -> DataFrame:
-    """``docs`` with n_tokens, topic, factor, prob and sampled (all rows; the caller filters).  share: of all tokens, to expect in the draw."""
+def mix(spark: SparkSession, docs: DataFrame, scratch: Scratch | None = None, targets: dict[str, DataFrame] | None = None, seed: int = SEED, share: float | None = None, own_topic: str | None = None) -> DataFrame:
+    """``docs`` with n_tokens, topic, factor, prob, residual and sampled (all rows; the caller filters).
+
+    share: of all tokens, to expect in the draw; own_topic: the column that holds topics, else the form of the text is one.
+    """
     scratch = scratch or Scratch(spark, "mixing")
-    counted = docs.drop("n_tokens", "topic", "factor", "prob", "sampled").withColumn("n_tokens", tokens())
-    counted = counted.withColumn("topic", topic())
+    given = docs.withColumn("__topic", F.col(own_topic)) if own_topic else docs
+    counted = given.drop("n_tokens", "topic", "factor", "prob", "residual", "sampled").withColumn("n_tokens", tokens())
+    counted = counted.withColumn("topic", F.col("__topic") if own_topic else topic()).drop("__topic")
     cells, n = fit_cells(spark, scratch, counted.select(*DIMS, "n_tokens"), targets, share=share)
-    side = cells.select(*(F.col(d).alias(f"_{d}") for d in DIMS), "factor", "prob")
+    side = cells.select(*(F.col(d).alias(f"__{d}") for d in DIMS), "factor", "prob", "residual")
     side = F.broadcast(side) if n <= SMALL_CELLS else side
     same = F.lit(True)
     for d in DIMS:
-        same = same & F.col(d).eqNullSafe(F.col(f"_{d}"))
-    return counted.join(side, same, "left").drop(*(f"_{d}" for d in DIMS)).withColumn("sampled", unit(seed) < F.col("prob"))
+        same = same & F.col(d).eqNullSafe(F.col(f"__{d}"))
+    return counted.join(side, same, "left").drop(*(f"__{d}" for d in DIMS)).withColumn("sampled", unit(seed) < F.col("prob"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +136,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark, docs).select("doc_id", "source", "lang", "topic", "n_tokens", F.round("factor", 6).alias("factor"), F.round("prob", 6).alias("prob"), "sampled")
 
 
-def op10_sql(rounds: int = ROUNDS, alpha: float = ALPHA, seed: int = SEED) -> str:
+def op10_sql(rounds: int = SQL_ROUNDS, alpha: float = ALPHA, seed: int = SEED) -> str:
     """The same raking in ANSI SQL, one common table for each step."""
     marks = " ".join(f"WHEN contains(text, '{m}') THEN '{n}'" for n, m in TOPICS)
     steps = [
