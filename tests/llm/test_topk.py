@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -18,14 +19,15 @@ def brute(rows, k):
     return out
 
 
-def test_equals_brute_force(spark):
+@pytest.mark.parametrize("summaries", [topk.SUMMARIES, 0])
+def test_equals_brute_force(spark, summaries):
     rnd = random.Random(2)
     rows = [(i, [rnd.choice([-0.5, 0.25, 0.1, rnd.gauss(0, 1)]) for _ in range(8)]) for i in range(700)]
     rows += [(i, [0.25] * 8) for i in range(700, 900)]  # one vector for a large part
     rows += [(901, None), (902, []), (903, [1.0, None]), (904, [float("nan")] * 8), (905, [float("inf")] * 8), (None, [0.5] * 8), (920, [0.5] * 3), (921, [0.25] * 3)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     v = topk.integral(df)
-    got = topk.top_k(spark, v, v.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 20, shard_rows=150, query_rows=16).collect()
+    got = topk.top_k(spark, v, v.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 20, shard_rows=40, query_rows=4, summaries=summaries).collect()
     assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == brute(rows, 20) and len(got) == len(set(got))
 
 
@@ -43,6 +45,46 @@ def test_repeated_rows_take_a_rank_each(spark):
         assert got[q.query_id] == want[:20]
 
 
+def test_thirty_rows_of_one_id_and_clashing_names(spark):
+    rnd = random.Random(6)
+    rows = [(0, [1.0, 1.0]), (0, [0.5, 9.0])] + [(1, [5.0, 5.0])] * 30 + [(i, [rnd.random(), rnd.random()]) for i in range(2, 58)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: topk.F.lit(7) for c in ("n", "dim", "cell", "part", "query_id", "rank", "score")})
+    v = topk.integral(df)
+    got = topk.top_k(spark, v, v.filter("vec_id = 0").withColumnRenamed("vec_id", "query_id")).collect()
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(0, k, 1, 320 * (32 + 576)) for k in range(1, 21)]  # the least vector of id 0
+
+
+def test_sql_ranks_rows(spark, tmp_path):
+    import duckdb
+
+    rnd = random.Random(3)
+    rows = [(i % 90, [rnd.choice([0.25, -0.5, 1.0]) for _ in range(6)]) for i in range(200)] + [(40, None), (None, [1.0] * 6)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"file://{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted(map(tuple, topk.op5_topk(spark, f"file://{tmp_path}").collect())) == sorted(con.sql(topk.OP5_SQL).fetchall())
+
+
+def test_bounds_leave_most_leaves_alone():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 300, (40, 8))
+    vecs = np.floor(centres[rng.integers(0, 40, 8000)] + rng.normal(0, 5, (8000, 8))).astype(np.int64)
+    tree = topk.build(np.arange(8000), vecs)
+    leaves = sum(x < 0 for x in tree["left"])
+    best = topk.Best(np.arange(5), 20, np.full(5, topk.NONE.min))
+    assert topk.search(tree, vecs[:5], best) < leaves / 2
+    # a shared score that nothing here beats leaves all of them alone
+    again = topk.Best(np.arange(5), 20, np.full(5, topk.NONE.max // 2))
+    assert topk.search(tree, vecs[:5], again) == 0
+
+
+def test_no_pairing_joins(spark):
+    rows = [(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(400)]
+    v = topk.integral(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    plan = topk.top_k(spark, v, v.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 5, shard_rows=50)._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def test_empty(spark):
     v = topk.integral(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert topk.top_k(spark, v, v.withColumnRenamed("vec_id", "query_id")).count() == 0
