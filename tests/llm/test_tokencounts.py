@@ -28,11 +28,37 @@ def test_an_interrupted_batch_counts_once(spark, tmp_path):
     r = tc.TokenRollup(spark, f"file://{tmp_path}/rollup")
     rows = spark.createDataFrame([("insert", 1, "a", "en", "v1", 10)], CHANGES)
     r.commit("b1", rows)
-    remove(spark, f"file://{tmp_path}/rollup/b1/_COMMITTED")  # as if the driver had gone before the marker
+    remove(spark, f"file://{tmp_path}/rollup/b1.done")  # as if the driver had gone before the marker
     assert totals(r) == {}
     assert r.commit("b1", rows) and totals(r) == {("a", "en", "v1"): (1, 10)}
 
 
+def test_of_two_writers_of_a_batch_one_counts(spark, tmp_path, monkeypatch):
+    one, two = (tc.TokenRollup(spark, f"file://{tmp_path}/rollup") for _ in range(2))
+    rows = spark.createDataFrame([("insert", 1, "a", "en", "v1", 10)], CHANGES)
+    claim = one._claim
+
+    def late(name, text):  # the other writer is done first
+        assert two.commit("b1", rows)
+        return claim(name, text)
+
+    monkeypatch.setattr(one, "_claim", late)
+    assert not one.commit("b1", rows) and totals(one) == {("a", "en", "v1"): (1, 10)}
+
+
+def test_a_snapshot_holds_what_it_folds(spark, tmp_path):
+    r = tc.TokenRollup(spark, f"file://{tmp_path}/rollup")
+    df = lambda rows: spark.createDataFrame(rows, CHANGES)
+    r.commit("b1", df([("insert", i, "a", "en", "v1", i) for i in range(50)]))
+    r.commit("b2", df([("delete", 7, None, None, "v1", None)]))
+    before = totals(r)
+    r.compact()
+    assert totals(r) == before and len(r._parts()) == 1 and not r.commit("b1", df([("insert", 1, "a", "en", "v1", 1)]))
+    r.commit("b3", df([("revise", 8, "b", "en", "v1", 100)]))
+    r.compact()
+    assert totals(r) == {("a", "en", "v1"): (48, before["a", "en", "v1"][1] - 8), ("b", "en", "v1"): (1, 100)} and len(r._parts()) == 1
+
+
 def test_counts_equal_the_tokenizer(spark):
     enc = tc.encoder(tc.RANKS)
     texts = [None, "", "hello  world\n", "日本 é " * 40, "<|endoftext|>", "x" * 5000]
@@ -41,6 +67,19 @@ def test_counts_equal_the_tokenizer(spark):
     assert got == {i: (len((t or "").split()), len(enc.encode_ordinary(t or ""))) for i, t in enumerate(texts)}
 
 
+def test_long_texts_are_cut_where_no_token_crosses():
+    import random
+
+    rnd, enc = random.Random(4), tc.encoder(tc.RANKS)
+    bits = ["word", "l'eau", "x1", "  ", " ", "\n", "\n\n", "...", "é", "日本", " a", "_b", "\u00a0c", "9"]
+    for n in (1, 7, 50):
+        text = "".join(rnd.choice(bits) for _ in range(3000))
+        cut = list(tc.parts(text, n))
+        assert "".join(cut) == text and len(cut) > 10
+        assert [i for p in cut for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
+    assert list(tc.parts("x" * 100, 5)) == ["x" * 100] and list(tc.parts("", 5)) == [""]
+
+
 def test_query_equals_direct_counts(spark):
     sf, enc, want = "/root/testdata/sf0.001", tc.encoder(tc.RANKS), {}
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
