@@ -16,13 +16,15 @@ A document is the set of its five-word shingles; documents of one set are one po
 4. All candidate pairs are verified on the whole texts; components follow from the verified links.
 
 Defined results: a null or empty text, or one without words, has no shingles and links with nothing (its
-component is its own doc_id); fewer than five words are one shingle, the whole sequence; repeated rows and
-equal texts share a component; a null doc_id keeps its row and takes part through its text, but names no
+component is its own doc_id); fewer than five words are one shingle, the whole sequence; texts of any length are taken
+whole; a pair at exactly 80 % links; repeated rows and equal texts share a component; a null doc_id keeps its row and takes part through its text, but names no
 component unless all ids of it are null; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,16 +44,19 @@ BLOCK = 256
 #: Names of points that are broadcast at most; more are joined by key.
 BROADCAST_ROWS = 500_000
 FLUSH = 1_000_000
+#: Bytes of postings that a task sorts at once; their buckets grow in number with the data.
+BUCKET_BYTES = 64 << 20
 K1, K2 = U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB)
 HEAVY = np.uint32(1 << 31)
 
 
-def fingerprint(x: np.ndarray) -> tuple[np.uint64, np.uint64]:
-    """128 bits of a set."""
-    return mix(x ^ K1).sum(dtype=U), mix(x ^ K2).sum(dtype=U)
+def fingerprint(x: np.ndarray, turn: int = 0) -> tuple[np.uint64, np.uint64]:
+    """128 bits of a set; ``turn`` chooses others."""
+    t = U(2 * turn)
+    return mix(x ^ (K1 + t)).sum(dtype=U), mix(x ^ (K2 + t)).sum(dtype=U)
 
 
-def _profile(batches):
+def _profile(batches, turn: int = 0):
     """Rows of documents (fingerprint, size) and of shingles that several sets of this partition hold."""
     held, size, seen = [], 0, set()
 
@@ -67,7 +72,7 @@ def _profile(batches):
         for i, x in shingle_sets(batch.column(1)):
             n[i] = len(x)
             if len(x):
-                f1[i], f2[i] = fingerprint(x)
+                f1[i], f2[i] = fingerprint(x, turn)
                 if (f1[i], f2[i]) not in seen:
                     seen.add((f1[i], f2[i]))
                     held.append(x)
@@ -81,7 +86,7 @@ def _profile(batches):
         yield counts()
 
 
-def _postings(n_buckets, frequent):
+def _postings(n_buckets, frequent, turn: int = 0):
     def run(batches):
         heavy, often = frequent.value
         seen, held, size = set(), [], 0
@@ -103,7 +108,7 @@ def _postings(n_buckets, frequent):
                 n = len(x)
                 if not n:
                     continue
-                sid = mix(x ^ K1).sum(dtype=U)
+                sid = fingerprint(x, turn)[0]
                 if sid in seen:
                     continue
                 seen.add(sid)
@@ -245,13 +250,28 @@ LINK = "100 * common >= 80 * either"
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    id_type = dict(docs.dtypes)[doc_id]
+    out = grouped(spark, docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
+    return out.select("doc_id", "n_shingles", "component_id").withColumns({c: F.col(c).cast(id_type) for c in ("doc_id", "component_id")})
+
+
+def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, tkey, label) of every row of ``docs`` (doc_id, text).
+
+    tkey: md5 of the text; label: a number of the component, null for a text without shingles.
+    """
     scratch = Scratch(spark, "jaccard")
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     texts = docs.filter("text is not null").select(F.md5("text").alias("tkey"), "text")
-    id_type = dict(docs.dtypes)["doc_id"]
-    wide = docs.select(F.col("doc_id").cast("long"), "text", F.md5("text").alias("tkey"))
-    raw = scratch.table(wide.mapInArrow(tidy(_profile), "doc_id long, f1 long, f2 long, n long, tkey string, tok long, cnt long"), "profile")
-    rows = raw.filter("n is not null").drop("tok", "cnt")
+    wide = docs.select("doc_id", "text", F.md5("text").alias("tkey"))
+    for turn in range(8):
+        profile = lambda batches: _profile(batches, turn)  # noqa: E731, B023
+        raw = scratch.table(wide.mapInArrow(tidy(profile), "doc_id long, f1 long, f2 long, n long, tkey string, tok long, cnt long"), "profile")
+        rows = raw.filter("n is not null").drop("tok", "cnt")
+        points = scratch.table(rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("tkey").alias("tkey"), F.min("doc_id").alias("least_id"), F.max("n").alias("n")), "points")
+        # sets are known by 64 of their 128 bits: where two differ in the others alone, all take other bits
+        about = points.agg(F.count("*"), F.count_distinct("f1"), F.sum(F.col("n") - F.ceil(0.8 * F.col("n")) + 1)).first()
+        if about[0] == about[1]:
+            break
     counts = scratch.table(raw.filter("n is null").groupBy("tok").agg(F.sum("cnt").alias("cnt")).filter(F.col("cnt") > LARGE), "counts")
     least = LARGE
     while counts.filter(F.col("cnt") > least).count() > FREQUENT_MOST:
@@ -261,10 +281,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
     order = np.argsort(tok)
     frequent = spark.sparkContext.broadcast((tok[order], top["cnt"].to_numpy()[order]))
 
-    points = scratch.table(rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("tkey").alias("tkey"), F.min("doc_id").alias("least_id")), "points")
     sids = points.select(F.col("f1").alias("sid"), "tkey")
-    n_buckets = partitions(spark)
-    blobs = docs.select("text").mapInArrow(tidy(_postings(n_buckets, frequent)), "bucket int, blob binary").repartition(n_buckets, "bucket")
+    n_buckets = max(partitions(spark), math.ceil(24 * (about[2] or 0) / BUCKET_BYTES))
+    blobs = docs.select("text").mapInArrow(tidy(_postings(n_buckets, frequent, turn)), "bucket int, blob binary").repartition(n_buckets, "bucket")
     found = scratch.table(blobs.mapInArrow(tidy(_regions), FOUND), "found")
 
     hot = scratch.table(found.filter("hot").select("tok", F.col("a").alias("sid"), "n", "pos"), "hot")
@@ -277,6 +296,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
     # central members first: least share of rarer shingles
     rank = F.struct((F.col("pos") / F.col("n")).alias("share"), F.col("sid"), F.col("n"))
     pivots = hot.groupBy("tok").agg(F.min(rank).alias("p"), F.count("*").alias("members")).filter("members > 1").select("tok", F.col("p.sid").alias("pivot"), F.col("p.n").alias("pn"))
+    pivots = scratch.table(pivots, "pivots")
+    pivots = F.broadcast(pivots) if pivots.count() <= BROADCAST_ROWS else pivots  # a row for each large region
     star = hot.join(pivots, "tok").filter("sid <> pivot and 5 * least(n, pn) >= 4 * greatest(n, pn)").select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
     checked = verified(scratch, small.unionByName(star), sids, texts, "first")
     labels = components(scratch, checked.filter(LINK).select("a", "b"), "cc0")
@@ -303,11 +324,11 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
 
     least_id = points.join(labels.withColumnRenamed("node", "f1"), "f1", "left").withColumn("label", F.coalesce("label", "f1"))
     named = least_id.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    final = scratch.table(least_id.join(named, "label").select("f1", "f2", "component_id"), "final")
+    final = scratch.table(least_id.join(named, "label").select("f1", "f2", "component_id", "label"), "final")
     scratch.sweep("profile", "final")
-    full = rows.filter("n > 0").join(final, ["f1", "f2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    none = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(none).withColumns({c: F.col(c).cast(id_type) for c in ("doc_id", "component_id")})
+    full = rows.filter("n > 0").join(final, ["f1", "f2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "tkey", "label")
+    none = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "tkey", F.lit(None).cast("long").alias("label"))
+    return full.unionByName(none)
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
