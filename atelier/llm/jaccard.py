@@ -323,8 +323,9 @@ def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
         labels = extended(scratch, labels, again.filter(LINK).select("a", "b"), f"cc{k}")
 
     least_id = points.join(labels.withColumnRenamed("node", "f1"), "f1", "left").withColumn("label", F.coalesce("label", "f1"))
-    named = least_id.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    final = scratch.table(least_id.join(named, "label").select("f1", "f2", "component_id", "label"), "final")
+    named = scratch.table(least_id.groupBy("label").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n")).filter("n > 1").drop("n"), "named")
+    named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named  # components of several sets alone
+    final = scratch.table(least_id.join(named, "label", "left").select("f1", "f2", F.coalesce("component_id", "least_id").alias("component_id"), "label"), "final")
     scratch.sweep("profile", "final")
     full = rows.filter("n > 0").join(final, ["f1", "f2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "tkey", "label")
     none = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "tkey", F.lit(None).cast("long").alias("label"))
