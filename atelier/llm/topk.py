@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, schema_with
+from .scratch import Scratch, partitions, schema_with
 from .textkit import tidy
 
 SHARD_ROWS = 8192
@@ -39,7 +39,7 @@ LEAF = 64
 EXACT = 2**53
 #: Rows on which the cells are fitted; a cell holds about ``SAMPLE_LEAF`` of them.
 SAMPLE, SAMPLE_LEAF = 8192, 16
-#: Shards that a task searches, and blocks of queries that meet them there.
+#: Most shards that a task searches, and most blocks of queries that meet them there.
 GROUP, BLOCKS = 8, 8
 #: Balls of shards that are broadcast at most; beyond, every block meets every group.
 SUMMARIES = 50_000
@@ -217,13 +217,13 @@ def _dealt(scratch: Scratch, df: DataFrame, cells, size: int, name: str) -> tupl
     return placed.join(side, ["dim", "cell"]).select(*df.columns, "dim", part.alias("part")), most
 
 
-def _packed(k: int):
+def _packed(k: int, size: int):
     def pack(group, table):
         dim, shard = group[0].as_py(), group[1].as_py()
         times = np.minimum(table["n"].to_numpy(), k)  # no more than k equal rows can have a rank
         made = build(np.repeat(table["vec_id"].to_numpy(), times), np.repeat(_lists(table["v"], dim), times, axis=0))
         ball = (made["mid"][0], made["far"][0], made["least"][0])
-        return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "grp": pa.array([shard // GROUP], pa.int32()), "ball": pa.array([pickle.dumps(ball)], pa.binary()), "tree": pa.array([pickle.dumps(made)], pa.binary())})
+        return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "grp": pa.array([shard // size], pa.int32()), "ball": pa.array([pickle.dumps(ball)], pa.binary()), "tree": pa.array([pickle.dumps(made)], pa.binary())})
 
     return pack
 
@@ -236,7 +236,7 @@ def _block(group, table):
 ROUTE = "dim int, grp int, block int, chunk int, asked binary"
 
 
-def _routed(summaries, groups: dict[int, int] | None, lead: bool):
+def _routed(summaries, groups: dict[int, int] | None, size: int, lead: bool):
     """Blocks with the groups they go to: the one of the highest bound, or all others that can beat a query's score.
 
     Without summaries a block's lead is the first group, and its queries go to every other.
@@ -262,7 +262,7 @@ def _routed(summaries, groups: dict[int, int] | None, lead: bool):
                     sent = {g: np.flatnonzero(top[:, i] >= floor) for i, g in enumerate(names[heads])}
                 for g, rows in sent.items():
                     if (g == first) == lead and len(rows):
-                        out.append((dim, int(g), block, block // BLOCKS, pickle.dumps((q_ids[rows], q[rows], floor[rows]))))
+                        out.append((dim, int(g), block, block // size, pickle.dumps((q_ids[rows], q[rows], floor[rows]))))
                 for lo in range(0, len(out), 16):
                     cols = list(zip(*out[lo : lo + 16]))
                     yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in cols[:4]), pa.array(cols[4], pa.binary())], names=["dim", "grp", "block", "chunk", "asked"])
@@ -309,9 +309,11 @@ def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int =
         by_dim.setdefault(len(v), []).append(v)
     cells = spark.sparkContext.broadcast(Cells({d: np.array(x, np.float64) for d, x in by_dim.items()}, max(SAMPLE_LEAF, len(drawn) * shard_rows // max(1, rows.count()))))
 
-    shards, _ = _dealt(scratch, rows, cells, shard_rows, "celled")
-    trees = scratch.table(shards.groupBy("dim", "part").applyInArrow(_packed(k), "dim int, shard int, grp int, ball binary, tree binary"), "trees")
-    blocks, _ = _dealt(scratch, asks, cells, query_rows, "asks")
+    # groups and blocks of one task, fewer where there are not enough of them for all tasks
+    each = lambda n, most: max(1, min(most, n // partitions(spark)))
+    shards, n_shards = _dealt(scratch, rows, cells, shard_rows, "celled")
+    trees = scratch.table(shards.groupBy("dim", "part").applyInArrow(_packed(k, each(n_shards, GROUP)), "dim int, shard int, grp int, ball binary, tree binary"), "trees")
+    blocks, n_blocks = _dealt(scratch, asks, cells, query_rows, "asks")
     asked = scratch.table(blocks.groupBy("dim", "part").applyInArrow(_block, "dim int, block int, asked binary"), "asked")
 
     groups, table = None, None
@@ -335,11 +337,11 @@ def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int =
         return done[-1]
 
     done: list[DataFrame] = []
-    first = against(asked.mapInArrow(tidy(_routed(table, groups, True)), ROUTE))
+    first = against(asked.mapInArrow(tidy(_routed(table, groups, each(n_blocks, BLOCKS), True)), ROUTE))
     ranked = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).filter(F.col("n") >= k)
     kth = blocks.select("dim", F.col("part").alias("block"), "query_id").join(ranked, "query_id").select(F.col("dim").alias("k_dim"), F.col("block").alias("k_block"), "query_id", "kth")
     bounded = scratch.table(asked.groupBy("dim", "block").cogroup(kth.groupBy("k_dim", "k_block")).applyInArrow(_floored, "dim int, block int, asked binary"), "bounded")
-    rest = against(bounded.mapInArrow(tidy(_routed(table, groups, False)), ROUTE))
+    rest = against(bounded.mapInArrow(tidy(_routed(table, groups, each(n_blocks, BLOCKS), False)), ROUTE))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return first.unionByName(rest).withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
