@@ -13,23 +13,6 @@ from .base import query
 c = F.col
 
 
-@query("SELECT n_name, count(*) AS n, array_to_string(list_sort(list(c_custkey)), ',') AS keys FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_mktsegment = 'BUILDING' GROUP BY 1")
-def count_by_type_in_block(t):
-    rows = t.customer.filter("c_mktsegment = 'BUILDING'").join(t.nation, c("n_nationkey") == c("c_nationkey"))
-    return rows.groupBy("n_name").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("c_custkey")), ",").alias("keys"))
-
-
-@query("SELECT n_name, s_suppkey, s_name FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_acctbal > 0 ORDER BY n_name, s_suppkey")
-def list_by_type_ordered(t):
-    return t.supplier.filter("s_acctbal > 0").join(t.nation, c("n_nationkey") == c("s_nationkey")).select("n_name", "s_suppkey", "s_name").orderBy("n_name", "s_suppkey")
-
-
-@query("SELECT lang, source, CASE WHEN n_chars >= 1000 THEN 'long' WHEN n_chars IS NULL THEN NULL ELSE 'short' END AS size, count(*) AS n FROM documents GROUP BY GROUPING SETS ((lang), (source, lang), (size))")
-def multi_slice_counts(t):
-    rows = t.documents.select("lang", "source", F.when(c("n_chars") >= 1000, "long").when(c("n_chars").isNotNull(), "short").alias("size"))
-    return rows.groupingSets([["lang"], ["source", "lang"], ["size"]], "lang", "source", "size").agg(F.count("*").alias("n")).select("lang", "source", "size", "n")
-
-
 _CONF = "greatest(0.1, least(1.0, CASE WHEN source = 'src0' THEN 0.85 WHEN source = 'src1' THEN 0.9 WHEN quality IS NOT NULL THEN 0.8 ELSE 0.6 END * CASE WHEN n_chars >= 2000 THEN 1.0 WHEN n_chars >= 1000 THEN 0.85 WHEN n_chars >= 500 THEN 0.7 ELSE 0.3 END * (1.0 - CASE WHEN toxic IS NULL THEN 0.1 ELSE 0 END)))"
 
 
@@ -43,19 +26,6 @@ def confidence_buckets(t):
     return rows.groupBy("lang").agg(F.round(F.avg("v"), 6).alias("mean"), F.count_if(c("v") >= 0.8).alias("high"), F.count_if((c("v") >= 0.5) & (c("v") < 0.8)).alias("medium"), F.count_if(c("v") < 0.5).alias("low"))
 
 
-@query("""SELECT event_id, severity, type FROM (SELECT event_id, 'error' AS severity, 'low' AS type FROM events WHERE value < 10 UNION ALL SELECT event_id, 'warning', 'low' FROM events WHERE value >= 10 AND value < 30 UNION ALL SELECT event_id, 'error', 'kind' FROM events WHERE event_type = 'error' UNION ALL SELECT event_id, 'warning', 'no_props' FROM events WHERE props IS NULL OR props = '{}')""")
-def alerts(t):
-    tell = lambda cond, severity, kind: F.when(cond, F.struct(F.lit(severity).alias("severity"), F.lit(kind).alias("type")))
-    each = F.array(tell(c("value") < 10, "error", "low"), tell((c("value") >= 10) & (c("value") < 30), "warning", "low"), tell(c("event_type") == "error", "error", "kind"), tell(c("props").isNull() | (c("props") == "{}"), "warning", "no_props"))
-    return t.events.select("event_id", F.explode(F.array_compact(each)).alias("a")).select("event_id", "a.severity", "a.type")
-
-
-@query("SELECT md5(text) AS k, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM documents GROUP BY 1 HAVING count(DISTINCT source) > 1")
-def contradictory_groups(t):
-    rows = t.documents.groupBy(F.md5("text").alias("k")).agg(F.collect_set("source").alias("s"))
-    return rows.filter(F.size("s") > 1).select("k", F.array_join(F.array_sort("s"), ",").alias("sources"))
-
-
 _RULES = "SELECT user_id, count(*) FILTER (event_type = 'purchase')::DOUBLE AS confirmed, count(*) FILTER (event_type = 'error')::DOUBLE AS contradicted, count(*) FILTER (event_type = 'click')::DOUBLE AS variation, count(*) AS n FROM events WHERE event_type <> 'view' GROUP BY 1"
 _RULE_CONF = "greatest(0.0, least(1.0, (confirmed - 2 * contradicted + 0.5 * variation) / n))"
 

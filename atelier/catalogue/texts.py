@@ -110,13 +110,6 @@ def html_title(t):
     return t.pages.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("host"), F.size(F.regexp_extract_all("html", F.lit("<a "), F.lit(0))).alias("links"))
 
 
-@query(r"""SELECT doc_id, array_to_string(regexp_extract_all(coalesce(text, ''), '[0-9]{3,}'), ',') AS numbers, nullif(regexp_extract(coalesce(text, ''), '(\d{2})\s*(\d{2})\s*(\d{2})', 0), '') IS NOT NULL AS has_code,
-CASE WHEN nullif(regexp_extract(coalesce(text, ''), '(\d{2})\s*(\d{2})\s*(\d{2})', 0), '') IS NOT NULL THEN regexp_extract(text, '(\d{2})\s*(\d{2})\s*(\d{2})', 1) || ' ' || regexp_extract(text, '(\d{2})\s*(\d{2})\s*(\d{2})', 2) || ' ' || regexp_extract(text, '(\d{2})\s*(\d{2})\s*(\d{2})', 3) END AS code FROM documents""")
-def doc_refs(t):
-    x = F.coalesce("text", F.lit(""))
-    return t.documents.select("doc_id", F.array_join(F.regexp_extract_all(x, F.lit("[0-9]{3,}"), F.lit(0)), ",").alias("numbers"), text.csi_code(x).isNotNull().alias("has_code"), text.csi_code(x).alias("code"))
-
-
 _NAMES = [(1, "CLASSE 2"), (2, "W.C. garçons"), (3, "local mécanique"), (4, "DÉPÔT"), (5, "Salle de bain"), (6, "BIBLIOTHÈQUE"), (7, "Vestibule"), (8, "bureau direction"), (9, "SALLE DE CLASSE"), (10, "TOILETTES"), (11, "maternelle"), (12, "xyz")]
 
 
@@ -192,40 +185,6 @@ def query_parse(t):
     return t.documents.select("doc_id", hits.alias("hits")).filter("hits > 0").withColumn("relevance", F.round(c("hits") / float(len(_ASKED)), 6))
 
 
-@query("""SELECT o_orderkey, code, string_agg(page, ',' ORDER BY page)::VARCHAR AS pages FROM (
-SELECT l_orderkey AS o_orderkey, l_linenumber AS page, max(CASE WHEN l_quantity > 25 THEN '09 ' || lpad((l_partkey % 100)::VARCHAR, 2, '0') || ' ' || lpad((l_suppkey % 100)::VARCHAR, 2, '0') END) OVER (PARTITION BY l_orderkey, g) AS code
-FROM (SELECT *, count(*) FILTER (l_quantity > 25) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS g FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) = 1))) WHERE code IS NOT NULL GROUP BY ALL""")
-def spec_sections(t):
-    first = keep.keep_first(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"])
-    code = F.concat(F.lit("Section 09 "), F.lpad((c("l_partkey") % 100).cast("string"), 2, "0"), F.lit(" "), F.lpad((c("l_suppkey") % 100).cast("string"), 2, "0"))
-    page = F.concat(F.lit("--- Page "), c("l_linenumber").cast("string"), F.lit(" ---\n"), F.when(c("l_quantity") > 25, code).otherwise("continued"), F.lit("\nplancher des classes"))
-    parts = F.array_sort(F.collect_list(F.struct("l_linenumber", page.alias("p"))))
-    books = first.groupBy("l_orderkey").agg(F.array_join(F.transform(parts, lambda x: x["p"]), "\n").alias("text"))
-    found = sections.spec_sections(sections.pages_of(books, ["l_orderkey"]), ["l_orderkey"])
-    return found.select(c("l_orderkey").alias("o_orderkey"), "code", F.array_join(c("pages").cast("array<string>"), ",").alias("pages"))
-
-
-@query("""SELECT p_partkey, 'Maker' || chr(65 + (p_size % 26)::INT) AS maker, p_brand AS model, CASE WHEN p_size % 3 = 0 THEN 'door' WHEN p_size % 3 = 1 THEN 'steel' END AS kind, CASE WHEN p_size % 2 = 0 THEN p_size || ' x ' || (p_size + 1) || ' mm' END AS dimension FROM part""")
-def products_from_text(t):
-    size = c("p_size")
-    made = F.concat(F.lit("Maker"), F.chr((F.lit(65) + size % 26).cast("int")), F.lit(" | "), c("p_brand"), F.lit("\n"), F.when(size % 3 == 0, "one door").when(size % 3 == 1, "in steel").otherwise("plain"), F.lit(". "), F.when(size % 2 == 0, F.concat(size.cast("string"), F.lit(" x "), (size + 1).cast("string"), F.lit(" mm"))).otherwise("no sides"))
-    rows = t.part.select("p_partkey", made.alias("text"))
-    maker = text.bare(F.regexp_extract("text", r"(?m)^([A-Z][A-Za-z0-9\s\-&.]+?)\s*\|\s*(.+?)$", 1))
-    rows = rows.select("p_partkey", "text", maker.alias("maker"), F.regexp_extract("text", r"(?m)^([A-Z][A-Za-z0-9\s\-&.]+?)\s*\|\s*(.+?)$", 2).alias("model"))
-    return rows.filter(text.is_maker(c("maker"))).select("p_partkey", "maker", "model", text.product_type(c("text")).alias("kind"), F.try_element_at(text.specs(c("text")), F.lit("dimension")).alias("dimension"))
-
-
-@query(r"""WITH r AS (SELECT o_orderkey, o_orderstatus || '-' || lpad((o_custkey % 1000)::VARCHAR, 3, '0') AS ref, CASE WHEN o_orderkey % 5 = 0 THEN 'norme ' ELSE 'local ' END AS before FROM orders)
-SELECT ref AS room_ref, min(o_orderkey) AS first_order, count(*) AS n FROM r WHERE before = 'local ' GROUP BY 1""")
-def room_refs(t):
-    ref = F.concat("o_orderstatus", F.lit("-"), F.lpad((c("o_custkey") % 1000).cast("string"), 3, "0"))
-    made = F.concat(F.lit("see "), F.when(c("o_orderkey") % 5 == 0, "norme ").otherwise("local "), ref, F.lit(" for finishes"))
-    each = t.orders.select("o_orderkey", made.alias("text")).withColumn("s", F.explode(text.spans(c("text"), r"\b[A-Z]-?\d{3}\b")))
-    each = each.withColumn("context", text.around(c("text"), c("s"), 30, 50))
-    kept = each.filter(~F.upper("context").rlike(r"(?U)\b(" + "|".join(fixed.STANDARDS) + r")\b"))
-    return kept.groupBy(c("s.match").alias("room_ref")).agg(F.min("o_orderkey").alias("first_order"), F.count("*").alias("n"))
-
-
 @query("""SELECT w, count(*) AS n_docs, min(doc_id) AS first_doc, sum(n)::BIGINT AS n FROM (SELECT w, doc_id, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+')) AS w FROM documents) GROUP BY ALL) GROUP BY 1""")
 def inverted_index(t):
     words = t.documents.select("doc_id", F.explode(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "[\\x20\\x09-\\x0D]+"), lambda x: x != "")).alias("w"))
@@ -238,13 +197,6 @@ def doc_hash(t):
     return t.documents.select("doc_id", F.left(F.sha2(F.coalesce("text", F.lit("")), 256), F.lit(12)).alias("id"))
 
 
-@query("""SELECT page_id, coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (length(trim(l)) > 3 AND NOT regexp_matches(l, '^\\s*<(script|style|nav|footer)')), '') AS body, count(*) AS n_lines FROM (SELECT page_id, unnest(s) AS l, generate_subscripts(s, 1) AS i FROM (SELECT page_id, string_split(html, chr(10)) AS s FROM pages)) GROUP BY 1""")
-def clean_lines(t):
-    lines = F.split("html", "\n", -1)
-    good = F.filter(lines, lambda x: (F.length(F.trim(x)) > 3) & ~x.rlike(r"^\s*<(script|style|nav|footer)"))
-    return t.pages.select("page_id", F.array_join(good, "\n").alias("body"), F.size(lines).cast("long").alias("n_lines"))
-
-
 @query("SELECT event_id, json_extract_string(props, '$.k')::INTEGER AS k, ('k=' || json_extract_string(props, '$.k')) AS label FROM events")
 def json_props(t):
     k = F.from_json("props", "k int")["k"]

@@ -119,12 +119,155 @@ EXPECTED_FINISHES = {
     "SALLE": (["gypse", "peinture P02"], ["VCT (09 65 19)"], ["acoustique (09 51 13)"]),
 }
 
+# Titles of the sections of finishes.
+FINISH_TITLES = {
+    "09 21 16": "Revêtement en plaques de plâtre",
+    "09 22 16": "Ossatures métalliques non-porteuses",
+    "09 30 13": "Carrelages de céramique",
+    "09 51 13": "Éléments acoustiques pour plafonds",
+    "09 53 00": "Plafonds suspendus",
+    "09 65 19": "Revêtements de sols souples (VCT)",
+    "09 91 00": "Peinturage",
+    "10 21 20": "Compartiments pour salles de toilettes",
+    "10 28 13": "Accessoires de salles de toilettes",
+    "10 51 13": "Armoires-vestiaires métalliques",
+}
+
+# Paint systems: surface, room types, finish.
+PAINT_SYSTEMS = {
+    "P01": ("murs intérieurs en blocs de béton et en béton coulé", ["TECHNIQUE", "SERVICE"], "perle"),
+    "P02": ("murs et plafonds intérieurs en panneaux de gypse", ["CLASSE", "BUREAU", "SALLE", "AUTRE"], "perle"),
+    "P03": ("surfaces intérieures en métal ferreux apprêtées", [], "semi-brillant"),
+    "P04": ("métal galvanisé ou zingué et tuyaux en cuivre", [], "semi-brillant"),
+    "P05": ("salles mécaniques/électriques, locaux techniques, corridors, escaliers, vestibules, dépôts", ["TECHNIQUE", "CORRIDOR", "CIRCULATION", "RANGEMENT"], "satiné"),
+    "P06": ("planchers intérieurs en béton", ["TECHNIQUE"], "lustré"),
+    "P07": ("surfaces intérieures en bois", [], "semi-brillant"),
+    "P08": ("toilettes et douches", ["WC"], "semi-lustré"),
+}
+
+# Plans by the place of their page in the drawing set, and what they show.
+PLANS = [
+    ("A-000", "Page de garde / index"), ("A-050", "Notes générales / légende"), ("A-060", "Notes et détails portes extérieures"), ("A-100", "Démolition RDC (Bloc A)"), ("A-101", "Démolition 2e étage (Bloc A)"), ("A-102", "Démolition agrandissement"),
+    ("A-110", "Démolition RDC (Bloc B/C)"), ("A-111", "Démolition 2e étage (Bloc B/C)"), ("A-150", "Plan de construction RDC (Bloc A)"), ("A-151", "Plan de construction (Bloc B/C)"), ("A-152", "Plan de construction agrandissement"),
+    ("A-200", "Plafonds démolition RDC"), ("A-201", "Plafonds démolition 2e étage"), ("A-250", "Plafonds construction RDC"), ("A-251", "Plafonds construction 2e étage"), ("A-300", "Agrandissement / détails"), ("A-350", "Détails supplémentaires"),
+    ("A-400", "Détails construction"), ("A-401", "Détails construction (suite)"), ("A-500", "Coupes"), ("A-501", "Coupes (suite)"), ("A-502", "Détails fenêtres"), ("A-550", "Détails en plan"), ("A-600", "Élévations extérieures"), ("A-601", "Élévations extérieures (suite)"),
+    ("A-650", "Plan agrandi"), ("A-651", "Plan agrandi (suite)"), ("A-700", "Plan Bloc B"), ("A-800", "Plan agrandi salles de bain"), ("A-900", "Plan des finis RDC"), ("A-901", "Plan des finis 2e étage"), ("A-910", "Élévations intérieures finis"),
+    ("A-911", "Élévations intérieures finis (suite)"), ("A-912", "Élévations intérieures finis (suite 2)"), ("A-950", "Bordereau des portes"),
+]
+PREFERRED_PLANS = ["A-150", "A-151"]
+
+# A section code of a specification, and the header that opens a section on a page.
+CODE = r"\b(\d{2})[\s\-]+(\d{2})[\s\-]+(\d{2})\b"
+HEADER = r"Section\s+(\d{2}\s+\d{2}\s+\d{2})"
+NO_TITLE = r"^(?:Page|Centre|Réhabilitation|CSSST|\d)"
+
+# References to rooms in specifications, and references that are standards.
+ROOM_REFERENCE = r"(?iu)\b(?:(?:local|pièce|salle|classe|bureau)[\s\-]*(\d{3,})|([A-Z]{1,2}-?\d{3}[a-z]?)\b|(?:plan|dessin|drawing)\s+([A-Z]-?\d+))"
+STANDARD_REFERENCE = r"(?iu)^(?:(?:CSA|ASTM|CAN|ISO|ANSI|NFPA|ULC)[\s\-]*[A-Z]?\d+|[A-Z]\d{3,5}|\d{4,})$"
+LOCAL_REFERENCES = [
+    (r"(?iu)\blocal\s*(\d{3}[A-Z]?)\b", 1), (r"\b([A-Z]-?\d{3}[A-Z]?)\b", 1), (r"(?iu)\bpièce\s*(\d{3}[A-Z]?)\b", 1), (r"(?iu)\bclasse\s*(\d{3}[A-Z]?)\b", 1), (r"(?iu)\bgymnase\b", 0), (r"(?iuU)\bsalle\s+(\d{3}[A-Z]?|\w+)\b", 1),
+]
+
+# Products. A maker and a product with a bar between; words that introduce a maker; a model; items of a list.
+BAR_PRODUCT = r"([A-Z][A-Za-z.\-]+(?:\s+[A-Za-z&.\-]+)*?)\s*\|\s*([A-Z][A-Za-z0-9\s\-.]+)"
+MAKER_INTRODUCTIONS = [
+    r"(?imu)(?:fabricant|manufacturer|fournisseur)\s*[:\-]?\s*(.+?)(?:\.|$)", r"(?imu)(?:marque|brand)\s*[:\-]?\s*(.+?)(?:\.|$)", r"(?imu)(?:produit\s+de|product\s+by)\s+(.+?)(?:\.|$)", r"(?imu)(?:fabriqué\s+par|made\s+by)\s+(.+?)(?:\.|$)",
+]
+MODEL = r"(?iu)(?:modèle|model|série|series|type|no\.?|#)\s*[:\-]?\s*([A-Z0-9][\w\-.]{2,})"
+LIST_MAKER = r"(?m)(?:^|\n)\s*[\-•*]\s*([A-Z][A-Za-z\s&]+?)(?:\s*\(|$|\n)"
+NO_INTRODUCED = ["ou", "et", "le", "la", "les", "un", "une", "or", "and", "the", "a", "an", "équivalent", "equivalent", "approuvé", "approved"]
+NO_LISTED = ["ou équivalent", "or equivalent", "section", "partie", "article", "note", "voir", "see", "référence"]
+
+# What a text states about a product: pattern by name; the first group is the value, a dimension has three sides and a unit.
+SPECS = {
+    "dimension": r"(?iu)(\d+(?:[.,]\d+)?)\s*(?:x|×|par)\s*(\d+(?:[.,]\d+)?)(?:\s*(?:x|×|par)\s*(\d+(?:[.,]\d+)?))?\s*(mm|cm|m|po|pi|\"|')?",
+    "thickness": r"(?iu)(?:épaisseur|thickness|épais\.?)\s*[:\-]?\s*(\d+(?:[.,]\d+)?)\s*(mm|cm|po|\")?",
+    "color": r"(?iu)(?:couleur|color|fini|finish)\s*[:\-]?\s*([A-Za-zÀ-ÿ\s]+?)(?:\.|,|$)",
+    "rating": r"(?iu)(?:classe|class|rating|type)\s*[:\-]?\s*([A-Z0-9]+)",
+    "fire_rating": r"(?iu)(?:résistance\s+au\s+feu|fire\s+rating)\s*[:\-]?\s*(\d+(?:[.,]\d+)?\s*(?:h|hr|heure|hour)?)",
+}
+
+# The five older forms of products, in order of priority, with how sure each is; which group is the maker and which the model.
+OLD_PRODUCTS = [
+    ("pipe", r"([A-Z][A-Za-z.\-]+(?:\s+[A-Za-z&.\-]+)*?)\s*\|\s*([A-Za-z0-9][A-Za-z0-9\s\-.]{2,})", 1, 2, 0.95),
+    ("de/of", r"(?m)([A-Z][A-Za-z0-9\-\s]{2,50}?)\s+(?:de|of)\s+([A-Z][A-Za-z\-\s]+?)(?:[,.)]|$|\s*\n)", 2, 1, 0.85),
+    ("labeled", r"(?is)(?:Fabricant|Manufacturer)\s*[:\-]\s*([A-Z][A-Za-z\-\s.]{3,40}?)[\n,;].{0,150}?(?:Produit|Product|Modèle|Model|No\.?|Numéro)\s*[:\-]\s*([A-Za-z0-9][A-Za-z0-9\-\s.]{3,40}?)(?:[,;.)]|\s*\n)", 1, 2, 0.90),
+    ("known_mfr", r"(?i)(?<!ou\s)(?<!or\s)(?<!et\s)\b(MAKERS)\b[\s:]+([A-Z][A-Za-z0-9\-\s]{3,50}?)(?:[,.]|\s+(?:ou|or|et|and)\s|\s*\n)", 1, 2, 0.80),
+    ("telle_que", r"(?i)(?:telle?\s+que|tel\s+que|comme|such\s+as)\s+([A-Za-z0-9][A-Za-z0-9\-\s]{3,50}?)\s+de\s+([A-Z][A-Za-z\-\s]+?)(?:[,.]|$)", 2, 1, 0.75),
+]
+KNOWN_MAKERS = [
+    "sherwin-williams", "sherwin williams", "benjamin moore", "dulux", "sico", "behr", "ppg", "pratt & lambert", "rust-oleum", "rust oleum", "cloverdale", "para", "mapei", "schluter", "laticrete", "custom", "armstrong", "tarkett", "forbo",
+    "johnsonite", "nora", "altro", "mannington", "interface", "mohawk", "usg", "certainteed", "cgc", "rockfon", "owens corning", "johns manville", "rockwool", "roxul", "dow", "basf", "sika", "tremco", "henry", "w.r. meadows", "cetco", "grace",
+    "carlisle", "firestone", "soprema", "iko", "gaf", "jeld-wen", "masonite", "therma-tru", "andersen", "pella", "marvin", "assa abloy", "stanley", "hager", "von duprin", "lcn", "dorma", "allegion", "daubois", "mortar net", "viance", "polyprep", "blok-lok",
+    "trane", "carrier", "lennox", "daikin", "mitsubishi", "fujitsu", "kohler", "american standard", "moen", "delta", "grohe", "sloan", "leviton", "hubbell", "eaton", "schneider", "siemens", "abb", "densglass", "gyproc", "fiberock",
+]
+NO_OLD_PRODUCTS = ["ou", "et", "le", "la", "les", "de", "du", "des", "avant", "après", "selon", "avec", "sans", "pour", "équivalent", "equivalent", "approuvé", "approved", "produit", "référence", "reference", "section", "voir", "note", "page", "partie", "article", "minimum", "maximum", "couche", "couches", "fini"]
+NO_OLD_MAKER_PARTS = ["avant", "après", "selon", "des ", "les ", "une ", "deux "]
+NO_BAR_MAKERS = ["pvc", "abs", "hdpe", "type", "série", "serie", "class"]
+OTHER_MAKERS = ["benjamin moore", "sherwin", "rust-oleum"]
+
 # What no maker is called.
 NO_MAKERS = ["ou", "et", "le", "la", "les", "un", "une", "de", "du", "des", "or", "and", "the", "a", "an", "of", "to", "équivalent", "equivalent", "approuvé", "approved", "produit", "product", "référence", "reference", "références", "avant", "après", "selon", "avec", "sans", "pour", "des matériaux", "avant de", "et de", "des granulats", "installations", "conditions", "recommandations"]
 NO_MAKER_PARTS = ["avant", "après", "selon", "avec", "des ", "et de"]
 PRODUCT_TYPES = [
-    "porte|door", "fenêtre|window", "peinture|paint", "plancher|flooring|floor", "plafond|ceiling", "isolation|insulation", "gypse|drywall|gyproc", "tuile|tile", "béton|concrete", "acier|steel", "bois|wood", "verre|glass",
-    "quincaillerie|hardware", "membrane", "revêtement|cladding|siding",
+    "(porte|door)s?", "(fenêtre|window)s?", "(peinture|paint)s?", "(plancher|flooring|floor)s?", "(plafond|ceiling)s?", "(isolation|insulation)", "(gypse|drywall|gyproc)", "(tuile|tile)s?", "(béton|concrete)", "(acier|steel)", "(bois|wood)", "(verre|glass)",
+    "(quincaillerie|hardware)", "(membrane)", "(revêtement|cladding|siding)",
 ]
-PRODUCT_TYPE_PLURAL = {0, 1, 2, 3, 4, 7}
 STANDARDS = ["CSA", "ASTM", "ANSI", "ISO", "NORME", "NORM"]
+
+# The older index: sections that a room type requires and those it commonly has, titles of sections.
+ROOM_SECTIONS = {
+    "CLASSE": (["09 91 00", "09 51 13", "09 65 19"], ["09 21 16", "08 11 14", "08 71 00", "12 21 23"]),
+    "CORRIDOR": (["09 91 00", "09 65 19", "03 54 01"], ["09 51 13", "10 26 10", "10 14 24"]),
+    "GYMNASE": (["09 65 19", "09 91 00", "09 51 13"], ["06 10 00", "10 21 13", "10 26 10"]),
+    "TOILETTE": (["09 30 13", "09 91 00", "10 21 20"], ["09 51 13", "08 11 14", "08 71 00"]),
+    "WC": (["09 30 13", "09 91 00", "10 21 20"], ["09 51 13", "08 11 14", "08 71 00"]),
+    "CONCIERGERIE": (["09 30 13", "09 91 00", "09 65 19"], ["10 28 13", "08 11 14"]),
+    "RANGEMENT": (["09 91 00", "09 65 19"], ["06 40 00", "08 11 14"]),
+    "BUREAU": (["09 91 00", "09 51 13", "09 65 19"], ["09 21 16", "08 11 14", "12 21 23"]),
+    "VESTIAIRE": (["09 30 13", "09 91 00", "10 51 13"], ["09 51 13", "10 21 20"]),
+    "ESCALIER": (["09 91 00", "03 54 01", "05 50 00"], ["09 65 19", "10 14 24"]),
+    "LOCAL TECHNIQUE": (["09 91 00", "03 54 01"], ["08 11 14", "09 65 19"]),
+    "LOCAL MÉCANIQUE": (["09 91 00", "03 54 01"], ["08 11 14", "07 21 16"]),
+    "CHAUFFERIE": (["09 91 00", "03 54 01"], ["07 21 16", "08 11 14"]),
+    "ÉLECTRIQUE": (["09 91 00", "03 54 01"], ["08 11 14"]),
+    "VESTIBULE": (["09 65 19", "09 91 00", "12 48 16"], ["08 44 13", "09 51 13"]),
+}
+SECTION_TITLES = {
+    "03 54 01": "Sous-finition truellée des planchers", "06 10 00": "Charpenterie", "06 20 00": "Menuiserie de finition", "06 40 00": "Menuiserie architecturale", "07 21 16": "Isolant en matelas", "07 42 13": "Panneaux muraux métalliques", "07 53 00": "Membrane de toiture",
+    "07 62 00": "Solins et accessoires", "07 84 00": "Coupe-feu", "07 92 00": "Calfeutrage et scellants", "08 11 14": "Portes en acier", "08 14 16": "Portes en bois", "08 44 13": "Murs-rideaux vitrés", "08 51 13": "Fenêtres en aluminium", "08 71 00": "Quincaillerie de porte",
+    "08 80 00": "Vitrerie", "08 80 50": "Vitrerie intérieure", "09 21 16": "Cloisons en panneaux de gypse", "09 22 16": "Doublages non structuraux", "09 30 13": "Carrelage de céramique", "09 51 13": "Plafonds acoustiques", "09 53 00": "Plafonds spéciaux", "09 65 19": "Revêtements de sol résilients",
+    "09 91 00": "Peinture", "10 12 20": "Tableaux d'affichage", "10 14 24": "Signalisation", "10 21 13": "Panneaux spécialisés", "10 21 20": "Accessoires de toilettes", "10 26 10": "Protection murale", "10 28 10": "Accessoires de toilettes", "10 28 13": "Accessoires de conciergerie",
+    "10 51 13": "Armoires-vestiaires", "12 21 23": "Stores déroulants", "12 48 16": "Grilles gratte-pieds",
+}
+
+# The older index: words and section numbers of kinds of material.
+MATERIALS = {
+    "peinture": (["peinture", "latex", "apprêt", "primer", "couche", "benjamin moore", "sherwin", "alkyde"], ["09 91"]),
+    "plancher": (["plancher", "revêtement de sol", "VCT", "époxy", "vinyle", "linoleum", "résilient", "tuile"], ["09 65", "03 54"]),
+    "plafond": (["plafond", "suspendu", "acoustique", "armstrong", "tuile", "dalle"], ["09 51", "09 53"]),
+    "céramique": (["céramique", "carrelage", "carreau", "tuile", "porcelaine", "mosaïque"], ["09 30"]),
+    "porte": (["porte", "cadre", "dormant", "battant", "coupe-feu"], ["08 11", "08 14"]),
+    "fenêtre": (["fenêtre", "vitrage", "double vitrage", "châssis", "aluminium"], ["08 51", "08 44"]),
+    "cloison": (["gypse", "cloison", "mur", "panneau", "drywall"], ["09 21", "09 22"]),
+    "isolation": (["isolant", "isolation", "pare-vapeur", "laine", "polystyrène"], ["07 21"]),
+    "quincaillerie": (["serrure", "penture", "ferme-porte", "barre panique", "poignée"], ["08 71"]),
+    "accessoires": (["distributeur", "sèche-mains", "miroir", "crochet", "barre d'appui"], ["10 21", "10 28"]),
+}
+
+# Questions to the older index: sections and words of what is asked for, and makers.
+ASKED_SECTIONS = {
+    "peinture": ["09 91 00", "09 91 23", "09 90 00"], "plancher": ["09 65 00", "09 68 00", "09 64 00", "09 63 00", "09 62 00"], "porte": ["08 11 00", "08 14 00", "08 71 00", "08 12 00"], "fenêtre": ["08 51 00", "08 52 00", "08 53 00", "08 50 00"], "plafond": ["09 51 00", "09 54 00"],
+    "mur": ["09 21 00", "09 22 00", "09 29 00", "04 22 00"], "céramique": ["09 30 00", "09 31 00"], "isolation": ["07 21 00", "07 22 00", "07 27 00"], "étanchéité": ["07 92 00", "07 90 00"], "toiture": ["07 50 00", "07 51 00", "07 52 00"], "acier": ["05 12 00", "05 21 00", "05 50 00"],
+    "béton": ["03 30 00", "03 31 00"], "électricité": ["26 00 00", "26 05 00", "26 27 00"], "mécanique": ["23 00 00", "21 00 00"], "gicleurs": ["21 13 00", "21 13 13"],
+}
+ASKED_WORDS = {
+    "peinture": ["peinture", "peindre", "peint", "latex", "apprêt", "primer", "couleur"], "plancher": ["plancher", "sol", "revêtement de sol", "flooring", "époxy", "VCT", "vinyle", "linoleum"], "porte": ["porte", "cadre", "serrure", "quincaillerie", "penture"],
+    "fenêtre": ["fenêtre", "vitrage", "vitre", "châssis", "store"], "plafond": ["plafond", "tuile acoustique", "suspendu", "ceiling"], "mur": ["mur", "cloison", "gypse", "placoplâtre", "drywall"], "céramique": ["céramique", "carrelage", "carreau", "tuile", "porcelaine"],
+    "isolation": ["isolation", "isolant", "thermique", "acoustique", "pare-vapeur"], "étanchéité": ["étanchéité", "scellant", "calfeutrage", "joint"],
+}
+ASKED_MAKERS = ["mapei", "benjamin moore", "sherwin", "armstrong", "tarkett", "certainteed", "cgc", "lafarge", "hilti", "sika", "tremco"]
+
+# What users are told.
+NOT_FOUND = "Information non trouvée dans les documents vérifiés."
+MADE_UP = "⚠️ Ce numéro de local n'existe PAS sur les plans architecturaux. Il a été identifié comme fabriqué."

@@ -7,14 +7,8 @@ from pyspark.sql import functions as F
 
 from .text import bare, spans
 
-#: Forms in order of priority: pattern, and which groups are feet, inches, numerator, denominator.
-FORMS = [
-    (r"(\d+)'\s*-?\s*(\d+)\s+(\d+)/(\d+)\"", (1, 2, 3, 4)),
-    (r"(\d+)'\s*-?\s*(\d+)\"", (1, 2, None, None)),
-    (r"(\d+)'", (1, None, None, None)),
-    (r"(\d+)\s+(\d+)/(\d+)\"", (None, 1, 2, 3)),
-    (r"(\d+)\"", (None, 1, None, None)),
-]
+#: A length: feet with inches and a fraction, feet with inches, feet, inches with a fraction, inches.
+LENGTH = r"^(?:(\d+)'(?:\s*-?\s*(\d+)(?:\s+(\d+)/(\d+))?\")?|(\d+)(?:\s+(\d+)/(\d+))?\")$"
 #: All forms inside a longer text; the longest alternative comes first.
 ANYWHERE = r"\d+'\s*-?\s*\d+\s+\d+/\d+\"|\d+'\s*-?\s*\d+\"|\d+'(?!\s*-?\s*\d)|\d+\s+\d+/\d+\"|\d+\""
 ROUND_SIZES = (96.0, 120.0, 144.0, 180.0, 240.0, 360.0)
@@ -22,13 +16,12 @@ ROUND_SIZES = (96.0, 120.0, 144.0, 180.0, 240.0, 360.0)
 
 def inches(text: Column) -> Column:
     """Inches of a text that is one length; null if it is none.  A fraction over 0 counts as 0."""
-    t, out = bare(text), None
-    for pattern, groups in FORMS:
-        p = f"^{pattern}$"
-        feet, inch, num, den = (F.lit(0.0) if g is None else F.try_to_number(F.regexp_extract(t, p, g), F.lit("9" * 18)).cast("double") for g in groups)
-        value = feet * 12 + inch + F.coalesce(F.try_divide(num, den) if groups[2] else F.lit(0.0), F.lit(0.0))
-        out = F.when(t.rlike(p), value) if out is None else out.when(t.rlike(p), value)
-    return out
+    t = bare(text)
+    # feet, inches, numerator and denominator from one pass; what a form lacks is empty
+    parts = F.split(F.regexp_replace(t, LENGTH, "$1|$2$5|$3$6|$4$7"), r"\|")
+    number = lambda i: F.get(parts, F.lit(i)).try_cast("double")
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return F.when(t.rlike(LENGTH), zero(number(0)) * 12 + zero(number(1)) + zero(F.try_divide(number(2), number(3))))
 
 
 def is_length(text: Column) -> Column:

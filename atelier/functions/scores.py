@@ -78,12 +78,13 @@ def primary_page(pages: Column) -> Column:
 
 def search_score(terms: list[str], text: Column, name: Column, number: Column) -> Column:
     """For each term: 1 in the text; 3 for an equal name or number, else 2 within."""
-    n, k = F.lower(F.coalesce(name, F.lit(""))), F.lower(F.coalesce(number, F.lit("")))
+    asked = F.struct(text.alias("t"), F.lower(F.coalesce(name, F.lit(""))).alias("n"), F.lower(F.coalesce(number, F.lit(""))).alias("k"))
 
-    def add(acc, t):
-        return acc + F.contains(text, t).cast("int") + F.when((t == n) | (t == k), 3).when(F.contains(n, t) | F.contains(k, t), 2).otherwise(0)
+    def total(x):
+        one = lambda t: F.contains(x["t"], t).cast("int") + F.when((t == x["n"]) | (t == x["k"]), 3).when(F.contains(x["n"], t) | F.contains(x["k"], t), 2).otherwise(0)
+        return sum((one(F.lit(t)) for t in terms), F.lit(0))
 
-    return F.aggregate(F.array(*map(F.lit, terms)), F.lit(0), add)
+    return let(asked, total)
 
 
 def gold_score(terms: list[str], room: str | None, text: Column, id_: Column, plan_id: Column, name: Column) -> Column:
@@ -91,10 +92,11 @@ def gold_score(terms: list[str], room: str | None, text: Column, id_: Column, pl
     none = F.lit("")
     n, p, i = F.lower(F.coalesce(name, none)), F.lower(F.coalesce(plan_id, none)), F.lower(F.coalesce(id_, none))
 
-    def add(acc, t):
-        return acc + F.contains(text, t).cast("int") + F.when(t == n, 3).when(F.contains(n, t), 2).otherwise(0) + F.when(t == p, 5).when(F.contains(p, t), 2).otherwise(0)
+    def total(x):
+        one = lambda t: F.contains(x["t"], t).cast("int") + F.when(t == x["n"], 3).when(F.contains(x["n"], t), 2).otherwise(0) + F.when(t == x["p"], 5).when(F.contains(x["p"], t), 2).otherwise(0)
+        return sum((one(F.lit(t)) for t in terms), F.lit(0))
 
-    out = F.aggregate(F.array(*map(F.lit, terms)) if terms else F.array().cast("array<string>"), F.lit(0), add)
+    out = let(F.struct(text.alias("t"), n.alias("n"), p.alias("p")), total)
     if room:
         own = F.lit(room.lower())
         tail = F.lit(room.lower().split("-", 1)[1] if re.match(r"[a-z]-", room.lower()) else room.lower())

@@ -17,7 +17,7 @@ def bare(c: Column) -> Column:
 
 def search_text(c: Column) -> Column:
     """Lower case, single blanks."""
-    return F.regexp_replace(bare(F.lower(c)), r"(?U)\s+", " ")
+    return F.trim(F.regexp_replace(F.lower(c), r"(?U)\s+", " "))
 
 
 def compared(c: Column) -> Column:
@@ -112,8 +112,8 @@ def file_name(c: Column) -> Column:
 
 
 def csi_code(c: Column) -> Column:
-    p = r"(\d{2})\s*(\d{2})\s*(\d{2})"
-    return F.when(F.regexp_extract(c, p, 0) != "", F.concat_ws(" ", *(F.regexp_extract(c, p, i) for i in (1, 2, 3))))
+    """The first section code dd dd dd, its pairs with blanks or dashes between and nothing of a word beside them."""
+    return F.when(F.regexp_extract(c, fixed.CODE, 0) != "", F.concat_ws(" ", *(F.regexp_extract(c, fixed.CODE, i) for i in (1, 2, 3))))
 
 
 def source_pages(c: Column) -> Column:
@@ -141,17 +141,27 @@ def room_search_text(name: Column, plan_id: Column, id_: Column, type_: Column,
 
 
 def spans(text: Column, pattern: str) -> Column:
-    """All matches of a pattern with their places: array<struct<match, start, stop>> (0-based, stop excluded), JVM-side."""
-    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<match:string,start:int,stop:int>>").alias("out"))
+    """All matches of a pattern with their places: array<struct<match, start, stop>> (0-based, stop excluded), JVM-side.
+
+    One pass of the pattern marks the matches; places are sums of the lengths of what stands before.
+    """
+    mark = "\uf8f0"  # of the private area: taken out of the text first, one character for one
+    marked = F.split(F.regexp_replace(F.translate(text, mark, "\uf8f1"), pattern, f"{mark}$0{mark}"), mark)
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out"))
 
     def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        stop = start + F.length(x["match"])
-        return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(F.struct(x["match"].alias("match"), start.alias("start"), stop.alias("stop")))).alias("out"))
+        return F.struct((acc["at"] + F.length(x)).alias("at"), (acc["n"] + 1).alias("n"), F.when(acc["n"] % 2 == 1, F.array_append(acc["out"], acc["at"])).otherwise(acc["out"]).alias("out"))
+
+    def placed(pieces):
+        starts = F.aggregate(pieces, zero, step, lambda acc: acc["out"])
+
+        def one(start, i):
+            match = F.element_at(pieces, 2 * i + 2)
+            return F.struct(match.alias("match"), start.alias("start"), (start + F.length(match)).alias("stop"))
+
+        return F.transform(starts, one)
 
-    zipped = F.transform(found, lambda m, i: F.struct(m.alias("match"), F.element_at(between, i + 1).alias("gap")))
-    return F.aggregate(zipped, zero, step, lambda acc: acc["out"])
+    return F.when(text.isNotNull(), F.element_at(F.transform(F.array(marked), placed), 1))
 
 
 def around(text: Column, span: Column, before: int, after: int) -> Column:
@@ -163,26 +173,15 @@ def around(text: Column, span: Column, before: int, after: int) -> Column:
 
 def product_type(text: Column) -> Column:
     """The first kind of product that a text names."""
-    found = []
-    for i, words in enumerate(fixed.PRODUCT_TYPES):
-        plural = "s?" if i in fixed.PRODUCT_TYPE_PLURAL else ""
-        found.append(F.nullif(F.lower(F.regexp_extract(text, rf"(?iu)(?:^|\s)({words}){plural}\b", 1)), F.lit("")))
-    return F.coalesce(*found)
+    return F.coalesce(*(F.nullif(F.lower(F.regexp_extract(text, rf"(?iu)(?:^|\s){p}\b", 1)), F.lit("")) for p in fixed.PRODUCT_TYPES))
 
 
 def specs(text: Column) -> Column:
     """Dimension, thickness, colour, rating and fire rating that a text states, as a map."""
-    num = r"\d+(?:[.,]\d+)?"
-    dim = rf"(?iu)({num})\s*(?:x|×|par)\s*({num})(?:\s*(?:x|×|par)\s*({num}))?\s*(mm|cm|m|po|pi|\"|')?"
-    part = lambda i: F.nullif(F.regexp_extract(text, dim, i), F.lit(""))
-    sides = F.concat_ws(" x ", part(1), part(2), part(3))
-    out = {
-        "dimension": F.when(sides != "", F.concat_ws(" ", sides, part(4))),
-        "thickness": bare(F.concat_ws(" ", F.nullif(F.regexp_extract(text, rf"(?iu)(?:épaisseur|thickness|épais\.?)\s*[:\-]?\s*({num})\s*(mm|cm|po|\")?", 1), F.lit("")), F.nullif(F.regexp_extract(text, rf"(?iu)(?:épaisseur|thickness|épais\.?)\s*[:\-]?\s*({num})\s*(mm|cm|po|\")?", 2), F.lit("")))),
-        "color": bare(F.regexp_extract(text, r"(?iu)(?:couleur|color|fini|finish)\s*[:\-]?\s*([A-Za-zÀ-ÿ\s]+?)(?:\.|,|$)", 1)),
-        "rating": F.regexp_extract(text, r"(?iu)(?:classe|class|rating|type)\s*[:\-]?\s*([A-Z0-9]+)", 1),
-        "fire_rating": F.regexp_extract(text, rf"(?iu)(?:résistance\s+au\s+feu|fire\s+rating)\s*[:\-]?\s*({num}\s*(?:h|hr|heure|hour)?)", 1),
-    }
+    side = lambda i: F.nullif(F.regexp_extract(text, fixed.SPECS["dimension"], i), F.lit(""))
+    sides = F.concat_ws(" x ", side(1), side(2), side(3))
+    out = {k: bare(F.regexp_extract(text, p, 1)) for k, p in fixed.SPECS.items()}
+    out["dimension"] = F.when(sides != "", F.concat_ws(" ", sides, side(4)))
     full = F.create_map(*[x for k, v in out.items() for x in (F.lit(k), F.coalesce(v, F.lit("")))])
     return F.map_filter(full, lambda k, v: v != "")
 

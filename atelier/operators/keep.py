@@ -13,8 +13,11 @@ def keep_first(df: DataFrame, keys: list, order: list) -> DataFrame:
 
 
 def top_k(df: DataFrame, score: Column, tie: list, k: int) -> DataFrame:
-    """Rows of a positive score, best first, ties in input order: one pass, k rows a task."""
-    return df.withColumn("score", score).filter("score > 0").orderBy(F.desc("score"), *tie).limit(k)
+    """Rows of a positive score, best first, ties in input order: one pass, k rows a task.
+
+    The filter comes after the limit, which it can't change, so that a score is computed once.
+    """
+    return df.withColumn("score", score).orderBy(F.desc("score"), *tie).limit(k).filter("score > 0")
 
 
 def numbered(df: DataFrame, prefix: str, keys: list, order: list, name: str = "id") -> DataFrame:
@@ -64,7 +67,27 @@ def select_pages(pages: DataFrame, keys: list, n: int = 5, most: int = 500) -> D
 def stratified(df: DataFrame, stratum: str, key: str, size: int, least: int = 3, seed: int = 42, order: list | None = None) -> DataFrame:
     """A proportional sample of each stratum, ``least`` rows at least; which rows is settled by a hash of the key and seed."""
     order = order or [F.xxhash64(F.col(key), F.lit(seed)), key]
-    counts = df.groupBy(stratum).agg(F.count("*").alias("_n"))
-    quota = counts.withColumn("_quota", F.greatest(F.lit(least), F.floor(F.col("_n") * size / F.lit(max(1, df.count())))))
+    counts = df.groupBy(stratum).agg(F.count("*").alias("_n"))  # a row for each stratum
+    quota = counts.withColumn("_quota", F.greatest(F.lit(least), F.floor(F.col("_n") * size / F.sum("_n").over(Window.partitionBy(F.lit(1))))))
+    quota = quota.select(F.col(stratum).alias("_stratum"), "_quota")
+    # the share of a stratum can't exceed its least or the size: a bound that the planner applies before it sorts
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy(*order))
-    return df.join(quota.select(stratum, "_quota"), stratum).withColumn("_rank", rank).filter("_rank <= _quota").drop("_rank", "_quota")
+    first = df.withColumn("_rank", rank).filter(F.col("_rank") <= max(least, size))
+    return first.join(quota, F.col(stratum).eqNullSafe(F.col("_stratum"))).filter("_rank <= _quota").drop("_rank", "_quota", "_stratum")
+
+
+def spread_pages(total: int, count: int = 5) -> list[int]:
+    """Places 0..total-1 of the pages that are analysed: the first, then even steps rounded down, each once."""
+    if total <= count:
+        return list(range(total))
+    return sorted({0, *(min(int(i * (total - 1) / (count - 1)), total - 1) for i in range(1, count))}) if count > 1 else [0][:count]
+
+
+def unused_pages(pages: DataFrame, used: DataFrame, order: str = "number", key: str = "path", n: int = 3) -> DataFrame:
+    """The first ``n`` pages that were not used; where all were, the second to the fourth page."""
+    rest = pages.join(used.select(key).distinct(), key, "left_anti").orderBy(order).limit(n).withColumn("_way", F.lit(0))
+    place = F.row_number().over(Window.orderBy(order))
+    again = pages.orderBy(order).limit(4).withColumn("_place", place).filter("_place >= 2").drop("_place").withColumn("_way", F.lit(1))
+    both = rest.unionByName(again)
+    first = F.min("_way").over(Window.partitionBy(F.lit(1)))  # seven rows at most
+    return both.withColumn("_first", first).filter("_way = _first").drop("_way", "_first")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import fixed
+
 
 def is_title(text: Column, size: Column, dominant: Column, bold: Column) -> Column:
     """Larger than the dominant size, bold, or more than three letters all in capitals."""
@@ -47,14 +49,35 @@ def pages_of(text: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, F.expr(r"try_cast(regexp_extract(_t, '^(\\d+)', 1) as int)").alias("page"), F.regexp_replace("_t", r"^\d+ ---\n?", "").alias("text"))
 
 
+def header_parts(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Pages cut at their section headers: keys, page, n, code (null before the first header), title and text of each part.
+
+    The title is the line above the header, unless that is a page number or a running head.
+    """
+    pieces = F.split("text", f"(?={fixed.HEADER})")
+    parts = pages.select(*keys, "page", F.posexplode(pieces).alias("n", "text"))
+    code = F.regexp_replace(F.nullif(F.regexp_extract("text", f"^{fixed.HEADER}", 1), F.lit("")), r"\s+", " ")
+    above = F.lag("text").over(Window.partitionBy(*keys, "page").orderBy("n"))
+    lines = F.split(F.regexp_replace(above, r"\n[^\n]*\z", ""), "\n", -1)
+    line = F.when(F.contains(above, F.lit("\n")), F.regexp_replace(F.element_at(lines, -1), r"(?U)^\s+|\s+$", ""))
+    title = F.when(code.isNotNull() & (line != "") & ~line.rlike(fixed.NO_TITLE), line)
+    return parts.select(*keys, "page", "n", code.alias("code"), F.coalesce(title, F.lit("")).alias("title"), "text")
+
+
 def spec_sections(pages: DataFrame, keys: list[str], carry: bool = True) -> DataFrame:
-    """Pages of each section code: a page belongs to the last header on it, and a page without one to the section before.
+    """Pages, title and text of each section code.
 
-    carry=False leaves pages without a header out.
+    A page is cut at its headers: every section on it has its part, and what stands before the first header belongs to
+    the section before.  carry=False gives a page whole to its first header and leaves pages without one out.
     """
-    codes = F.regexp_extract_all("text", F.lit(r"Section\s+(\d{2}\s\d{2}\s\d{2})"), F.lit(1))
-    seen = pages.withColumn("_code", F.when(F.size(codes) > 0, F.element_at(codes, -1)))
-    w = Window.partitionBy(*keys).orderBy("page").rowsBetween(Window.unboundedPreceding, 0)
-    placed = seen.withColumn("code", F.last("_code", ignorenulls=True).over(w) if carry else F.col("_code")).filter("code is not null")
-    parts = F.array_sort(F.collect_list(F.struct("page", "text")))
-    return placed.groupBy(*keys, "code").agg(F.array_sort(F.collect_set("page")).alias("pages"), F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("text"))
+    parts = header_parts(pages, keys)
+    if carry:
+        w = Window.partitionBy(*keys).orderBy("page", "n").rowsBetween(Window.unboundedPreceding, 0)
+        placed = parts.withColumn("code", F.last("code", ignorenulls=True).over(w))
+    else:
+        first = parts.filter("code is not null").groupBy(*keys, "page").agg(F.min_by(F.struct("code", "title"), "n").alias("h"))
+        placed = pages.join(first, [*keys, "page"]).select(*keys, "page", F.lit(0).alias("n"), "h.code", "h.title", "text")
+    placed = placed.filter("code is not null and text <> ''")
+    rows = F.array_sort(F.collect_list(F.struct("page", "n", "text")))
+    titles = F.min_by("title", F.struct("page", "n"))
+    return placed.groupBy(*keys, "code").agg(titles.alias("title"), F.array_sort(F.collect_set("page")).alias("pages"), F.array_join(F.transform(rows, lambda p: p["text"]), "\n").alias("text"))

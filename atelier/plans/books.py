@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,8 +12,7 @@ from ..operators.keep import keep_first
 from ..operators.sections import dominant_font, filled, gathered, is_title, title_level
 
 c = F.col
-ROOM = r"(?iu)\b(?:(?:local|pièce|salle|classe|bureau)[\s\-]*(\d{3,})|([A-Z]{1,2}-?\d{3}[a-z]?)\b|(?:plan|dessin|drawing)\s+([A-Z]-?\d+))"
-NORM = r"(?iu)^(?:(?:CSA|ASTM|CAN|ISO|ANSI|NFPA|ULC)[\s\-]*[A-Z]?\d+|[A-Z]\d{3,5}|\d{4,})$"
+ROOM, NORM = fixed.ROOM_REFERENCE, fixed.STANDARD_REFERENCE
 
 
 def titled_sections(blocks: DataFrame, keys: list[str]) -> DataFrame:
@@ -44,6 +45,143 @@ def room_references(blocks: DataFrame, keys: list[str], whole_words: bool = True
     return keep_first(good, [*keys, "room_ref"], ["ord", c("s.start")]).select(*keys, "room_ref", "context", "page")
 
 
+def code_references(blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """Section codes that texts name, each once: the first mention with a title, else the first.
+
+    blocks: keys, page, ord, text, x0, y0, size, bold.  Adds division, title (the first of the texts about it in capitals,
+    of more than five letters and not a section header), context (three texts before and two behind on the page, those
+    of more than three letters) and is_header.
+    """
+    b = blocks.join(dominant_font(blocks, keys), keys).withColumn("text", text.bare(c("text")))
+    w = Window.partitionBy(*keys, "page").orderBy("y0", "x0", "ord")
+    long = lambda a: F.filter(a, lambda t: F.length(t) > 3)
+    before, behind = F.collect_list("text").over(w.rowsBetween(-3, -1)), F.collect_list("text").over(w.rowsBetween(1, 2))
+    b = b.withColumns({"_before": long(before), "_behind": long(behind)})
+    each = b.withColumn("s", F.explode(text.spans(c("text"), fixed.CODE))).withColumn("code", text.csi_code(c("s.match")))
+    about = F.concat("_before", F.array("text"), "_behind")
+    heads = F.filter(F.slice(about, 1, F.size(about) - 1), lambda t: (F.upper(t) == t) & (F.lower(t) != t) & (F.length(t) > 5) & ~F.startswith(t, F.lit("SECTION")))
+    each = each.select(*keys, "page", "ord", c("s.start").alias("_at"), "code", F.left("code", F.lit(2)).alias("division"), F.coalesce(F.get(heads, F.lit(0)), F.lit("")).alias("title"), F.left(F.array_join(about, " | "), F.lit(500)).alias("context"), is_title(c("text"), c("size"), c("dominant"), c("bold")).alias("is_header"))
+    return keep_first(each, [*keys, "code"], [c("title") == "", "ord", "_at"]).drop("_at")
+
+
+def local_references(t: Column) -> Column:
+    """Rooms that a text refers to in any of the older forms: sorted, each once, in capitals; years, codes and standards are none."""
+    found = F.flatten(F.array(*(F.regexp_extract_all(t, F.lit(p), F.lit(g)) for p, g in fixed.LOCAL_REFERENCES)))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(found, F.upper), lambda x: ~x.rlike(r"^\d{4,}$") & ~x.rlike("^(CSA|ASTM|CAN|ISO)"))))
+
+
+def chunks_of_local(ref: str, index: DataFrame, chunks: DataFrame, limit: int = 5) -> DataFrame:
+    """Chunks of the sections that name a room, if they hold it themselves; where none does, the first chunks that hold it, with or without the dash.
+
+    index: room_ref, codes; chunks: id, code, text, ord.
+    """
+    own, bare_ref = ref.upper().strip(), ref.upper().strip().replace("-", "")
+    codes = index.filter(F.upper("room_ref") == own).select(F.explode("codes").alias("code")).distinct()
+    sure = chunks.join(codes, "code", "left_semi").filter(F.contains(F.upper("text"), F.lit(own))).select("id", "ord", F.lit(1.0).alias("relevance"))
+    loose = chunks.filter(F.contains(F.upper("text"), F.lit(own)) | F.contains(F.upper("text"), F.lit(bare_ref))).orderBy("ord").limit(limit).select("id", "ord", F.lit(0.7).alias("relevance"))
+    return (sure if sure.limit(1).count() else loose).orderBy("ord")
+
+
+def fuzzy_key(asked: str, table: DataFrame, key: str) -> DataFrame:
+    """The row of an equal key in any case; else the first, by key, that holds what is asked or is held by it."""
+    k, q = F.upper(key), F.lit(asked.upper())
+    way = F.when(k == q, 0).when(F.contains(k, q) | F.contains(q, k), 1)
+    return table.filter(k != "").withColumn("_way", way).filter("_way is not null").orderBy("_way", key).limit(1).drop("_way")
+
+
+def room_sections(spark) -> DataFrame:
+    """(type, code, required): sections that a room type requires or commonly has."""
+    rows = [(k, code, need) for k, both in fixed.ROOM_SECTIONS.items() for need, codes in zip((True, False), both) for code in codes]
+    return spark.createDataFrame(rows, "type string, code string, required boolean")
+
+
+def section_titles(spark) -> DataFrame:
+    return spark.createDataFrame(list(fixed.SECTION_TITLES.items()), "code string, title string")
+
+
+def material_index(chunks: DataFrame) -> DataFrame:
+    """For each kind of material: its chunks (by words), the first five of them, and its sections (of those chunks, or by number).  chunks: id, ord, code, text."""
+    low = F.lower("text")
+    kinds = F.array(*(F.struct(F.lit(k).alias("material"), text.any_of(low, words).alias("named"), F.coalesce(F.left("code", F.lit(5)).isin(heads), F.lit(False)).alias("coded")) for k, (words, heads) in fixed.MATERIALS.items()))
+    each = chunks.select("id", "ord", "code", F.explode(kinds).alias("k")).select("id", "ord", "code", "k.*").filter("named or coded")
+    sums = each.withColumn("_r", F.row_number().over(Window.partitionBy("material", "named").orderBy("ord", "id")))
+    few = sums.filter("named and _r <= 5").groupBy("material").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "id"))), lambda r: r["id"]).alias("samples"))
+    out = each.groupBy("material").agg(F.count_if("named").alias("n_chunks"), F.array_sort(F.collect_set("code")).alias("codes"))
+    domain = chunks.sparkSession.createDataFrame([(k,) for k in fixed.MATERIALS], "material string")
+    none = F.array().cast("array<string>")
+    return domain.join(out, "material", "left").join(few, "material", "left").select("material", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"), F.coalesce("codes", none).alias("codes"), F.coalesce("samples", none).alias("samples"))
+
+
+def unified_entries(rooms: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Search entries of rooms (with the sections of their type) and of sections (with their chunks, rooms and types): kind, id, codes, search_text.
+
+    rooms: id, name; chunks: id, code, title, text.
+    """
+    spark = rooms.sparkSession
+    kinds, titles = room_sections(spark), section_titles(spark)
+    by_type = kinds.join(titles, "code", "left").groupBy("type").agg(F.array_sort(F.collect_list(F.struct(~c("required"), "code", F.coalesce("title", F.lit("")).alias("title")))).alias("s"))
+    typed = rooms.withColumn("type", text.index_type(c("name"), list(fixed.ROOM_SECTIONS))).join(F.broadcast(by_type), "type", "left")
+    codes = F.transform("s", lambda x: x["code"])
+    told = F.array_join(F.transform("s", lambda x: F.concat_ws(" ", x["code"], x["title"])), " ")
+    r = typed.select(F.lit("room").alias("kind"), F.concat(F.lit("room_"), "id").alias("id"), F.coalesce(codes, F.array().cast("array<string>")).alias("codes"), F.concat_ws(" ", "id", "name", "type", told).alias("search_text"))
+    of_code = kinds.groupBy("code").agg(F.array_sort(F.collect_set("type")).alias("types"))
+    own = chunks.filter("code <> ''").groupBy("code").agg(F.min("title").alias("own_title"))
+    s = own.join(F.broadcast(titles), "code", "left").join(F.broadcast(of_code), "code", "left")
+    s = s.select(F.lit("section").alias("kind"), F.concat(F.lit("csi_"), F.replace("code", F.lit(" "), F.lit("_"))).alias("id"), F.array("code").alias("codes"), F.concat_ws(" ", "code", F.coalesce("title", "own_title"), F.array_join("types", " ")).alias("search_text"))
+    return r.unionByName(s)
+
+
+def index_quality(rooms: DataFrame) -> DataFrame:
+    v = c("confidence")
+    return rooms.agg(F.bround(F.avg(v), 3).alias("mean"), F.count(v).alias("n"), F.count_if(v >= 0.8).alias("high"), F.count_if(v < 0.5).alias("low"))
+
+
+def asked_about(question: str) -> dict:
+    """What a question is about: a room, a kind of material, a maker; the first of them decides how it is answered."""
+    low, room = question.lower(), None
+    for p in (r"\blocal\s+([A-D]-?\d{3})\b", r"\blocal\s+(\d{3})\b", r"\b([A-D]-\d{3})\b"):
+        if m := re.search(p, question, re.IGNORECASE):
+            room = m[1].upper()
+            break
+    kind = next((k for k, words in fixed.ASKED_WORDS.items() if any(w in low for w in words)), None)
+    return {"local": room, "type": kind, "manufacturer": next((m.upper() for m in fixed.ASKED_MAKERS if m in low), None), "free_text": question}
+
+
+def ask_chunks(question: str, chunks: DataFrame, index: DataFrame, limit: int = 10) -> DataFrame:
+    """(id, ord, relevance): chunks that answer a question, best first: of the room, else of the material, else of the maker, else by words."""
+    about, low = asked_about(question), F.lower("text")
+    if about["local"]:
+        found = chunks_of_local(about["local"], index, chunks)
+        if not about["type"]:
+            return found
+        heads = [k[:5] for k in fixed.ASKED_SECTIONS.get(about["type"], [])]
+        both = found.join(chunks.filter(F.left("code", F.lit(5)).isin(heads)).select("id"), "id", "left_semi")
+        if both.limit(1).count():
+            return both
+        more = of_material(about["type"], chunks, limit)
+        return found.unionByName(more.join(found.select("id"), "id", "left_anti"))
+    if about["type"]:
+        return of_material(about["type"], chunks, limit)
+    if about["manufacturer"]:
+        return chunks.filter(F.contains(low, F.lit(about["manufacturer"].lower()))).orderBy("ord").limit(limit).select("id", "ord", F.lit(0.8).alias("relevance"))
+    words = question.lower().split()
+    hits = sum((F.contains(low, F.lit(w)).cast("int") for w in words), F.lit(0)) / F.lit(float(max(1, len(words))))
+    return chunks.select("id", "ord", hits.alias("relevance")).orderBy(F.desc("relevance"), "ord").limit(limit).filter("relevance > 0")
+
+
+def of_material(kind: str, chunks: DataFrame, limit: int = 10) -> DataFrame:
+    """Chunks of a material's sections, then those that hold one of its words."""
+    coded = F.coalesce(F.left("code", F.lit(5)).isin([k[:5] for k in fixed.ASKED_SECTIONS.get(kind, [])]), F.lit(False))
+    named = text.any_of(F.lower("text"), [w for w in fixed.ASKED_WORDS.get(kind, [kind])])
+    return chunks.withColumn("relevance", F.when(coded, 1.0).when(named, 0.8)).filter("relevance is not null").orderBy(F.desc("relevance"), "ord").limit(limit).select("id", "ord", "relevance")
+
+
+def validation_rate(log: DataFrame) -> DataFrame:
+    """Of a log of checks (id, verdict): how many, how many confirmed or corrected, and their share."""
+    sums = log.agg(F.count("*").alias("n"), F.count_if(c("verdict").isin("confirmed", "corrected")).alias("verified"))
+    return sums.withColumn("rate", F.coalesce(F.try_divide(c("verified"), c("n")), F.lit(0.0)))
+
+
 def section_ends(heads: DataFrame, keys: list[str], last_page: int) -> DataFrame:
     """The page on which each section ends: that of the next header."""
     follow = F.lead("page").over(Window.partitionBy(*keys).orderBy("page", "ord"))

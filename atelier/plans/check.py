@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, imperial, scores, text
 from ..operators.keep import keep_first
+from ..operators.within import held
 
 c = F.col
 
 
+def paint_systems(spark) -> DataFrame:
+    rows = [(k, surface, kinds, finish) for k, (surface, kinds, finish) in fixed.PAINT_SYSTEMS.items()]
+    return spark.createDataFrame(rows, "system string, surface string, types array<string>, finish string")
+
+
+def finish_titles(spark) -> DataFrame:
+    return spark.createDataFrame(list(fixed.FINISH_TITLES.items()), "code string, title string")
+
+
 def finish_sections(spark) -> DataFrame:
     rows = [(code, kind) for code, kinds in fixed.FINISH_SECTIONS.items() for kind in kinds]
     return spark.createDataFrame(rows, "code string, type string")
@@ -40,32 +50,44 @@ def by_type(rooms: DataFrame, sections: DataFrame) -> DataFrame:
     out = counts.join(cover, "type", "full_outer").withColumns({"n_rooms": F.coalesce("n_rooms", F.lit(0)), "codes": F.coalesce("codes", F.array().cast("array<string>"))})
     begins = lambda *heads: F.exists("codes", lambda k: F.startswith(k, F.lit(heads[0])) | F.startswith(k, F.lit(heads[1])))
     status = F.when(c("n_rooms") == 0, "not in drawings").when(F.size("codes") == 0, "not in specification").otherwise("covered")
-    floor = (c("n_rooms") > 0) & ~c("type").isin("TECHNIQUE", "RANGEMENT", "AUTRE", "GYMNASE") & ~begins("09 65", "09 30")
-    ceiling = (c("n_rooms") > 0) & ~c("type").isin("TECHNIQUE", "RANGEMENT", "AUTRE", "GYMNASE", "WC", "SERVICE") & ~begins("09 51", "09 53")
+    expected = (c("n_rooms") > 0) & c("type").isin(list(fixed.EXPECTED_FINISHES))
+    floor = expected & ~c("type").isin("TECHNIQUE", "RANGEMENT", "GYMNASE") & ~begins("09 65", "09 30")
+    ceiling = expected & ~c("type").isin("TECHNIQUE", "RANGEMENT", "GYMNASE", "WC") & ~begins("09 51", "09 53")
     return out.select("type", "n_rooms", "codes", status.alias("status"), F.when(status == "covered", F.when(c("named"), 0.85).otherwise(0.70)).alias("confidence"), floor.alias("floor_missing"), ceiling.alias("ceiling_missing"))
 
 
 def by_name(rooms: DataFrame, parts: DataFrame) -> DataFrame:
-    """Each room's best mention in the specification: its id in a text or title, else its name, else its type.
+    """Each room's best mention in the specification: its id within a text or title in any case, else its name within a
+    text, else the sections that cover its type, else nothing but the generic ones.
 
-    parts: (pord, title, content, sub boolean); a subsection is found by id alone.  The side that is looked into is a
-    specification book, hence small beside the rooms of all drawings; a shared word is asked for first, so that no
-    room meets every part.
+    rooms: id, name and, where it is known, type.  parts: (pord, title, content, sub boolean); a subsection is found by
+    id alone; of several mentions the first counts.  Ids and names are looked for once each, however many rooms have
+    them; null or empty ones are found nowhere.  A type that finishes are expected of and no section covers is missing.
     """
-    words = lambda col: F.array_distinct(F.filter(F.split(F.upper(col), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 0))
-    r = rooms.withColumn("ord", F.coalesce(c("ord"), F.lit(0)))
-    asked = r.select("ord", "id", "name", F.explode(F.array(F.element_at(F.split(F.upper("id"), r"[^\p{L}\p{N}]+"), -1), F.element_at(F.split(F.upper("name"), r"[^\p{L}\p{N}]+"), 1))).alias("w")).filter("w <> ''").distinct()
-    held = parts.withColumn("w", F.explode(F.array_union(words(c("title")), words(c("content")))))
-    met = asked.join(held, "w")
-    by_id = F.contains(F.upper("content"), F.upper("id")) | F.contains(F.upper("title"), F.upper("id"))
-    by_own = ~c("sub") & (c("name") != "") & F.contains(F.upper("content"), F.upper("name"))
-    hits = met.withColumn("way", F.when(by_id, 0).when(by_own, 1)).filter("way is not null").select("ord", "pord", "title", "way")
-    best = keep_first(hits, ["ord"], ["way", "pord"])
-    kind = text.room_type(c("name"))
-    out = r.join(best, "ord", "left").withColumn("type", kind)
-    level = F.when(c("way") == 0, 0.9).when(c("way") == 1, 0.6).when(c("type") != "AUTRE", 0.7).otherwise(0.4)
-    how = F.when(c("way") == 0, "direct").when(c("way") == 1, "name").when(c("type") != "AUTRE", "inferred").otherwise("generic")
-    return out.select("ord", "id", "name", "type", F.col("title").alias("section"), how.alias("way"), level.alias("confidence"))
+    r = rooms if "type" in rooms.columns else rooms.withColumn("type", F.lit(None).cast("string"))
+    r = r.withColumns({"_id": F.upper("id"), "_name": F.upper("name"), "type": F.coalesce(F.nullif("type", F.lit("")), text.room_type(F.coalesce("name", F.lit(""))))})
+    place = F.struct("pord", "title")
+    texts = parts.select(F.concat_ws("/", F.col("pord").cast("string"), F.lit("c")).alias("part"), F.upper("content").alias("text"), place.alias("place"), "sub").unionByName(parts.select(F.concat_ws("/", F.col("pord").cast("string"), F.lit("t")).alias("part"), F.upper("title").alias("text"), place.alias("place"), "sub"))
+
+    def first(column: str, within: DataFrame, name: str) -> DataFrame:
+        items = r.select(F.col(column).alias("needle")).filter("needle <> ''").distinct()
+        hits = held(within, items.withColumn("item", F.col("needle")), "part", "needle")
+        return hits.join(within.select("part", "place"), "part").groupBy(F.col("needle").alias(column)).agg(F.min("place").alias(name))
+
+    own = texts.filter("not sub and part like '%/c'")
+    out = r.join(first("_id", texts, "by_id"), "_id", "left").join(first("_name", own, "by_name"), "_name", "left")
+    covered = {k: [code for code, kinds in fixed.FINISH_SECTIONS.items() if k in kinds][:3] for k in sorted({x for v in fixed.FINISH_SECTIONS.values() for x in v})}
+    cover = F.try_element_at(F.create_map(*[F.lit(x) for k, v in covered.items() for x in (k, ", ".join(v))]), c("type"))
+    way = F.when(c("by_id").isNotNull(), "direct").when(c("by_name").isNotNull(), "name").when(cover.isNotNull(), "inferred").when(c("type").isin(list(fixed.EXPECTED_FINISHES)), "missing").otherwise("generic")
+    level = F.when(way == "direct", 0.9).when(way == "name", 0.6).when(way == "inferred", 0.7).when(way == "generic", 0.4)
+    section = F.coalesce("by_id.title", "by_name.title", F.when(way == "inferred", cover))
+    return out.select(*rooms.columns, *([] if "type" in rooms.columns else ["type"]), section.alias("section"), way.alias("way"), level.alias("confidence"))
+
+
+def name_match_totals(found: DataFrame) -> DataFrame:
+    """Rooms, those matched (all but the missing) and their share."""
+    out = found.agg(F.count("*").alias("total_rooms"), F.count_if(c("way") != "missing").alias("matched_rooms"))
+    return out.withColumn("match_rate", scores.ratio(c("matched_rooms"), c("total_rooms")))
 
 
 def length_mismatches(plan: DataFrame, spec: DataFrame) -> DataFrame:
@@ -124,21 +146,63 @@ def confidence_summary(rooms: DataFrame) -> DataFrame:
     return rooms.agg(F.bround(F.avg(v), 3).alias("mean"), F.count_if(v >= 0.8).alias("high"), F.count_if((v >= 0.5) & (v < 0.8)).alias("medium"), F.count_if(v < 0.5).alias("low"))
 
 
+ALERT = "severity string, type string, item string, message string"
+
+
 def alerts(rooms: DataFrame) -> DataFrame:
     """What is doubtful about each room: (severity, type, item, message)."""
     v, n = c("confidence"), F.size(F.coalesce("source_pages", F.array().cast("array<int>")))
+    notes = F.lower("extraction_notes")
     tell = lambda cond, severity, kind, message: F.when(cond, F.struct(F.lit(severity).alias("severity"), F.lit(kind).alias("type"), F.lit(message).alias("message")))
     each = [
-        tell(v < 0.4, "error", "low_confidence", "confidence under 0.4"), tell((v >= 0.4) & (v < 0.7), "warning", "low_confidence", "confidence under 0.7"), tell(n == 0, "error", "no_source", "no page shows it"), tell(n == 1, "warning", "single_source", "one page shows it"),
-        tell(F.upper("name").isin("LOCAL", "SALLE", "ROOM", "PIÈCE"), "warning", "generic_name", "the name tells nothing"), tell(F.lower("extraction_notes").rlike("(?u)ambig|incertain|unclear|uncertain"), "warning", "ambiguous", "the notes doubt it"),
+        tell(v < 0.4, "ERROR", "VERY_LOW_CONFIDENCE", "confidence under 0.4"), tell((v >= 0.4) & (v < 0.7), "WARNING", "LOW_CONFIDENCE", "confidence under 0.7"), tell(n == 0, "ERROR", "NO_SOURCE_PAGES", "no page shows it"), tell(n == 1, "WARNING", "SINGLE_SOURCE", "one page shows it"),
+        tell(F.coalesce("name", F.lit("")).isin("LOCAL", ""), "WARNING", "GENERIC_NAME", "the name tells nothing"), tell(text.any_of(notes, ["ambigu", "incertain", "possible", "?"]), "WARNING", "AMBIGUOUS_EXTRACTION", "the notes doubt it"),
     ]
-    return rooms.select(F.coalesce("id", F.lit("?")).alias("item"), F.explode(F.array_compact(F.array(*each))).alias("a")).select("a.severity", "a.type", "item", "a.message")
+    return rooms.select(F.coalesce("id", F.lit("UNKNOWN")).alias("item"), F.explode(F.array_compact(F.array(*each))).alias("a")).select("a.severity", "a.type", "item", "a.message")
+
+
+def room_quality(rooms: DataFrame) -> DataFrame:
+    """One row: rooms, those with a confidence, with a doubtful one, without pages, with one page, the mean confidence, and how many each method found."""
+    v, n = c("confidence"), F.size(F.coalesce("source_pages", F.array().cast("array<int>")))
+    method = F.coalesce("extraction_method", F.lit("unknown")).alias("method")
+    each = rooms.groupBy(method).agg(F.count("*").alias("n"), F.count(v).alias("m"), F.sum(v).alias("s"), F.count_if((v >= 0.4) & (v < 0.7)).alias("low"), F.count_if(n == 0).alias("none"), F.count_if(n == 1).alias("one"))  # a row for each method
+    total = lambda k: F.coalesce(F.sum(k), F.lit(0))
+    return each.agg(
+        total("n").alias("total_rooms"), total("m").alias("with_confidence"), total("low").alias("low_confidence"), total("none").alias("missing_pages"), total("one").alias("single_source"), F.coalesce(F.bround(F.try_divide(F.sum("s"), F.sum("m")), 3), F.lit(0.0)).alias("mean_confidence"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("method", "n")))).alias("methods"),
+    )
+
+
+def quality_alerts(rooms: DataFrame | None, products: DataFrame | None = None) -> DataFrame:
+    """All alerts of an extraction: of each room, of contradictions, of products, and of the whole; a table that is not there is an alert itself."""
+    spark = (rooms if rooms is not None else products).sparkSession if rooms is not None or products is not None else SparkSession.active()
+    if rooms is None:
+        out = spark.createDataFrame([("ERROR", "FILE_NOT_FOUND", "rooms", "there is no table of rooms")], ALERT)
+    else:
+        of = room_quality(rooms)
+        row = lambda severity, kind, message: F.struct(F.lit(severity).alias("severity"), F.lit(kind).alias("type"), F.lit("GLOBAL").alias("item"), message.alias("message"))
+        told = F.format_string("%d rooms, mean confidence %.2f", "total_rooms", "mean_confidence")
+        few = F.when(c("with_confidence") < c("total_rooms") * 0.5, row("WARNING", "LOW_CONFIDENCE_COVERAGE", F.format_string("%d of %d rooms have a confidence", "with_confidence", "total_rooms")))
+        whole = of.select(F.explode(F.array_compact(F.array(row("INFO", "EXTRACTION_SUMMARY", told), few))).alias("a")).select("a.*")
+        out = alerts(rooms).unionByName(contradictions(rooms)).unionByName(whole)
+    if products is not None:
+        name = F.concat_ws("_", F.coalesce("manufacturer", F.lit("UNKNOWN")), F.coalesce("model", F.lit("UNKNOWN")))
+        low = products.filter("confidence < 0.7").select(F.lit("WARNING").alias("severity"), F.lit("LOW_PRODUCT_CONFIDENCE").alias("type"), name.alias("item"), F.lit("confidence under 0.7").alias("message"))
+        sums = products.agg(F.count("*").alias("n"), F.count("confidence").alias("m")).filter("n > 0")
+        out = out.unionByName(low).unionByName(sums.select(F.lit("INFO").alias("severity"), F.lit("PRODUCT_SUMMARY").alias("type"), F.lit("GLOBAL").alias("item"), F.format_string("%d products, %d with a confidence", "n", "m").alias("message")))
+    return out
+
+
+def severity_totals(told: DataFrame) -> DataFrame:
+    """Alerts of each severity, 0 where there are none."""
+    domain = told.sparkSession.createDataFrame([("ERROR",), ("WARNING",), ("INFO",)], "severity string")
+    return domain.join(told.groupBy("severity").agg(F.count("*").alias("n")), "severity", "left").select("severity", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def contradictions(rooms: DataFrame) -> DataFrame:
-    """Ids with more than one name, names sorted."""
-    names = rooms.groupBy("id").agg(F.sort_array(F.collect_set("name")).alias("names"))
-    return names.filter(F.size("names") > 1).select(F.lit("error").alias("severity"), F.lit("contradiction").alias("type"), c("id").alias("item"), F.concat(F.lit("names: "), F.array_join("names", ", ")).alias("message"))
+    """Ids with more than one name (a null name is an empty one), names sorted."""
+    names = rooms.filter("id <> ''").groupBy("id").agg(F.sort_array(F.collect_set(F.coalesce("name", F.lit("")))).alias("names"))
+    return names.filter(F.size("names") > 1).select(F.lit("ERROR").alias("severity"), F.lit("CONTRADICTORY_NAME").alias("type"), c("id").alias("item"), F.concat(F.lit("names: "), F.array_join("names", ", ")).alias("message"))
 
 
 def rule_confidences(seen: DataFrame) -> DataFrame:
@@ -158,19 +222,60 @@ def stable_rules(candidates: DataFrame, rules: DataFrame) -> DataFrame:
     return candidates.join(rules.filter("stable").select("rule_id", c("confidence").alias("observed")), "rule_id", "left").withColumn("description", F.coalesce("description", F.lit("no description"))).filter("observed is not null")
 
 
-def rule_issues(rules: DataFrame) -> DataFrame:
-    each = F.array_compact(F.array(F.when(c("contradicted") > 0, F.concat(F.lit("contradicted: "), "rule_id")), F.when(~c("stable") & (c("contradicted") == 0), F.concat(F.lit("not stable: "), "rule_id")), F.when(c("n") < 2, F.concat(F.lit("seen once: "), "rule_id"))))
-    return rules.select("rule_id", F.explode(each).alias("issue"))
+def rule_issues(rules: DataFrame, pages: int | None = None) -> DataFrame:
+    """(rule_id, issue): rules that pages contradict, rules of little confidence, and (without a rule) too few pages."""
+    each = F.array_compact(F.array(F.when(c("contradicted") > 0, F.concat(F.lit("contradicted: "), "rule_id")), F.when(c("confidence") < 0.5, F.concat(F.lit("low confidence: "), "rule_id"))))
+    out = rules.select("rule_id", F.explode(each).alias("issue"))
+    if pages is not None and pages < 2:
+        out = out.unionByName(rules.sparkSession.createDataFrame([(None, "too few pages: two at least")], "rule_id string, issue string"))
+    return out
+
+
+def recommendations(rules: DataFrame, pages: int | None = None) -> DataFrame:
+    """(ord, recommendation) for what the issues of rules ask for."""
+    unstable = F.array_sort(F.collect_list(F.when(~c("stable"), c("rule_id"))))
+    sums = rules.agg(unstable.alias("unstable"), F.count_if(c("contradicted") > 0).alias("contradicted"), F.count_if(c("confidence") < 0.5).alias("low"))
+    none = (c("contradicted") == 0) & (c("low") == 0) & F.lit(pages is None or pages >= 2)
+    each = [
+        F.when(none, F.lit("the guide is stable and can be made final")), F.when(~none & (F.size("unstable") > 0), F.concat(F.lit("review unstable rules: "), F.array_join("unstable", ", "))),
+        F.when(~none & (c("contradicted") > 0), F.lit("look into contradicted rules")), F.when(~none & (c("low") > 0), F.lit("validate on more pages")),
+    ]
+    return sums.select(F.posexplode(F.array_compact(F.array(*each))).alias("ord", "recommendation"))
+
+
+def rule_ids(guide: Column) -> Column:
+    """Ids of rules that a guide names, sorted, each once; the first three where it names none."""
+    found = F.array_sort(F.array_distinct(F.regexp_extract_all(guide, F.lit(r"R\d{3}"), F.lit(0))))
+    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("R001"), F.lit("R002"), F.lit("R003")))
+
+
+def provisional_guide(candidates: DataFrame, analysis: str) -> DataFrame:
+    """A guide (one row) of candidate rules: rule_id, description, confidence."""
+    line = F.format_string("- %s: %s (confidence: %s)", "rule_id", F.coalesce("description", F.lit("")), F.col("confidence").cast("string"))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rule_id", line.alias("line")))), lambda r: r["line"]), "\n")
+    return candidates.agg(F.concat(F.lit(f"# Provisional guide\n\n## Analysis\n{analysis}\n\n## Candidate rules\n"), rows, F.lit("\n")).alias("guide"))
+
+
+def final_guide(stable: DataFrame, score: float) -> DataFrame:
+    """A guide (one row) of stable rules: rule_id, pattern, description, observed, n."""
+    block = F.concat(F.lit("### "), "rule_id", F.lit(": "), F.coalesce("pattern", F.lit("")), F.lit("\n- Description: "), "description", F.format_string("\n- Confidence: %.2f%%\n- Validations: %d", c("observed") * 100, F.col("n").cast("long")))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rule_id", block.alias("b")))), lambda r: r["b"]), "\n")
+    head = F.format_string(f"# Final guide\n\nOverall confidence: {100 * score:.2f}%%\nStable rules: %d\n\n", F.count("*"))
+    return stable.agg(F.concat(head, rows, F.lit("\n")).alias("guide"))
+
+
+def verified_rows(rows: DataFrame) -> DataFrame:
+    """Rooms checked by eye with what agrees; what was not seen agrees with nothing.  rows: gt_id, gt_name, vision_id, vision_name."""
+    norm = lambda k: F.upper(text.bare(F.coalesce(c(k), F.lit(""))))
+    name = (norm("gt_name") == norm("vision_name")) | ((norm("gt_name") != "") & (norm("vision_name") != "") & text.either_holds(norm("gt_name"), norm("vision_name")))
+    return rows.withColumns({"id_match": (norm("gt_id") == norm("vision_id")) & (norm("gt_id") != ""), "name_match": name & (norm("gt_name") != "")})
 
 
-def verification(rows: DataFrame) -> DataFrame:
-    """Totals of a check by eye.  rows: gt_id, gt_name, vision_id, vision_name."""
-    norm = text.compared
-    same = norm(c("gt_id")) == norm(c("vision_id"))
-    name = (norm(c("gt_name")) == norm(c("vision_name"))) | text.either_holds(norm(c("gt_name")), norm(c("vision_name")))
-    out = rows.select(same.alias("id_match"), name.alias("name_match"))
-    sums = out.agg(F.count("*").alias("n"), F.count_if("id_match").alias("ids"), F.count_if("name_match").alias("names"), F.count_if(c("id_match") & c("name_match")).alias("full"))
-    return sums.withColumn("reliability", F.bround(100 * scores.ratio(c("full"), c("n")), 1))
+def verification(rows: DataFrame, of: int | None = None) -> DataFrame:
+    """Totals of a check by eye; ``of``: how many rooms there are, for the share that was checked."""
+    sums = verified_rows(rows).agg(F.count("*").alias("n"), F.count_if("id_match").alias("ids"), F.count_if("name_match").alias("names"), F.count_if(c("id_match") & c("name_match")).alias("full"))
+    out = sums.withColumn("reliability", F.bround(100 * scores.ratio(c("full"), c("n")), 1))
+    return out if of is None else out.withColumn("sample", F.bround(100 * scores.ratio(c("n"), F.lit(of)), 1))
 
 
 def markdown(report: DataFrame, order: list[str]) -> DataFrame:

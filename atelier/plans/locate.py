@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import geometry, text
+from ..functions import fixed, geometry, text
 from ..operators.keep import keep_first
 from ..operators.near import grid_join
 
 c = F.col
+DISCIPLINES = ["architecture", "structure", "mecanique", "electrique", "civil", "autre"]
 
 
 def room_keys(id_: str = "id"):
@@ -71,6 +72,28 @@ def sightings(room_id: str, spans: DataFrame, plans: DataFrame) -> DataFrame:
     return out.orderBy(F.desc("preferred"), "page")
 
 
+def plans_of(spark) -> DataFrame:
+    """The drawing set's plans by page: page, plan_id, description, preferred."""
+    rows = [(i, plan, about, plan in fixed.PREFERRED_PLANS) for i, (plan, about) in enumerate(fixed.PLANS)]
+    return spark.createDataFrame(rows, "page int, plan_id string, description string, preferred boolean")
+
+
+def picked(seen: DataFrame, plan: str | None = None, every: bool = False) -> DataFrame:
+    """Of a room's sightings those that are shown: of the plans whose id holds ``plan``, or all, or the preferred plan's, else the first page's."""
+    if plan:
+        return seen.filter(F.contains(F.upper("plan_id"), F.lit(plan.upper())))
+    return seen if every else seen.orderBy(F.desc("preferred"), "page").limit(1)
+
+
+def on_all_plans(room_id: str, boxes: DataFrame) -> DataFrame:
+    """Boxes of a room on every plan, disciplines in their fixed order, then by path.  boxes: path, boxes map<string, ...> by room."""
+    order = F.array(*map(F.lit, DISCIPLINES))
+    kind = discipline(c("path"))
+    hits = boxes.withColumn("box", F.try_element_at("boxes", F.lit(room_id))).filter("box is not null").select("path", kind.alias("discipline"), "box")
+    place = F.array_position(order, c("discipline"))
+    return hits.orderBy(F.when(place == 0, len(DISCIPLINES) + 1).otherwise(place), "path")
+
+
 def floor_pages(rooms: DataFrame) -> DataFrame:
     """The page that shows most rooms of each floor of a block, the earlier of equals."""
     counts = rooms.groupBy("block", "floor", "page").agg(F.count("*").alias("n"))

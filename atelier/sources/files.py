@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,18 +97,30 @@ def write_json(df: DataFrame, path: str, by: list[str] | None = None) -> None:
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> str:
-    """Write beside a table that is being read, then swap; the old one stays as a backup, whose path is returned."""
-    fresh, old = f"{path}.new", f"{path}.bak"
+    """Write beside a table that is being read, then swap; the old one stays as a backup, whose path is returned.
+
+    Each swap has a backup of its own, so a table is at the path or whole in a backup at any time.
+    """
+    stamp = uuid.uuid4().hex
+    fresh, old = f"{path}.new-{stamp}", f"{path}.bak-{stamp}"
     df.write.mode("overwrite").parquet(fresh)
     at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
     fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(at(old), True)
-    if fs.exists(at(path)):
-        fs.rename(at(path), at(old))
-    fs.rename(at(fresh), at(path))
+    if fs.exists(at(path)) and not fs.rename(at(path), at(old)):
+        raise OSError(f"{path} could not be set aside")
+    if not fs.rename(at(fresh), at(path)):
+        raise OSError(f"{fresh} could not be put at {path}")
     return old
 
 
+def write_run(df: DataFrame, path: str, run: str | None = None) -> str:
+    """JSON lines of one run in a folder of its own, named by the time unless ``run`` names it; returns the folder."""
+    run = run or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    at = f"{path}/run_ts={run}"
+    df.write.mode("errorifexists").json(at)
+    return at
+
+
 def parsed_reply(text: Column, schema: str) -> Column:
     """struct<parsed, raw>: JSON of a model's reply, in a fenced block or plain; raw where it is neither."""
     fenced = F.regexp_extract(text, r"```(?:json)?\s*([\s\S]*?)\s*```", 1)

@@ -92,8 +92,14 @@ def test_drawings_against_a_specification(spark):
     assert got["CLASSE"].n_rooms == 2 and got["CLASSE"].codes == ["09 65 19", "09 91 00"] and got["CLASSE"].confidence == 0.85 and got["CLASSE"].ceiling_missing and not got["CLASSE"].floor_missing
     assert got["WC"].codes == ["09 30 13", "09 91 00"] and got["WC"].confidence == 0.7 and got["AUTRE"].status == "not in specification" and got["CORRIDOR"].status == "not in drawings"
     parts = spark.createDataFrame([(0, "Local A-100", "finis", False), (1, "toilettes", "le WC est carrelé", False), (2, "sub", "A-103 sport", True)], "pord int, title string, content string, sub boolean")
-    ways = {r.id: (r.way, r.confidence) for r in check.by_name(rooms, parts).collect()}
-    assert ways == {"A-100": ("direct", 0.9), "A-101": ("inferred", 0.7), "A-102": ("name", 0.6), "A-103": ("direct", 0.9), "A-104": ("generic", 0.4)}
+    ways = {r.id: (r.way, r.confidence, r.section) for r in check.by_name(rooms, parts).collect()}
+    assert ways == {"A-100": ("direct", 0.9, "Local A-100"), "A-101": ("inferred", 0.7, "09 21 16, 09 22 16, 09 51 13"), "A-102": ("name", 0.6, "toilettes"), "A-103": ("direct", 0.9, "sub"), "A-104": ("inferred", 0.7, "09 21 16")}
+    odd = spark.createDataFrame([("B-1", "CLASSE", None), ("A-204", "X", None), (None, None, "PISCINE"), ("", "", ""), ("a-9", "CLASSE", None)], "id string, name string, type string")
+    book2 = spark.createDataFrame([(5, "CLASSES et corridors", "voir A-204A, puis CLASSES", False), (3, "annexe", "locaux B-12 et classes", True), (4, "titre a-9", "", False)], "pord int, title string, content string, sub boolean")
+    got = [(r.id, r.way, r.section) for r in check.by_name(odd, book2).collect()]
+    assert sorted(got, key=str) == sorted([("B-1", "direct", "annexe"), ("A-204", "direct", "CLASSES et corridors"), (None, "generic", None), ("", "inferred", "09 21 16"), ("a-9", "direct", "titre a-9")], key=str)
+    t = check.name_match_totals(check.by_name(odd, book2)).first()
+    assert (t.total_rooms, t.matched_rooms, t.match_rate) == (5, 5, 1.0)
     plan = spark.createDataFrame([("A-101", "25'-0\"", "30'-0\""), ("A-102", "8'-0\"", "9'-0\""), ("A-103", "", None)], "id string, width string, length string")
     spec = spark.createDataFrame([("A-101: 25'-0\" x 30'-0\"\nA-102 de 10'-0\" x 9'-0\"",)], "text string")
     assert [r.id for r in check.length_mismatches(plan, spec).collect()] == ["A-102"]
@@ -118,13 +124,19 @@ def test_against_the_truth(spark):
 
 def test_confidence_alerts_and_contradictions(spark):
     ddl = "id string, name string, block string, floor int, source_pages array<int>, primary_source int, extraction_method string, extraction_notes string, extra string"
-    rows = [("A", "CLASSE", "A", 1, [40, 12, 3], None, "table", None, "kept"), ("B", None, None, 0, [], None, None, "ambiguous label", None), ("C", "LOCAL", "B", 2, [7], 7, None, None, None), ("C", "SALLE", "B", 2, [31, 35], 0, "ocr", None, None)]
+    rows = [("A", "CLASSE", "A", 1, [40, 12, 3], None, "table", None, "kept"), ("B", None, None, 0, [], None, None, "ambigu", None), ("C", "LOCAL", "B", 2, [7], 7, None, None, None), ("C", "SALLE", "B", 2, [31, 35], 0, "ocr", None, None)]
     rooms = check.with_confidence(spark.createDataFrame(rows, ddl))
     assert [(r.id, r.confidence, r.primary_source, r.extra) for r in rooms.collect()] == [("A", 0.9, 3, "kept"), ("B", 0.144, None, None), ("C", 0.595, 7, None), ("C", 0.722, 31, None)]
     s = check.confidence_summary(rooms).first()
     assert (s.high, s.medium, s.low) == (1, 2, 1)
     told = {(r.severity, r.type, r.item) for r in check.alerts(rooms).collect()}
-    assert {("error", "low_confidence", "B"), ("error", "no_source", "B"), ("warning", "ambiguous", "B"), ("warning", "single_source", "C"), ("warning", "generic_name", "C"), ("warning", "low_confidence", "C")} == told
+    assert {("ERROR", "VERY_LOW_CONFIDENCE", "B"), ("ERROR", "NO_SOURCE_PAGES", "B"), ("WARNING", "AMBIGUOUS_EXTRACTION", "B"), ("WARNING", "GENERIC_NAME", "B"), ("WARNING", "SINGLE_SOURCE", "C"), ("WARNING", "GENERIC_NAME", "C"), ("WARNING", "LOW_CONFIDENCE", "C")} == told
+    whole = check.quality_alerts(rooms, spark.createDataFrame([("M", "X", 0.5), (None, "Y", None)], "manufacturer string, model string, confidence double"))
+    assert {(r.severity, r.type, r.item) for r in whole.collect()} == told | {("ERROR", "CONTRADICTORY_NAME", "C"), ("INFO", "EXTRACTION_SUMMARY", "GLOBAL"), ("WARNING", "LOW_PRODUCT_CONFIDENCE", "M_X"), ("INFO", "PRODUCT_SUMMARY", "GLOBAL")}
+    assert {r.severity: r.n for r in check.severity_totals(whole).collect()} == {"ERROR": 3, "WARNING": 6, "INFO": 2}
+    assert [r.type for r in check.quality_alerts(None).collect()] == ["FILE_NOT_FOUND"]
+    q = check.room_quality(rooms).first()
+    assert (q.total_rooms, q.with_confidence, q.low_confidence, q.missing_pages, q.single_source, q.methods) == (4, 4, 1, 1, 1, {"ocr": 1, "table": 1, "unknown": 2}) and check.room_quality(rooms.limit(0)).first().total_rooms == 0
     assert [r.message for r in check.contradictions(rooms).collect()] == ["names: LOCAL, SALLE"]
     assert "| C |" in check.markdown(check.contradictions(rooms).select("item", "message"), ["item"]).first().markdown
 
@@ -138,10 +150,16 @@ def test_rules(spark):
     assert gate.score == pytest.approx(0.5) and not gate.final and check.rule_gate(rules.filter("rule_id = 'R1'")).first().final and not check.rule_gate(rules.limit(0), 0.0).first().final
     cand = spark.createDataFrame([("R1", None), ("R2", "x")], "rule_id string, description string")
     assert [(r.rule_id, r.description) for r in check.stable_rules(cand, rules).collect()] == [("R1", "no description")]
-    assert {r.issue for r in check.rule_issues(rules).collect()} == {"contradicted: R2", "not stable: R3", "seen once: R3"}
-    rows = [("A-1", "CLASSE", "a_1", "classe 2"), ("A-2", "WC", "B-2", "HALL")]
-    v = check.verification(spark.createDataFrame(rows, "gt_id string, gt_name string, vision_id string, vision_name string")).first()
-    assert (v.n, v.ids, v.names, v.full, v.reliability) == (2, 1, 1, 1, 50.0)
+    assert {r.issue for r in check.rule_issues(rules, 1).collect()} == {"contradicted: R2", "low confidence: R2", "too few pages: two at least"}
+    assert [r.recommendation for r in check.recommendations(rules).orderBy("ord").collect()] == ["review unstable rules: R2, R3", "look into contradicted rules", "validate on more pages"]
+    assert [r.recommendation for r in check.recommendations(rules.filter("rule_id = 'R1'")).collect()] == ["the guide is stable and can be made final"]
+    ids = spark.createDataFrame([("see R002, R001 and R002",), ("none",)], "t string").select(check.rule_ids(c("t")).alias("i")).collect()
+    assert [r.i for r in ids] == [["R001", "R002"], ["R001", "R002", "R003"]]
+    stable = check.stable_rules(spark.createDataFrame([("R1", "p", None)], "rule_id string, pattern string, description string"), rules).withColumn("n", F.lit(2))
+    assert "### R1: p" in check.final_guide(stable, 0.9).first().guide and "- R1: x (confidence: 0.5)" in check.provisional_guide(spark.createDataFrame([("R1", "x", 0.5)], "rule_id string, description string, confidence double"), "all").first().guide
+    rows = [("A-1", "CLASSE", " a-1", "classe 2"), ("A-2", "WC", "B-2", "HALL"), ("A-3", "WC", "A-3", None), ("A-4", "WC", None, "")]
+    v = check.verification(spark.createDataFrame(rows, "gt_id string, gt_name string, vision_id string, vision_name string"), 8).first()
+    assert (v.n, v.ids, v.names, v.full, v.reliability, v.sample) == (4, 2, 1, 1, 25.0, 50.0)
 
 
 def test_streams(spark, tmp_path):
