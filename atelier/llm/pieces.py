@@ -7,12 +7,16 @@ merge across their common boundary would come earlier than the merges which made
 of the last ``longest`` symbols are kept; ids are committed as soon as the paths of all of them run through
 one boundary.  The ids equal those of the sentencepiece library.
 
-Whole columns are encoded by the same walk over the distinct words of a batch at once in numpy: no piece
-crosses into a word's leading blanks, so blanks are boundaries on which all paths meet.
+All paths run through a boundary that no piece crosses: before a word's blanks (the model is refused where a piece
+holds a blank behind another character), and between two symbols that stand side by side in no piece, which in text
+without blanks is most of them.  So the windows between such boundaries, a batch's distinct ones at once in numpy,
+are walked symbol by symbol and committed at their ends; a window of more than ``SHORT`` symbols without such a
+boundary goes through the stream, which finds its commits by walking the surviving paths back.
 
 Defined results: an empty text has no ids and a null text has null; characters outside the vocabulary become
 byte pieces; U+2581 in a text is read as a blank and comes back as one (as in the library); repeated rows
-give equal results; an empty table gives an empty result; further columns pass unchanged.
+give equal results; texts of any length are taken whole; an empty table gives an empty result; further columns
+pass unchanged, but for those that are added, which are replaced.
 """
 
 from __future__ import annotations
@@ -47,6 +51,8 @@ class Model:
         if len(byte_ids) != 256:
             raise ValueError("the model has no byte pieces, so characters outside its vocabulary would be lost")
         text = {sp.id_to_piece(i): i for i in plain}
+        if inner := [p for p in text if BLANK in p.lstrip(BLANK)]:
+            raise ValueError(f"pieces such as {inner[0]!r} hold a blank behind another character, so words can't be taken apart before blanks")
         chars = sorted(p for p in text if len(p) == 1)
         merged = sorted((p for p in text if len(p) > 1), key=lambda p: (-sp.get_score(text[p]), text[p]))
         score = {p: sp.get_score(i) for p, i in text.items()}
@@ -68,6 +74,8 @@ class Model:
         order = np.argsort(keys)
         self.pair_keys, self.pair_made = keys[order], (np.arange(self.first_merge, n)[order]).astype(np.int32)
         self.longest = max(map(len, self.number))
+        beside = {self.number[a] << 32 | self.number[b] for p in made for a, b in zip(p, p[1:])}
+        self.beside = np.array(sorted(beside), np.int64)
         self.char = np.full(0x110000, -1, np.int32)
         for c in chars:
             self.char[ord(c)] = self.number[c]
@@ -242,8 +250,25 @@ def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def certain(m: Model, syms: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Offsets of the windows that long words fall into: cut between symbols that no piece holds side by side."""
+    long = np.flatnonzero(np.diff(offs) > SHORT)
+    if not len(long) or not len(m.beside):
+        return offs
+    at = _gather(offs[long] + 1, np.diff(offs)[long] - 1)  # inner boundaries of long words
+    key = syms[at - 1].astype(np.int64) << 32 | syms[at]
+    k = np.minimum(np.searchsorted(m.beside, key), len(m.beside) - 1)
+    return np.sort(np.concatenate((offs, at[m.beside[k] != key])))
+
+
 def encode_words(m: Model, syms: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of words given as symbols."""
+    cuts = certain(m, syms, offs)
+    ids, at = _encode_windows(m, syms, cuts)
+    return ids, at[np.searchsorted(cuts, offs)]
+
+
+def _encode_windows(m: Model, syms: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = np.diff(offs)
     counts, ids = np.zeros(len(size), np.int64), {}
     for low, high in ((0, 4), (4, 8), (8, 12), (12, 20), (20, SHORT)):

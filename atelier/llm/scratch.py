@@ -18,9 +18,11 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
+    """The cluster's shared folder; a temporary one only where a local session names none (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="atelier-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

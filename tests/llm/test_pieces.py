@@ -38,6 +38,47 @@ def test_any_text(both, text):
     assert data.tobytes().decode() == text.replace("▁", " ")
 
 
+def test_text_without_blanks_falls_into_windows(both):
+    m, sp = both
+    rnd = random.Random(3)
+    han = "".join(chr(rnd.randrange(0x4E00, 0x9FA0)) for _ in range(3000))
+    coded = "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(3000))
+    texts = [han, coded, "".join(rnd.choice([*"日本語の文章です。", *"abc"]) for _ in range(2000)), "e" * 500 + "é" * 500, "=" * 700]
+    assert encoded(m, texts) == sp.encode(texts)
+    import numpy as np
+
+    syms = np.array(m.symbols("▁" + texts[2]), np.int32)
+    cuts = pieces.certain(m, syms, np.array([0, len(syms)]))
+    assert len(cuts) > 100 and cuts[0] == 0 and cuts[-1] == len(syms)
+
+
+def test_a_model_with_inner_blanks_is_refused(monkeypatch):
+    class Odd:
+        def __init__(self, model_file):
+            self.p = [f"<0x{b:02X}>" for b in range(256)] + ["a", "▁", "a▁a"]
+
+        def get_piece_size(self):
+            return len(self.p)
+
+        def id_to_piece(self, i):
+            return self.p[i]
+
+        def get_score(self, i):
+            return -float(i)
+
+        def is_byte(self, i):
+            return i < 256
+
+        def is_control(self, i):
+            return False
+
+        is_unknown = is_unused = is_control
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Odd)
+    with pytest.raises(ValueError, match="blank behind"):
+        pieces.Model("odd")
+
+
 def test_the_stream_keeps_a_bounded_window(both):
     m, sp = both
     text = "antidisestablishmentarianism" * 40
