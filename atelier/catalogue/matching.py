@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..operators import sections, within
-from ..operators.keep import spread_pages, unused_pages
+from ..operators.keep import spread, spread_pages, unused_pages
 from ..plans import books, check, locate, products, search
 from .base import query
 from .texts import _ladder_sql
@@ -118,7 +118,7 @@ def text_containment_join(t):
     part = lambda base, x: b.select((F.lit(base) + c("item_id")).alias("item_id"), x.alias("item"))
     items = part(0, c("text")).unionByName(part(100000, F.regexp_extract("text", "^([^ ]+ [^ ]+)", 1))).unionByName(part(200000, F.left("text", F.lit(3)))).unionByName(part(300000, F.substring("text", 3, 9)))
     items = items.unionByName(t.spark.createDataFrame([(400000, "zqx")], "item_id long, item string"))
-    return within.held(t.documents, items, "doc_id", "item_id")
+    return within.held(spread(t.documents.select("doc_id", "text")), items, "doc_id", "item_id")
 
 
 @query("""WITH p AS (SELECT 'A-' || (100 + p_partkey % 900) AS id, p_size AS w, p_size + 2 AS l FROM part), s AS (SELECT DISTINCT 'A-' || (100 + p_partkey % 900) AS id, p_size + (p_partkey % 3 = 0)::INT AS w, p_size + 2 AS l FROM part)
@@ -362,7 +362,7 @@ def products_from_text(t):
     bar = F.concat(F.lit("Maker"), letter(65, 26), F.lit(" | Model "), "p_partkey", F.lit("; "), stated)
     told = F.concat(F.lit("Fabricant: Mark"), letter(97, 7), F.lit(". Modèle: XK"), "p_partkey", F.lit(", "), stated)
     listed = F.concat(F.lit("- List"), letter(97, 5), F.lit(" (ou approuvé)\n- USG  Co\n- USG Co\n- Voir note\n"))
-    blocks = t.part.select("p_partkey", F.lit(0).alias("ord"), F.lit(1).alias("page"), F.when(k == 0, bar).when(k == 1, told).when(k == 2, listed).otherwise("Selon le cas | Voir ici").alias("text"))
+    blocks = spread(t.part.select("p_partkey", "p_size")).select("p_partkey", F.lit(0).alias("ord"), F.lit(1).alias("page"), F.when(k == 0, bar).when(k == 1, told).when(k == 2, listed).otherwise("Selon le cas | Voir ici").alias("text"))
     found = products.products(blocks, ["p_partkey"])
     return found.select("p_partkey", F.regexp_replace("maker", " +", " ").alias("maker"), "model", "kind", F.try_element_at("specs", F.lit("dimension")).alias("dimension")).distinct()
 

@@ -27,13 +27,13 @@ CLASS_SQL = "CASE WHEN greatest(legend, plan, detail, elevation) <= 0 THEN 'OTHE
 
 @query(f"SELECT doc_id, legend, plan, detail, elevation FROM ({_score_sql()})")
 def page_keyword_scores(t):
-    rows = t.documents.select("doc_id", scores.page_scores(c("text")).alias("s"))
+    rows = keep.spread(t.documents.select("doc_id", "text")).select("doc_id", scores.page_scores(c("text")).alias("s"))
     return rows.select("doc_id", *(c(f"s.{k}").cast("long").alias(k.lower()) for k in fixed.PAGE_WORDS))
 
 
 @query(f"SELECT d.type, coalesce(n, 0)::BIGINT AS n FROM (VALUES ('LEGEND'), ('PLAN'), ('DETAIL'), ('ELEVATION'), ('OTHER')) d(type) LEFT JOIN (SELECT {CLASS_SQL} AS type, count(*) AS n FROM ({_score_sql()}) GROUP BY 1) x USING (type)")
 def page_class_histogram(t):
-    return detect.class_counts(detect.classified(t.documents.select("doc_id", "text")))
+    return detect.class_counts(detect.classified(keep.spread(t.documents.select("doc_id", "text"))))
 
 
 @query(f"""
@@ -44,7 +44,7 @@ o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY f, page) AS plac
 SELECT source, page, type, score::BIGINT AS score FROM o WHERE place <= 5
 """)
 def select_pages_per_source(t):
-    pages = detect.classified(t.documents.select("source", c("doc_id").alias("page"), "text"))
+    pages = detect.classified(keep.spread(t.documents.select("source", c("doc_id").alias("page"), "text")))
     return keep.select_pages(pages.select("source", "page", "type", c("score").cast("long").alias("score")), ["source"], 5)
 
 
@@ -61,7 +61,7 @@ SELECT doc_id, score FROM (SELECT doc_id, ({_term_sql(_TERMS, "s", "lower(source
 FROM (SELECT *, regexp_replace(regexp_replace(lower(coalesce(text, '')), '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g') AS s FROM documents)) WHERE score > 0 ORDER BY score DESC, doc_id LIMIT 20
 """)
 def search_topk(t):
-    docs = t.documents.select("doc_id", "source", "lang", text.search_text(F.coalesce("text", F.lit(""))).alias("s"))
+    docs = keep.spread(t.documents.select("doc_id", "source", "lang", "text")).select("doc_id", "source", "lang", text.search_text(F.coalesce("text", F.lit(""))).alias("s"))
     return keep.top_k(docs, scores.search_score(_TERMS, c("s"), c("source"), c("lang")), ["doc_id"], 20).select("doc_id", "score")
 
 
@@ -85,7 +85,7 @@ FROM (SELECT l_orderkey, l_linenumber, l_quantity::INT AS f, l_linenumber::INT A
 def imperial_parse(t):
     rest = (c("l_orderkey") % 8).cast("int")
     made = F.concat(c("l_quantity").cast("int").cast("string"), F.lit("'-"), c("l_linenumber").cast("string"), F.when(rest > 0, F.concat(F.lit(" "), rest.cast("string"), F.lit("/8"))).otherwise(""), F.lit('"'))
-    li = t.lineitem.select("l_orderkey", "l_linenumber", made.alias("value_text"))
+    li = keep.spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")).select("l_orderkey", "l_linenumber", made.alias("value_text"))
     return li.select("l_orderkey", "l_linenumber", "value_text", imperial.inches(c("value_text")).alias("value_inches"), imperial.parsed(c("value_text"))["feet"].alias("feet"), F.round(imperial.confidence(c("value_text")), 6).alias("confidence"))
 
 
@@ -93,7 +93,7 @@ def imperial_parse(t):
 FROM lineitem, (VALUES (1), (2)) v(k)""")
 def imperial_extract_all(t):
     made = F.concat(F.lit("wall "), c("l_quantity").cast("int").cast("string"), F.lit("'-"), c("l_linenumber").cast("string"), F.lit('" by '), (c("l_orderkey") % 11 + 1).cast("string"), F.lit('" clear'))
-    each = t.lineitem.select("l_orderkey", "l_linenumber", F.posexplode(imperial.within(made)).alias("i", "s"))
+    each = keep.spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")).select("l_orderkey", "l_linenumber", F.posexplode(imperial.within(made)).alias("i", "s"))
     return each.select("l_orderkey", "l_linenumber", (c("i") + 1).cast("int").alias("n"), imperial.inches(c("s.match")).alias("value_inches"))
 
 
@@ -187,7 +187,7 @@ def query_parse(t):
 
 @query("""SELECT w, count(*) AS n_docs, min(doc_id) AS first_doc, sum(n)::BIGINT AS n FROM (SELECT w, doc_id, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+')) AS w FROM documents) GROUP BY ALL) GROUP BY 1""")
 def inverted_index(t):
-    words = t.documents.select("doc_id", F.explode(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "[\\x20\\x09-\\x0D]+"), lambda x: x != "")).alias("w"))
+    words = keep.spread(t.documents.select("doc_id", "text")).select("doc_id", F.explode(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "[\\x20\\x09-\\x0D]+"), lambda x: x != "")).alias("w"))
     per = words.groupBy("w", "doc_id").agg(F.count("*").alias("n"))
     return per.groupBy("w").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"), F.sum("n").alias("n"))
 

@@ -6,6 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where their scan has fewer tasks than there are cores (few row groups): ahead of costly columns.
+
+    A table of many row groups is left as it is, so nothing of any size is shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+
+
 def keep_first(df: DataFrame, keys: list, order: list) -> DataFrame:
     """The first row of each key in a total order (the planner bounds the rows of a key before it sorts)."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
