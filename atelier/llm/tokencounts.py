@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, exists, hadoop, remove, schema_with, ship
+from .scratch import Scratch, exists, hadoop, partitions, remove, schema_with, ship
 from .textkit import Words, buffers, spans, tidy
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -80,7 +80,7 @@ def count_tokens(docs: DataFrame, path: str = RANKS, text: str = "text") -> Data
             words = np.zeros(batch.num_rows, np.int64)
             for a, b in spans(offsets):
                 words[a:b] = np.diff(Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]).first)
-            tokens = [sum(len(enc.encode_ordinary(p)) for p in parts(t.as_py())) if t.is_valid else 0 for t in column]
+            tokens = [sum(len(enc.encode_ordinary(p)) for p in parts(t)) if t else 0 for t in column.to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(words), pa.array(tokens, pa.int64())], names=[*rest, "n_words", "n_tokens"])
 
     ship(docs.sparkSession)
@@ -139,8 +139,10 @@ class TokenRollup:
         return self.spark.createDataFrame([], schema) if out is None else out
 
     def _write(self, folder: str, ledger: DataFrame) -> None:
-        """The ledger in its folders, and the sums by key beside it."""
-        ledger.withColumn("folder", _folder("doc_id")).write.mode("overwrite").partitionBy("folder").parquet(f"{self.root}/{folder}/ledger")
+        """The ledger in its folders, a few files each, and the sums by key beside it."""
+        parts = max(1, partitions(self.spark) // FOLDERS)
+        dealt = ledger.withColumn("folder", _folder("doc_id")).repartition(F.col("folder"), F.pmod(F.xxhash64("doc_id", "tokens"), F.lit(parts)))
+        dealt.write.mode("overwrite").partitionBy("folder").parquet(f"{self.root}/{folder}/ledger")
         own = self.spark.read.schema(f"{LEDGER}, folder int").parquet(f"{self.root}/{folder}/ledger")
         own.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).write.mode("overwrite").parquet(f"{self.root}/{folder}/delta")
 
