@@ -229,6 +229,15 @@ def finish_coverage(t):
     return each.groupBy("type").agg(F.array_join(F.array_sort(F.collect_list("system")), ",").alias("systems"))
 
 
+_REPLY = "CASE o_orderkey % 5 WHEN 0 THEN 'ID: a-' || o_custkey || ', NOM: salle verte' WHEN 1 THEN 'Local ' || o_custkey || 'b est un corridor nord, ou bien' WHEN 2 THEN 'vu B-1' || (10 + o_custkey % 90) || ': la cuisine' WHEN 3 THEN 'NOM = Bureau' ELSE 'rien' END"
+
+
+@query(f"""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'A-' || o_custkey WHEN 1 THEN o_custkey || 'B' WHEN 2 THEN 'B-1' || (10 + o_custkey % 90) END AS id, CASE o_orderkey % 5 WHEN 0 THEN 'SALLE VERTE' WHEN 1 THEN 'CORRIDOR NORD' WHEN 2 THEN 'CUISINE' WHEN 3 THEN 'BUREAU' END AS name FROM orders""")
+def room_reply(t):
+    said = text.room_reply(F.expr(_REPLY))
+    return t.orders.select("o_orderkey", said["id"].alias("id"), said["name"].alias("name"))
+
+
 # locating: a line of an order is a recognised word, a part a room
 
 _WORD = "SELECT l_linenumber AS page, lpad((l_partkey % 1000)::VARCHAR, 3, '0') AS k, 2 * l_quantity AS conf, 10.0 * (l_partkey % 400) AS x, 20.0 * l_linenumber AS y FROM lineitem WHERE l_quantity >= 15"

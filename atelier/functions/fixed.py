@@ -268,6 +268,14 @@ ASKED_WORDS = {
 }
 ASKED_MAKERS = ["mapei", "benjamin moore", "sherwin", "armstrong", "tarkett", "certainteed", "cgc", "lafarge", "hilti", "sika", "tremco"]
 
+# A reply about a room: forms of its id, of its name, and names that may stand anywhere, in order.
+REPLY_IDS = [r"(?iu)ID\s*[:=]\s*([A-Z]?-?\d+[A-Za-z]?)", r"(?iu)Local\s+([A-Z]?-?\d+[A-Za-z]?)", r"(?iu)([A-Z]-\d{3}[A-Za-z]?)"]
+REPLY_NAMES = [r"(?iu)NOM\s*[:=]\s*([A-ZÀÂÄÉÈÊËÏÎÔÙÛÜÇ\s'-]+)", r"(?iuU)(?:CLASSE|CORRIDOR|BUREAU|TOILETTE|RANGEMENT|SALLE)[S]?\s*([\w\s'-]*)"]
+COMMON_NAMES = [
+    "CLASSE", "CORRIDOR", "BUREAU", "TOILETTE", "TOILETTES", "RANGEMENT", "SALLE DE CLASSE", "CONCIERGERIE", "VESTIBULE", "GYMNASE", "BIBLIOTHÈQUE", "SECRÉTARIAT", "DIRECTION",
+    "MÉCANIQUE", "ÉLECTRIQUE", "SALLE DES PROFESSEURS", "CUISINE", "CAFÉTÉRIA", "ESCALIER", "ASCENSEUR",
+]
+
 # What users are told.
 NOT_FOUND = "Information non trouvée dans les documents vérifiés."
 MADE_UP = "⚠️ Ce numéro de local n'existe PAS sur les plans architecturaux. Il a été identifié comme fabriqué."

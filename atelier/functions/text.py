@@ -193,6 +193,15 @@ def is_maker(c: Column, most: int = 40) -> Column:
     return F.length(c).between(2, most) & ~low.isin(fixed.NO_MAKERS) & ~low.rlike(words) & ~any_of(low, fixed.NO_MAKER_PARTS) & c.rlike(r"^\p{Lu}")
 
 
+def room_reply(reply: Column) -> Column:
+    """struct<id, name> that a reply in plain words gives for a room; null where it gives none."""
+    t = F.coalesce(reply, F.lit(""))
+    first = lambda patterns, group: F.coalesce(*(F.nullif(F.regexp_extract(t, p, group), F.lit("")) for p in patterns))
+    said = bare(F.upper(F.regexp_replace(bare(first(fixed.REPLY_NAMES, 0)), r"(?i)^NOM\s*[:=]\s*", "")))
+    common = F.coalesce(*(F.when(F.contains(F.lower(t), F.lit(n.lower())), n) for n in fixed.COMMON_NAMES))
+    return F.struct(F.upper(first(fixed.REPLY_IDS, 1)).alias("id"), F.coalesce(F.nullif(said, F.lit("")), common).alias("name"))
+
+
 # Questions: one text on the driver, no table.
 
 

@@ -129,8 +129,8 @@ def quality(rows: DataFrame, least: float = 0.7) -> DataFrame:
 
 
 def low_confidence(rows: DataFrame, least: float = 0.75) -> DataFrame:
-    """What needs to be checked; a null confidence needs it too."""
-    return rows.filter(F.coalesce("confidence", F.lit(0.0)) < least)
+    """What needs to be checked; without a confidence nothing is doubted."""
+    return rows.filter(F.coalesce("confidence", F.lit(1.0)) < least)
 
 
 def mean_score(matches: DataFrame) -> DataFrame:

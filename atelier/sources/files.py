@@ -57,6 +57,13 @@ def pages(vectors: DataFrame, wanted: list[int] | None = None) -> DataFrame:
     return out.filter(F.col("page").isin(wanted)) if wanted else out
 
 
+def totals(vectors: DataFrame) -> DataFrame:
+    """(doc, n_pages, n_blocks, n_drawings) of vector documents, from their nested arrays."""
+    size = lambda a: F.coalesce(F.size(a), F.lit(0))
+    nested = lambda k: F.aggregate(F.coalesce("pages", F.array().cast(vectors.schema["pages"].dataType)), F.lit(0).cast("long"), lambda acc, p: acc + F.greatest(size(p[k]), F.lit(0)))
+    return vectors.select(F.coalesce("source", F.lit("")).alias("doc"), F.greatest(size(F.col("pages")), F.lit(0)).alias("n_pages"), nested("text_blocks").alias("n_blocks"), nested("drawings").alias("n_drawings"))
+
+
 def scale(dims: str, dpi: str) -> Column:
     """Pixels a point: the mean of both sides' ratios, else by resolution."""
     d = lambda k: F.col(f"{dims}.{k}")

@@ -39,7 +39,7 @@ def test_products_against_the_truth(spark):
     assert [(r.found_ord, r.score, r.status) for r in got] == [(0, 0.75, "matched"), (None, None, "missing"), (None, None, "missing")]
     assert products.mean_score(products.against_truth(found, truth)).first().score == 0.75
     rows = spark.createDataFrame([(0.9,), (0.6,), (None,)], "confidence double")
-    assert tuple(products.quality(rows).first()) == (3, 2, 1) and products.low_confidence(rows).count() == 2
+    assert tuple(products.quality(rows).first()) == (3, 2, 1) and products.low_confidence(rows).count() == 1
 
 
 def test_texts_that_hold_items(spark, monkeypatch):
@@ -163,6 +163,12 @@ def test_sinks(spark, tmp_path):
         files.write_run(spark.range(2), f"file://{tmp_path}/runs", "r1")
 
 
+def test_totals_of_nested_pages(spark):
+    rows = [("a", [{"text_blocks": [{"text": "x"}, {"text": "y"}], "drawings": None}, {"text_blocks": None, "drawings": [{"fill": "f"}]}]), (None, None), ("c", [])]
+    df = spark.createDataFrame(rows, "source string, pages array<struct<text_blocks: array<struct<text: string>>, drawings: array<struct<fill: string>>>>")
+    assert [tuple(r) for r in files.totals(df).collect()] == [("a", 2, 2, 1), ("", 0, 0, 0), ("c", 0, 0, 0)]
+
+
 def test_strata_are_counted_once(spark):
     df = spark.createDataFrame([(None if i % 10 == 0 else f"s{i % 3}", i) for i in range(100)], "s string, id int")
     got = keep.stratified(df, "s", "id", 20, 3)
