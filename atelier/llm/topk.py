@@ -255,9 +255,9 @@ def _routed(summaries, groups: dict[int, int] | None, size: int, lead: bool):
                     continue
                 else:
                     names, mid, far, least = table[dim]
-                    tops = balls((mid, far, least), q)
                     heads = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
-                    top = np.maximum.reduceat(tops, heads, axis=1)
+                    # some queries at a time, which bounds the table of bounds
+                    top = np.concatenate([np.maximum.reduceat(balls((mid, far, least), q[lo : lo + 64]), heads, axis=1) for lo in range(0, len(q), 64)])
                     first = names[heads[int(top.mean(axis=0).argmax())]]
                     sent = {g: np.flatnonzero(top[:, i] >= floor) for i, g in enumerate(names[heads])}
                 for g, rows in sent.items():
