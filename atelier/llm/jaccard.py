@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .components import components, extended
 from .scratch import Scratch, partitions
-from .textkit import U, mix, shingle_sets, tidy
+from .textkit import U, mix, release, shingle_sets, tidy
 
 #: Regions over this many members recur on document pivots; shingles found in more documents come last in the order of rarity.
 LARGE = 48
@@ -46,6 +46,8 @@ BROADCAST_ROWS = 500_000
 FLUSH = 1_000_000
 #: Bytes of postings that a task sorts at once; their buckets grow in number with the data.
 BUCKET_BYTES = 64 << 20
+#: A worker gives its memory back after a block of more bytes of text.
+FREED_BYTES = 4 << 20
 K1, K2 = U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB)
 HEAVY = np.uint32(1 << 31)
 
@@ -230,7 +232,15 @@ def compared(scratch: Scratch, pairs: DataFrame, points: DataFrame, texts: DataF
     held = scratch.table(some.join(named, "tkey"), f"{name}-texts")
     need = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
     sent = need.join(held, "sid").select(F.col("family").alias("f"), F.col("p").alias("fp"), F.col("q").alias("fq"), "sid", "text")
-    out = dealt.groupBy("family", "p", "q").cogroup(sent.groupBy("f", "fp", "fq")).applyInArrow(compare, schema)
+
+    def freed(pairs, texts):
+        try:
+            return compare(pairs, texts)
+        finally:
+            if texts.nbytes > FREED_BYTES:
+                release()
+
+    out = dealt.groupBy("family", "p", "q").cogroup(sent.groupBy("f", "fp", "fq")).applyInArrow(freed, schema)
     out = scratch.table(out, f"{name}-verified")
     for x in ("texts", "keyed", "dealt", "pairs"):
         scratch.drop(f"{name}-{x}")

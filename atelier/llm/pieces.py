@@ -35,7 +35,9 @@ NONE = np.int32(2**30)
 #: Words of more symbols than this take the streaming walk one by one.
 SHORT = 64
 #: Bytes of text that are encoded at once.
-SLICE = 5 << 19
+SLICE = 1 << 20
+#: Windows that are walked at once.
+WALKED = 20_000
 _models: dict = {}
 
 
@@ -273,7 +275,7 @@ def _encode_windows(m: Model, syms: np.ndarray, offs: np.ndarray) -> tuple[np.nd
     counts, ids = np.zeros(len(size), np.int64), {}
     for low, high in ((0, 4), (4, 8), (8, 12), (12, 20), (20, SHORT)):
         rows = np.flatnonzero((size > low) & (size <= high))
-        for part in np.array_split(rows, max(1, len(rows) // 50_000)):
+        for part in np.array_split(rows, max(1, len(rows) // WALKED)):
             if len(part):
                 got, n = _walk(m, syms, offs[part], size[part])
                 counts[part] = n

@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Rows of an Arrow batch, where the session has Spark's own default: whole texts come in a batch, and a batch is held on both sides.
-BATCH_ROWS = "2000"
+BATCH_ROWS = "1000"
 
 
 def ship(spark: SparkSession) -> None:
