@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, linededup, mixing, pieces, quality, sharding, substrings, tokencounts, topk, toxicity
+from . import divergence, jaccard, linededup, mixing, pieces, quality, resample, sharding, simhash, substrings, tokencounts, topk, toxicity
 
 
 def queries() -> dict:
@@ -17,8 +17,11 @@ def queries() -> dict:
         "op8_substrings": substrings.op8_substrings,
         "op9_pieces": pieces.op9_pieces,
         "op10_mixing": mixing.op10_mixing,
+        "op11_divergence": divergence.op11_divergence,
+        "op12_resample": resample.op12_resample,
+        "op13_simhash": simhash.op13_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard": jaccard.OP2_SQL, "op5_topk": topk.OP5_SQL, "op7_lines": linededup.OP7_SQL, "op10_mixing": mixing.op10_sql()}
+    return {"op2_jaccard": jaccard.OP2_SQL, "op5_topk": topk.OP5_SQL, "op7_lines": linededup.OP7_SQL, "op10_mixing": mixing.op10_sql(), "op11_divergence": divergence.OP11_SQL, "op12_resample": resample.OP12_SQL}

@@ -164,3 +164,40 @@ def binary(parts: np.ndarray) -> pa.Array:
     width = parts.shape[1] * parts.itemsize
     offs = (np.arange(len(parts) + 1, dtype=np.int32) * width).tobytes()
     return pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(offs), pa.py_buffer(np.ascontiguousarray(parts).tobytes())])
+
+
+def runs(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(words, first) of some documents: words are maximal runs of the bytes that ``keep`` marks, A-Z lower-cased.
+
+    Words ``first[d]:first[d+1]`` are those of document d.  Their bytes are packed without a loop over words.
+    """
+    data = LOWER[data]
+    word = keep[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[offsets] = True
+    head = word.copy()
+    head[1:] &= ~word[:-1] | cut[1:-1]
+    start = np.flatnonzero(head)
+    at = np.append(np.cumsum(word)[start] - 1, np.count_nonzero(word))
+    kind, size = (pa.binary(), np.int32) if len(data) < 2**31 else (pa.large_binary(), np.int64)
+    words = pa.Array.from_buffers(kind, len(start), [None, pa.py_buffer(at.astype(size).tobytes()), pa.py_buffer(data[word].tobytes())])
+    return words, np.searchsorted(start, offsets)
+
+
+def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(number of each word, the distinct words), compared by their bytes."""
+    d = words.dictionary_encode()
+    return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary
+
+
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold ``size`` bytes."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
