@@ -240,17 +240,17 @@ def room_reply(t):
 
 # locating: a line of an order is a recognised word, a part a room
 
-_WORD = "SELECT l_linenumber AS page, lpad((l_partkey % 1000)::VARCHAR, 3, '0') AS k, 2 * l_quantity AS conf, 10.0 * (l_partkey % 400) AS x, 20.0 * l_linenumber AS y FROM lineitem WHERE l_quantity >= 15"
+_WORD = "SELECT l_linenumber AS page, l_orderkey * 1000000 + l_partkey AS ord, lpad((l_partkey % 1000)::VARCHAR, 3, '0') AS k, 2 * l_quantity AS conf, 10.0 * (l_partkey % 400) AS x, 20.0 * l_linenumber AS y FROM lineitem WHERE l_quantity >= 15"
 _ROOM = "SELECT DISTINCT 'A-' || lpad((p_partkey % 1000)::VARCHAR, 3, '0') AS id, lpad((p_partkey % 1000)::VARCHAR, 3, '0') AS k, p_size % 7 + 1 AS page FROM part"
 _BOXES = f"""
-WITH w AS ({_WORD}), r AS ({_ROOM}), b AS (SELECT r.id, r.page, max(conf) AS conf, arg_max(w.x, conf) AS x, arg_max(w.y, conf) AS y FROM r JOIN w ON w.k = r.k AND w.page = r.page GROUP BY ALL)
+WITH w AS ({_WORD}), r AS ({_ROOM}), b AS (SELECT r.id, r.page, max(conf) AS conf, arg_max(w.x, {{'conf': conf, 'first': -ord}}) AS x, arg_max(w.y, {{'conf': conf, 'first': -ord}}) AS y FROM r JOIN w ON w.k = r.k AND w.page = r.page GROUP BY ALL)
 SELECT r.id, r.page, CASE WHEN b.id IS NULL THEN 100.0 ELSE greatest(0.0, x + 10 - 80) END::DOUBLE AS x0, CASE WHEN b.id IS NULL THEN 700.0 ELSE least(800.0, y + 5 + 40) END::DOUBLE AS y1, coalesce(conf / 100, 0.0)::DOUBLE AS confidence, b.id IS NULL AS fallback FROM r LEFT JOIN b ON b.id = r.id AND b.page = r.page"""
 
 
 def _located(t):
     key = lambda k: F.lpad((c(k) % 1000).cast("string"), 3, "0")
     x, y = 10.0 * (c("l_partkey") % 400), 20.0 * c("l_linenumber")
-    words = t.lineitem.select(c("l_linenumber").alias("page"), F.concat(F.when(c("l_orderkey") % 2 == 0, "A-").otherwise(""), key("l_partkey"), F.when(c("l_orderkey") % 3 == 0, "B").otherwise("")).alias("text"), (2 * c("l_quantity")).alias("conf"), x.alias("x0"), y.alias("y0"), (x + 20).alias("x1"), (y + 10).alias("y1"))
+    words = t.lineitem.select(c("l_linenumber").alias("page"), (c("l_orderkey") * 1000000 + c("l_partkey")).alias("ord"), F.concat(F.when(c("l_orderkey") % 2 == 0, "A-").otherwise(""), key("l_partkey"), F.when(c("l_orderkey") % 3 == 0, "B").otherwise("")).alias("text"), (2 * c("l_quantity")).alias("conf"), x.alias("x0"), y.alias("y0"), (x + 20).alias("x1"), (y + 10).alias("y1"))
     rooms = t.part.select(F.concat(F.lit("A-"), key("p_partkey")).alias("id"), (c("p_size") % 7 + 1).alias("page")).distinct()
     return rooms, locate.from_words(words, rooms, 5000.0, 800.0)
 

@@ -41,14 +41,15 @@ def on_page(rooms: DataFrame, spans: DataFrame, near: float = 150.0, padding: fl
 
 
 def from_words(words: DataFrame, rooms: DataFrame, width: float, height: float, least: int = 30) -> DataFrame:
-    """Boxes from recognised words: a room takes the surest word that ends in its number on a page where it is expected.
+    """Boxes from recognised words: a room takes the surest word that ends in its number on a page where it is expected,
+    the first of equally sure ones.
 
-    words: page, text, conf, x0, y0, x1, y1; rooms: id, page.  Rooms that no word names get the whole page.
+    words: page, ord, text, conf, x0, y0, x1, y1; rooms: id, page.  Rooms that no word names get the whole page.
     """
     number = F.regexp_extract("text", r"(\d{3})[A-Z]?$", 1)
     w = words.filter((c("conf") >= least) & (text.bare(c("text")) != "")).withColumn("key", number).filter("key <> ''")
     r = rooms.withColumn("key", F.regexp_extract("id", r"(\d{3})", 1))
-    seen = w.join(r, ["page", "key"]).groupBy("id", "page").agg(F.max_by(F.struct("conf", geometry.box(c("x0"), c("y0"), c("x1"), c("y1")).alias("label")), "conf").alias("m"))
+    seen = w.join(r, ["page", "key"]).groupBy("id", "page").agg(F.max_by(F.struct("conf", geometry.box(c("x0"), c("y0"), c("x1"), c("y1")).alias("label")), F.struct("conf", -c("ord"))).alias("m"))
     found = seen.select("id", "page", geometry.room_box(c("m.label"), F.lit(width), F.lit(height)).alias("box"), c("m.label").alias("label"), (c("m.conf") / 100).alias("confidence"), F.lit(False).alias("fallback"))
     rest = rooms.select("id", "page").join(found, ["id", "page"], "left_anti")
     whole = geometry.whole_page(F.lit(width), F.lit(height))

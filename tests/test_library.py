@@ -1,5 +1,8 @@
 """Products, answers, references, the older index, reports, sinks: small cases."""
 
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,15 +45,47 @@ def test_products_against_the_truth(spark):
     assert tuple(products.quality(rows).first()) == (3, 2, 1) and products.low_confidence(rows).count() == 1
 
 
-def test_texts_that_hold_items(spark, monkeypatch):
+def test_texts_that_hold_items(spark):
     docs = spark.createDataFrame([(1, "the quick brown fox jumps"), (2, "a brown dog"), (2, "nothing"), (None, "quick brown fox"), (3, None), (4, "xbrownx")], "id int, text string")
     items = spark.createDataFrame([(1, "quick brown fox"), (2, "brown"), (3, "n d"), (4, ""), (5, None), (6, "brown dog"), (7, "zz"), (8, "x"), (2, "fox")], "i int, item string")
     want = {(1, 1), (1, 2), (1, 8), (2, 2), (2, 3), (2, 6), (None, 1), (None, 2), (None, 8), (4, 2), (4, 8)}
-    for few in (within.FEW, 0):
-        monkeypatch.setattr(within, "FEW", few)
-        assert {(r.id, r.i) for r in within.held(docs, items, "id", "i").collect()} == want
-        plan = within.held(docs, items, "id", "i")._jdf.queryExecution().executedPlan().toString()
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    got = within.held(docs, items, "id", "i")
+    assert {(r.id, r.i) for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_containment_equals_in(spark):
+    """Items cut from texts at any place, with blanks inside and about them, and words longer than a piece."""
+    rng = random.Random(11)
+    letters = "abé😀 \t\n 12-"
+    say = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    texts = [say(rng.randint(0, 60)) for _ in range(60)] + ["x" * 63 + say(3).strip() + "yz" * 80, "a" * 200 + " " * 150 + "b", "", "ab" * 64 + "c d", None]
+    items = [" ", "  ", "\t", " " * 150, "a" * 33, "a" * 96, "a" * 200, "b" * 33, "c d", "yz" * 40, "x" + "yz" * 20, "", None, "bc d"]
+    for t in texts[:-1]:
+        for _ in range(8):
+            at = rng.randint(0, max(len(t) - 1, 0))
+            items.append(t[at : at + rng.choice([1, 2, 3, 5, 9, 20, 40, 120])])
+    items += [say(rng.randint(1, 6)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    asked = spark.createDataFrame(list(enumerate(items)), "i int, item string")
+    want = {(k, i) for k, t in enumerate(texts) for i, x in enumerate(items) if t is not None and x and x in t}
+    rows = [(r.id, r.i) for r in within.held(docs, asked, "id", "i").collect()]
+    assert set(rows) == want and len(rows) == len(want) > 900
+    none = spark.createDataFrame([], "i int, item string")
+    assert within.held(docs, none, "id", "i").count() == 0 and within.held(docs.limit(0), asked, "id", "i").count() == 0
+
+
+def test_containment_is_linear_in_a_text(spark):
+    """One text of many words, hundreds of short items: four times the words take about four times as long, not sixteen."""
+    items = spark.createDataFrame([(k, f"w{k * 7} w" if k % 2 else f"{k}x") for k in range(300)], "i int, item string")
+    seconds = []
+    for n in (20_000, 20_000, 80_000):
+        text_ = " ".join(f"w{k}" for k in range(n))
+        began = time.perf_counter()
+        assert within.held(spark.createDataFrame([(1, text_)], "id int, text string"), items, "id", "i").count() == 150
+        seconds.append(time.perf_counter() - began)
+    assert seconds[2] < 8 * max(seconds[1], 1.0)
 
 
 def test_codes_lengths_and_spans(spark):

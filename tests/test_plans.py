@@ -184,7 +184,12 @@ def test_rooms_on_pages(spark):
     rooms = spark.createDataFrame([("A-101", "classe", "d", 12, 2.0), ("A-102", "corridor", "d", 12, 1.0), ("A-B-201", "gym", "d", 12, 1.0), ("A-999", "x", "d", 12, 1.0)], "id string, name string, doc string, page int, scale double")
     got = {r.id: (r.named, r.box.x0, r.box.y1) for r in locate.on_page(rooms, spans).collect()}
     assert got == {"A-101": (True, 170.0, 310.0), "A-102": (False, 470.0, 540.0), "A-B-201": (False, 870.0, 940.0)}
-    words = spark.createDataFrame([(3, "A-102", 80.0, 10.0, 10.0, 20.0, 20.0), (3, "102", 90.0, 500.0, 500.0, 510.0, 510.0), (3, "101", 10.0, 1.0, 1.0, 2.0, 2.0)], "page int, text string, conf double, x0 double, y0 double, x1 double, y1 double")
+    said = [(3, 1, "A-102", 80.0, 10.0, 10.0, 20.0, 20.0), (3, 2, "102", 90.0, 500.0, 500.0, 510.0, 510.0), (3, 3, "102", 90.0, 700.0, 700.0, 710.0, 710.0), (3, 4, "101", 10.0, 1.0, 1.0, 2.0, 2.0)]
+    ddl = "page int, ord int, text string, conf double, x0 double, y0 double, x1 double, y1 double"
+    asked = spark.createDataFrame([("A-102", 3)], "id string, page int")
+    for rows in (said, said[::-1]):  # the first of two equally sure words, whichever comes first
+        assert [r.box.x0 for r in locate.from_words(spark.createDataFrame(rows, ddl).coalesce(1), asked, 1000.0, 800.0).collect()] == [465.0]
+    words = spark.createDataFrame(said, ddl)
     boxes = {r.id: r for r in locate.from_words(words, spark.createDataFrame([("A-102", 3), ("A-101", 3)], "id string, page int"), 1000.0, 800.0).collect()}
     assert boxes["A-102"].confidence == 0.9 and boxes["A-102"].box.x0 == 465.0 and boxes["A-101"].fallback and boxes["A-101"].box.x1 == 900.0
     plans = spark.createDataFrame([(12, "A-150", "RDC", True)], "page int, plan_id string, description string, preferred boolean")
