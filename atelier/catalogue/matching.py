@@ -5,12 +5,14 @@ The driver's tables are renamed to what the pipelines read; the SQL states the s
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..operators import sections, within
 from ..operators.keep import spread, spread_pages, unused_pages
-from ..plans import books, check, locate, products, search
+from ..plans import books, check, locate, products, questions, search
 from .base import query
 from .texts import _ladder_sql
 
@@ -444,6 +446,57 @@ def guarded_lookup(t):
     return out
 
 
+# a table of questions, asked together: every customer asks, in one of eight forms
+
+_FORMS = [("C'est quoi le local ", ""), ("Où est la classe ", "?"), ("corridor numéro ", ""), ("bureau directeur ", ""), ("Combien de classes dans le bloc A?", ""), ("toilette près de ", " (wc)"), ("zzz qqq", ""), ("Liste des bureaux", "")]
+_TOLD = "CASE c_custkey % 8 WHEN 0 THEN chr((65 + c_nationkey % 3)::INT) || '-' || (100 + c_custkey)::VARCHAR WHEN 1 THEN (100 + c_custkey * 7 % 900)::VARCHAR WHEN 2 THEN (100 + c_custkey * 3)::VARCHAR WHEN 3 THEN 'B-1' || (10 + c_custkey % 80)::VARCHAR WHEN 5 THEN (1000 + c_custkey * 11)::VARCHAR ELSE '' END"
+_FORM = "CASE c_custkey % 8 " + " ".join(f"WHEN {k} THEN '{_quoted(head)}' || told || '{tail}'" for k, (head, tail) in enumerate(_FORMS)) + " END"
+_FORM_TERMS = "CASE c_custkey % 8 " + " ".join(f"WHEN {k} THEN [" + ", ".join(f"'{_quoted(w)}'" for w in text.gold_terms(head + tail)) + "]" for k, (head, tail) in enumerate(_FORMS)) + " END"
+_QUESTIONS = rf"""SELECT *, CASE WHEN question LIKE 'Combien%' THEN 'CLASSE' WHEN question LIKE 'Liste%' THEN 'BUREAU' END AS listed, list_distinct(list_concat({_FORM_TERMS}, CASE WHEN told = '' THEN [] ELSE [lower(told)] END)) AS terms,
+ lower(coalesce(nullif(regexp_extract(upper(question), '[ABC]-\d{{3}}(-\d+)?(-[A-Z])?'), ''), nullif(regexp_extract(upper(question), '\b\d{{3}}(-\d+)?(-[A-Z])?\b'), ''), nullif(regexp_extract(upper(question), '[ABC]-\d{{2,3}}\b'), ''))) AS room FROM (SELECT *, {_FORM} AS question FROM (SELECT c_custkey AS qid, c_custkey, {_TOLD} AS told FROM customer))"""
+_SEARCHED = "lower(concat_ws(' ', name, plan_id, id, type, block" + "".join(f", CASE WHEN {' OR '.join([f'contains(upper(name), {chr(39)}{_quoted(x)}{chr(39)})' for x in names] + [f'type = {chr(39)}{k}{chr(39)}' for k in kinds])} THEN '{' '.join(map(_quoted, words))}' END" for names, kinds, words in fixed.SEARCH_WORDS) + "".join(f", CASE WHEN floor = {k} THEN '{' '.join(words)}' END" for k, words in fixed.FLOOR_WORDS.items()) + "))"
+
+
+def _questions(t):
+    told = F.expr(re.sub(r"(\([^()]*\))::VARCHAR", r"cast(\1 as string)", _TOLD).replace("(65 + c_nationkey % 3)::INT", "65 + c_nationkey % 3"))
+    form = F.array(*(F.struct(F.lit(head).alias("head"), F.lit(tail).alias("tail")) for head, tail in _FORMS))[(c("c_custkey") % 8).cast("int")]
+    return t.customer.select(c("c_custkey").alias("qid"), F.concat(form["head"], told, form["tail"]).alias("question"))
+
+
+@query(f"""WITH q AS MATERIALIZED ({_QUESTIONS}), e AS MATERIALIZED (SELECT *, lower(name) AS n, lower(plan_id) AS p, lower(id) AS i, {_SEARCHED} AS s FROM {_GOLD}),
+l AS (SELECT qid, ord, 1 AS score, row_number() OVER (PARTITION BY qid ORDER BY block, floor, plan_id, ord) AS rank FROM q JOIN e ON type = listed AND (listed = 'BUREAU' OR block = 'A')),
+f AS (SELECT qid, ord, list_sum(list_transform(terms, lambda x: contains(s, x)::INT + CASE WHEN x = n THEN 3 WHEN contains(n, x) THEN 2 ELSE 0 END + CASE WHEN x = p THEN 5 WHEN contains(p, x) THEN 2 ELSE 0 END)) + CASE WHEN room IN (i, p) THEN 10 ELSE 0 END + CASE WHEN regexp_replace(room, '^[a-z]-', '') = p THEN 10 ELSE 0 END AS score FROM q JOIN e ON listed IS NULL),
+b AS (SELECT qid, ord, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, ord) AS rank FROM f WHERE score > 0)
+SELECT qid, ord, score::INTEGER AS score, rank::INTEGER AS rank FROM (SELECT * FROM l UNION ALL SELECT * FROM b WHERE rank <= 10)""")
+def ask_many(t):
+    return questions.ask_many(_entries(t), _questions(t)).select("qid", "ord", "score", "rank")
+
+
+_ASKED_WORDS = "SELECT item_id AS qid, regexp_extract(text, '^([^ ]+ [^ ]+ [^ ]+)', 1) || ' room' AS question FROM benchmark WHERE text IS NOT NULL"
+
+
+@query(rf"""WITH q AS (SELECT qid, list_distinct(list_concat(regexp_split_to_array(regexp_replace(lower(question), '^\s+|\s+$', '', 'g'), '\s+'), {[t for t in text.terms("room")]})) AS terms FROM ({_ASKED_WORDS})),
+d AS MATERIALIZED (SELECT doc_id, lower(source) AS n, lower(lang) AS k, regexp_replace(regexp_replace(lower(coalesce(text, '')), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g') AS s FROM documents),
+f AS (SELECT qid, doc_id, list_sum(list_transform(terms, lambda x: contains(s, x)::INT + CASE WHEN x IN (n, k) THEN 3 WHEN contains(n, x) OR contains(k, x) THEN 2 ELSE 0 END)) AS score FROM q, d)
+SELECT qid, doc_id, score::INTEGER AS score, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM f WHERE score > 0) WHERE rank <= 20""")
+def search_many(t):
+    entries = spread(t.documents.select("doc_id", "source", "lang", "text")).select("doc_id", c("source").alias("name"), c("lang").alias("number"), text.search_text(F.coalesce("text", F.lit(""))).alias("search_text"))
+    asked = t.benchmark.filter("text is not null").select(c("item_id").alias("qid"), F.concat(F.regexp_extract("text", "^([^ ]+ [^ ]+ [^ ]+)", 1), F.lit(" room")).alias("question"))
+    return questions.search_many(entries, asked, tie=("doc_id",)).select("qid", "doc_id", "score", "rank")
+
+
+# keys that are asked for in other words: a customer asks for a part
+
+_ASKED_KEY = "CASE c_custkey % 4 WHEN 0 THEN 'p-' || (c_custkey * 3)::VARCHAR WHEN 1 THEN 'Local P-' || (c_custkey % 700)::VARCHAR || 'x' WHEN 2 THEN (c_custkey)::VARCHAR WHEN 3 THEN 'q' || (c_custkey)::VARCHAR END"
+
+
+@query(f"""WITH a AS (SELECT DISTINCT {_ASKED_KEY} AS asked FROM customer), k AS (SELECT 'P-' || p_partkey AS key, p_size FROM part)
+SELECT asked, key, way, p_size FROM (SELECT asked, key, p_size, (upper(key) <> upper(asked))::INTEGER AS way FROM a JOIN k ON contains(upper(key), upper(asked)) OR contains(upper(asked), upper(key))) QUALIFY row_number() OVER (PARTITION BY asked ORDER BY way, key) = 1""")
+def fuzzy_keys(t):
+    asked = t.customer.select(F.expr(re.sub(r"(\([^()]*\))::VARCHAR", r"cast(\1 as string)", _ASKED_KEY)).alias("asked"))
+    return books.fuzzy_keys(asked, t.part.select(F.concat(F.lit("P-"), "p_partkey").alias("key"), "p_size"), "key").select("asked", "key", "way", "p_size")
+
+
 # pages chosen for analysis
 
 

@@ -73,6 +73,11 @@ SEARCH_WORDS = [
 ]
 FLOOR_WORDS = {1: ["1er étage", "rez-de-chaussée", "premier"], 2: ["2e étage", "deuxième", "second"]}
 
+# Patterns of room ids in questions, of questions that count and of those that list.
+ASKED_ROOMS = [r"([ABC])-(\d{3}(?:-\d+)?(?:-[A-Z])?)", r"\b(\d{3}(?:-\d+)?(?:-[A-Z])?)\b", r"([ABC])-(\d{2,3})\b"]
+ASKED_COUNT = r"combien\s+de\s+(\w+).*bloc\s+([abc])"
+ASKED_LIST = r"(?:liste|tous)\s+(?:des|les)\s+(\w+)"
+
 # Nouns of count and list questions.
 QUESTION_NOUNS = {"classes": "CLASSE", "classe": "CLASSE", "corridors": "CORRIDOR", "corridor": "CORRIDOR", "bureaux": "BUREAU", "bureau": "BUREAU", "toilettes": "WC", "wc": "WC", "dépôts": "DÉPÔT", "dépôt": "DÉPÔT", "vestibules": "VESTIBULE", "vestibule": "VESTIBULE", "vestiaires": "VESTIAIRE", "vestiaire": "VESTIAIRE"}
 

@@ -213,13 +213,14 @@ def terms(question: str, synonyms: list[list[str]] = fixed.SYNONYMS) -> list[str
 
 def gold_terms(question: str) -> list[str]:
     plain = re.sub(fixed.QUESTION_MARKS, " ", re.sub(fixed.QUESTION_PHRASES, "", question.lower().strip()))
-    return terms(" ".join(w for w in plain.split() if len(w) > 1), fixed.GOLD_SYNONYMS) if plain.split() else []
+    words = [w for w in plain.split() if len(w) > 1]
+    return terms(" ".join(words), fixed.GOLD_SYNONYMS) if words else []
 
 
 def asked_room(question: str) -> str | None:
     """The room id that a question names."""
     q = question.upper().strip()
-    for p in (r"([ABC])-(\d{3}(?:-\d+)?(?:-[A-Z])?)", r"\b(\d{3}(?:-\d+)?(?:-[A-Z])?)\b", r"([ABC])-(\d{2,3})\b"):
+    for p in fixed.ASKED_ROOMS:
         if m := re.search(p, q):
             return "-".join(m.groups())
     return None
@@ -228,8 +229,8 @@ def asked_room(question: str) -> str | None:
 def asked_total(question: str) -> dict | None:
     """A count or list question: its kind, noun and block."""
     q = question.lower()
-    if m := re.search(r"combien\s+de\s+(\w+).*bloc\s+([abc])", q):
+    if m := re.search(fixed.ASKED_COUNT, q):
         return {"kind": "count", "noun": m[1], "type": fixed.QUESTION_NOUNS.get(m[1]), "block": m[2].upper()}
-    if m := re.search(r"(?:liste|tous)\s+(?:des|les)\s+(\w+)", q):
+    if m := re.search(fixed.ASKED_LIST, q):
         return {"kind": "list", "noun": m[1], "type": fixed.QUESTION_NOUNS.get(m[1]), "block": None}
     return None

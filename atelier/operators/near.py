@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .keep import keep_first
+from .settle import settled
+
+#: Points of a key that are thinned as one array.
+FEW = 2_000
 
 
 def grid_join(left: DataFrame, right: DataFrame, keys: list[str], radius: float, strict: bool = False, how: str = "inner", extra: Column | None = None) -> DataFrame:
@@ -33,14 +40,62 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], id_: list[str],
     return keep_first(pairs, [*keys, *id_], [(F.col("dist") if score is None else score).asc_nulls_last(), F.col(tie).asc_nulls_last()])
 
 
-def suppress(points: DataFrame, keys: list[str], radius: float, order: str = "ord", taken: Column | None = None) -> DataFrame:
+def suppress(points: DataFrame, keys: list[str], radius: float, order: str = "ord", taken: Column | None = None, most: int = FEW) -> DataFrame:
     """Greedy thinning: in order, a point stays if none that stays is nearer than ``radius``; ``taken`` starts the list.
 
-    Order decides, so a key's points are one array; a key is a page, whose labels are few.
+    A key of up to ``most`` points is thinned as one array (a page's labels).  A larger one is thinned in rounds over all
+    its cells at once, until that many are undecided: see ``_rounds``.  Points without a place stay.
     """
     kind = "array<struct<ord:bigint,x:double,y:double>>"
-    start = F.array().cast(kind) if taken is None else taken.cast(kind)
-    rows = points.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).cast("bigint").alias("ord"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))).alias("_p"))
+    rows = points.select(*keys, F.col(order).cast("bigint").alias("_ord"), F.col("x").cast("double").alias("_x"), F.col("y").cast("double").alias("_y"), (F.array() if taken is None else taken).cast(kind).alias("_taken"))
+    large = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > most)
+    if not large.limit(1).count():
+        return _in_arrays(rows, keys, radius).withColumnRenamed("ord", order)
+    rows = settled(rows)
+    sized = F.col("_n").isNotNull()
+    named = large.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_n")
+    rows = rows.join(named, reduce(and_, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys))), "left").withColumn("_large", sized)
+    small = _in_arrays(rows.filter("not _large"), keys, radius)
+    apart = rows.filter("_large").select(*keys, "_ord", "_x", "_y", F.coalesce("_taken", F.array().cast(kind)).alias("_taken"))
+    begun = apart.select(*keys, "_taken").distinct().select(*keys, F.explode("_taken").alias("p")).select(*keys, "p.ord", "p.x", "p.y")
+    free = apart.filter(~F.coalesce(F.exists("_taken", lambda k: F.hypot(F.col("_x") - k["x"], F.col("_y") - k["y"]) < radius), F.lit(False)))
+    return small.unionByName(begun).unionByName(_rounds(free.drop("_taken"), keys, radius, most)).withColumnRenamed("ord", order)
+
+
+def _in_arrays(rows: DataFrame, keys: list[str], radius: float) -> DataFrame:
+    """keys, ord, x, y of the points that stay; a key's points are one array."""
+    each = rows.groupBy(*keys).agg(F.first("_taken").alias("_t"), F.array_sort(F.collect_list(F.struct(F.col("_ord").alias("ord"), F.col("_x").alias("x"), F.col("_y").alias("y")))).alias("_p"))
     close = lambda e: lambda k: F.hypot(e["x"] - k["x"], e["y"] - k["y"]) < radius
-    kept = F.aggregate("_p", start, lambda acc, e: F.when(F.exists(acc, close(e)), acc).otherwise(F.array_append(acc, e)))
-    return rows.select(*keys, F.explode(kept).alias("p")).select(*keys, "p.ord", "p.x", "p.y").withColumnRenamed("ord", order)
+    kept = F.aggregate("_p", F.col("_t"), lambda acc, e: F.when(F.exists(acc, close(e)), acc).otherwise(F.array_append(acc, e)))
+    return each.select(*keys, F.explode(kept).alias("p")).select(*keys, "p.ord", "p.x", "p.y")
+
+
+def _rounds(rows: DataFrame, keys: list[str], radius: float, most: int) -> DataFrame:
+    """The points that stay, by rounds; no task holds a key and no two points of a crowd are paired.
+
+    Cells are so small that of a cell's points one at most can stay: the first that is undecided.  It stays where no
+    neighbouring cell has an earlier undecided point that could be too near; then all points near those that stay go.  The
+    first point of all stays in every round, so this ends; what order and places are like decides how soon (a few rounds
+    where they have nothing to do with each other, many where the points follow a line in order).
+    """
+    cell = [*keys, "_gx", "_gy"]
+    side = radius / 1.5
+    same = lambda x, y: [F.col(f"{x}.{k}").eqNullSafe(F.col(f"{y}.{k}")) for k in cell]
+    around = lambda df: df.withColumn("_gx", F.explode(F.sequence(F.col("_gx") - 2, F.col("_gx") + 2))).withColumn("_gy", F.explode(F.sequence(F.col("_gy") - 2, F.col("_gy") + 2)))
+    far = lambda a, b: F.hypot(F.col(f"{a}.x") - F.col(f"{b}.x"), F.col(f"{a}.y") - F.col(f"{b}.y"))
+
+    both = lambda conditions, last: reduce(and_, [*conditions, last])
+    point = F.struct(F.col("_ord").alias("ord"), F.col("_x").alias("x"), F.col("_y").alias("y"))
+    nowhere = F.coalesce(F.isnan("_x") | F.isnan("_y"), F.lit(True))
+    out = rows.filter(nowhere).select(*keys, F.col("_ord").alias("ord"), F.col("_x").alias("x"), F.col("_y").alias("y"))
+    open_ = settled(rows.filter(~nowhere).select(*keys, point.alias("p"), F.floor(F.col("_x") / side).alias("_gx"), F.floor(F.col("_y") / side).alias("_gy")).distinct())
+    while open_.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > most).limit(1).count():
+        first = settled(open_.groupBy(*cell).agg(F.min("p").alias("m"), F.count("*").alias("n")))
+        near = around(first.withColumns({"_ox": F.col("_gx"), "_oy": F.col("_gy")}))
+        earlier = both(same("a", "b"), ((F.col("b._ox") != F.col("a._gx")) | (F.col("b._oy") != F.col("a._gy"))) & (F.col("b.m") < F.col("a.m")) & ((F.col("b.n") > 1) | (far("a.m", "b.m") < radius)))
+        stay = settled(first.alias("a").join(near.alias("b"), earlier, "left_anti"))
+        out = out.unionByName(stay.select(*keys, "m.ord", "m.x", "m.y"))
+        reach = around(stay.select(*cell, "m"))
+        open_ = settled(open_.alias("a").join(reach.alias("b"), both(same("a", "b"), far("a.p", "b.m") < radius), "left_anti"))
+    rest = open_.select(*keys, F.col("p.ord").alias("_ord"), F.col("p.x").alias("_x"), F.col("p.y").alias("_y"), F.array().cast("array<struct<ord:bigint,x:double,y:double>>").alias("_taken"))
+    return out.unionByName(_in_arrays(rest, keys, radius))

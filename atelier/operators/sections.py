@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 
+#: Numbers of a document's order that are scanned in one task.
+STRETCH = 4096
 
 def is_title(text: Column, size: Column, dominant: Column, bold: Column) -> Column:
     """Larger than the dominant size, bold, or more than three letters all in capitals."""
@@ -24,10 +26,52 @@ def dominant_font(blocks: DataFrame, keys: list[str]) -> DataFrame:
     return sizes.groupBy(*keys).agg(F.max_by("size", F.struct("_w", -F.col("_o"))).alias("dominant"))
 
 
-def filled(df: DataFrame, keys: list[str], order: list[str], opens: Column, name: str = "section") -> DataFrame:
+def _block(df: DataFrame, order: str, size: int) -> Column | None:
+    """The stretch of a document that a row is in, where its order is a whole number; else there are none."""
+    return F.floor(F.col(order) / size) if dict(df.dtypes)[order] in ("tinyint", "smallint", "int", "bigint") else None
+
+
+def carried(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, size: int = STRETCH) -> DataFrame:
+    """``df`` with the last ``value`` that isn't null up to each row of its key, in order.
+
+    A document is dealt in stretches of ``size`` numbers of its order, each scanned by itself; what a stretch ends with is
+    carried into the next ones over a table of a row for each stretch.  So one long document is dealt to all tasks.
+    """
+    block = _block(df, order[0], size)
+    own = df.withColumns({"_value": value, "_block": F.lit(0) if block is None else block})
+    up_to = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = own.withColumn(name, F.last("_value", ignorenulls=True).over(up_to))
+    if block is None:
+        return out.drop("_value", "_block")
+    ends = own.groupBy(*keys, "_block").agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order))).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_before", F.last("_end", ignorenulls=True).over(before)).filter("_before is not null")
+    ends = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_block").alias("_b"), "_before")
+    same = F.col("_block").eqNullSafe(F.col("_b"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return out.join(ends, same, "left").withColumn(name, F.coalesce(name, "_before")).drop("_value", "_block", "_before", "_b", *(f"_k{i}" for i in range(len(keys))))
+
+
+def filled(df: DataFrame, keys: list[str], order: list[str], opens: Column, name: str = "section", size: int = STRETCH) -> DataFrame:
     """The order value of the row that opened the section each row is in; null before the first."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.last(F.when(opens, F.col(order[-1])), ignorenulls=True).over(w))
+    return carried(df, keys, order, F.when(opens, F.col(order[-1])), name, size)
+
+
+def numbered_rows(df: DataFrame, keys: list[str], order: list[str], name: str, size: int = STRETCH) -> DataFrame:
+    """``df`` with the number of each row in its key from 0, in order, by stretches as in ``carried``."""
+    block = _block(df, order[0], size)
+    own = df.withColumn("_block", F.lit(0) if block is None else block)
+    out = own.withColumn(name, F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(*order)).cast("long") - 1)
+    if block is None:
+        return out.drop("_block")
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = own.groupBy(*keys, "_block").agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(before)).filter("_before is not null")
+    ends = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_block").alias("_b"), "_before")
+    same = F.col("_block").eqNullSafe(F.col("_b"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return out.join(ends, same, "left").withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_block", "_before", "_b", *(f"_k{i}" for i in range(len(keys))))
 
 
 def gathered(df: DataFrame, keys: list[str], order: str, text: str = "text", sep: str = "\n") -> DataFrame:
@@ -36,10 +80,20 @@ def gathered(df: DataFrame, keys: list[str], order: str, text: str = "text", sep
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.array_join(F.transform(parts, lambda p: p[text]), sep).alias("content"))
 
 
-def context(df: DataFrame, keys: list[str], order: list[str], text: str = "text", before: int = 3, after: int = 2, least: int = 4, most: int = 500) -> DataFrame:
-    """The rows about each row, those of ``least`` letters or more, joined and cut."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-before, after)
-    return df.withColumn("context", F.left(F.array_join(F.filter(F.collect_list(text).over(w), lambda t: F.length(t) >= least), " | "), F.lit(most)))
+def context(df: DataFrame, keys: list[str], order: list[str], text: str = "text", before: int = 3, after: int = 2, least: int = 4, most: int = 500, size: int = STRETCH) -> DataFrame:
+    """The rows about each row, those of ``least`` letters or more, joined and cut.
+
+    Rows are numbered and dealt in stretches of ``size``; the rows at the ends of a stretch stand in its neighbour too.
+    """
+    if size < max(before, after):
+        raise ValueError("a stretch must hold the rows about a row")
+    rows = numbered_rows(df, keys, order, "_at", size)
+    place, own = F.col("_at") % size, F.floor(F.col("_at") / size)
+    homes = F.array_compact(F.array(own, F.when(place < after, own - 1), F.when(place >= size - before, own + 1)))
+    dealt = rows.withColumn("_home", F.explode(homes))
+    w = Window.partitionBy(*keys, "_home").orderBy("_at").rowsBetween(-before, after)
+    out = dealt.withColumn("context", F.left(F.array_join(F.filter(F.collect_list(text).over(w), lambda t: F.length(t) >= least), " | "), F.lit(most)))
+    return out.filter(F.col("_home") == own).drop("_at", "_home")
 
 
 def pages_of(text: DataFrame, keys: list[str]) -> DataFrame:
@@ -72,8 +126,7 @@ def spec_sections(pages: DataFrame, keys: list[str], carry: bool = True) -> Data
     """
     parts = header_parts(pages, keys)
     if carry:
-        w = Window.partitionBy(*keys).orderBy("page", "n").rowsBetween(Window.unboundedPreceding, 0)
-        placed = parts.withColumn("code", F.last("code", ignorenulls=True).over(w))
+        placed = carried(parts.withColumnRenamed("code", "_own"), keys, ["page", "n"], F.col("_own"), "code").drop("_own")
     else:
         first = parts.filter("code is not null").groupBy(*keys, "page").agg(F.min_by(F.struct("code", "title"), "n").alias("h"))
         placed = pages.join(first, [*keys, "page"]).select(*keys, "page", F.lit(0).alias("n"), "h.code", "h.title", "text")

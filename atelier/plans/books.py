@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text
 from ..operators.keep import keep_first
 from ..operators.sections import dominant_font, filled, gathered, is_title, title_level
+from ..operators.within import held
 
 c = F.col
 ROOM, NORM = fixed.ROOM_REFERENCE, fixed.STANDARD_REFERENCE
@@ -82,6 +83,24 @@ def chunks_of_local(ref: str, index: DataFrame, chunks: DataFrame, limit: int =
     return (sure if sure.limit(1).count() else loose).orderBy("ord")
 
 
+def fuzzy_keys(asked: DataFrame, table: DataFrame, key: str, of: str = "asked") -> DataFrame:
+    """Every distinct asked key with the row of ``table`` that answers it: of an equal key in any case, else the first, by
+    key, that holds what is asked or is held by it.  Keys that nothing answers, null and empty ones have no row.
+
+    Both ways are containment joins of distinct texts; ``way`` is 0 for an equal key, else 1.
+    """
+    own = asked.select(F.col(of).alias("_asked")).filter("_asked <> ''").distinct().withColumn("_q", F.upper("_asked"))
+    keys = table.select(F.col(key).alias("_key")).filter("_key <> ''").distinct().withColumn("_k", F.upper("_key"))
+    texts, items = own.select("_q").distinct(), keys.select("_k").distinct()
+    held_by = held(texts, items, "_q", "_k", text="_q", item="_k")
+    holds = held(items, texts, "_k", "_q", text="_k", item="_q")
+    hits = held_by.select("_q", "_k").unionByName(holds.select("_q", "_k")).distinct().join(keys, "_k")
+    best = hits.groupBy("_q").agg(F.min(F.struct(F.when(c("_k") == c("_q"), 0).otherwise(1).alias("way"), c("_key"))).alias("b"))
+    named = own.join(best, "_q").select(c("_asked").alias(of), c("b._key").alias("_key"), c("b.way").alias("way"))
+    rows = keep_first(table, [key], [F.xxhash64(*table.columns)])  # of rows that share a key, one
+    return named.join(rows, c("_key") == c(key)).drop("_key")
+
+
 def fuzzy_key(asked: str, table: DataFrame, key: str) -> DataFrame:
     """The row of an equal key in any case; else the first, by key, that holds what is asked or is held by it."""
     k, q = F.upper(key), F.lit(asked.upper())
