@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +91,7 @@ def _strip(at: int, hashes: int, hits: int | None, known, own_line: bool) -> obj
             if changed:
                 mask = np.zeros(batch.num_rows, bool)
                 mask[list(changed)] = True
-                texts = pa.compute.replace_with_mask(texts, pa.array(mask), pa.array(list(changed.values()), texts.type))
+                texts = pc.replace_with_mask(texts, pa.array(mask), pa.array(list(changed.values()), texts.type))
             cols = [texts if i == at else c for i, c in enumerate(batch.columns) if i not in (hashes, hits)]
             names = [x for i, x in enumerate(batch.schema.names) if i not in (hashes, hits)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n_lines.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(whole)], names=[*names, "n_lines", "n_removed", "left_whole"])
