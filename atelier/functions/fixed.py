@@ -150,15 +150,44 @@ PAINT_SYSTEMS = {
     "P08": ("toilettes et douches", ["WC"], "semi-lustré"),
 }
 
-# Plans by the place of their page in the drawing set, and what they show.
+# Pages of the drawing set: (page, plan, what it shows).
 PLANS = [
-    ("A-000", "Page de garde / index"), ("A-050", "Notes générales / légende"), ("A-060", "Notes et détails portes extérieures"), ("A-100", "Démolition RDC (Bloc A)"), ("A-101", "Démolition 2e étage (Bloc A)"), ("A-102", "Démolition agrandissement"),
-    ("A-110", "Démolition RDC (Bloc B/C)"), ("A-111", "Démolition 2e étage (Bloc B/C)"), ("A-150", "Plan de construction RDC (Bloc A)"), ("A-151", "Plan de construction (Bloc B/C)"), ("A-152", "Plan de construction agrandissement"),
-    ("A-200", "Plafonds démolition RDC"), ("A-201", "Plafonds démolition 2e étage"), ("A-250", "Plafonds construction RDC"), ("A-251", "Plafonds construction 2e étage"), ("A-300", "Agrandissement / détails"), ("A-350", "Détails supplémentaires"),
-    ("A-400", "Détails construction"), ("A-401", "Détails construction (suite)"), ("A-500", "Coupes"), ("A-501", "Coupes (suite)"), ("A-502", "Détails fenêtres"), ("A-550", "Détails en plan"), ("A-600", "Élévations extérieures"), ("A-601", "Élévations extérieures (suite)"),
-    ("A-650", "Plan agrandi"), ("A-651", "Plan agrandi (suite)"), ("A-700", "Plan Bloc B"), ("A-800", "Plan agrandi salles de bain"), ("A-900", "Plan des finis RDC"), ("A-901", "Plan des finis 2e étage"), ("A-910", "Élévations intérieures finis"),
-    ("A-911", "Élévations intérieures finis (suite)"), ("A-912", "Élévations intérieures finis (suite 2)"), ("A-950", "Bordereau des portes"),
-]
+    (0, "A-000", "Page de garde / index"),
+    (1, "A-050", "Notes générales / légende"),
+    (2, "A-060", "Notes et détails portes extérieures"),
+    (3, "A-100", "Démolition RDC (Bloc A)"),
+    (4, "A-101", "Démolition 2e étage (Bloc A)"),
+    (5, "A-102", "Démolition agrandissement"),
+    (6, "A-110", "Démolition RDC (Bloc B/C)"),
+    (7, "A-111", "Démolition 2e étage (Bloc B/C)"),
+    (8, "A-150", "Plan de construction RDC (Bloc A)"),
+    (9, "A-151", "Plan de construction (Bloc B/C)"),
+    (10, "A-152", "Plan de construction agrandissement"),
+    (11, "A-200", "Plafonds démolition RDC"),
+    (12, "A-201", "Plafonds démolition 2e étage"),
+    (13, "A-250", "Plafonds construction RDC"),
+    (14, "A-251", "Plafonds construction 2e étage"),
+    (15, "A-300", "Agrandissement / détails"),
+    (16, "A-350", "Détails supplémentaires"),
+    (17, "A-400", "Détails construction"),
+    (18, "A-401", "Détails construction (suite)"),
+    (19, "A-500", "Coupes"),
+    (20, "A-501", "Coupes (suite)"),
+    (21, "A-502", "Détails fenêtres"),
+    (22, "A-550", "Détails en plan"),
+    (23, "A-600", "Élévations extérieures"),
+    (24, "A-601", "Élévations extérieures (suite)"),
+    (25, "A-650", "Plan agrandi"),
+    (26, "A-651", "Plan agrandi (suite)"),
+    (27, "A-700", "Plan Bloc B"),
+    (28, "A-800", "Plan agrandi salles de bain"),
+    (29, "A-900", "Plan des finis RDC"),
+    (30, "A-901", "Plan des finis 2e étage"),
+    (31, "A-910", "Élévations intérieures finis"),
+    (32, "A-911", "Élévations intérieures finis (suite)"),
+    (33, "A-912", "Élévations intérieures finis (suite 2)"),
+    (34, "A-950", "Bordereau des portes"),
+]
 PREFERRED_PLANS = ["A-150", "A-151"]
 
 # A section code of a specification, and the header that opens a section on a page.
@@ -215,9 +244,22 @@ OTHER_MAKERS = ["benjamin moore", "sherwin", "rust-oleum"]
 NO_MAKERS = ["ou", "et", "le", "la", "les", "un", "une", "de", "du", "des", "or", "and", "the", "a", "an", "of", "to", "équivalent", "equivalent", "approuvé", "approved", "produit", "product", "référence", "reference", "références", "avant", "après", "selon", "avec", "sans", "pour", "des matériaux", "avant de", "et de", "des granulats", "installations", "conditions", "recommandations"]
 NO_MAKER_PARTS = ["avant", "après", "selon", "avec", "des ", "et de"]
 PRODUCT_TYPES = [
-    "(porte|door)s?", "(fenêtre|window)s?", "(peinture|paint)s?", "(plancher|flooring|floor)s?", "(plafond|ceiling)s?", "(isolation|insulation)", "(gypse|drywall|gyproc)", "(tuile|tile)s?", "(béton|concrete)", "(acier|steel)", "(bois|wood)", "(verre|glass)",
-    "(quincaillerie|hardware)", "(membrane)", "(revêtement|cladding|siding)",
-]
+    r"(?iu)(?:^|\s)(porte|door)s?\b",
+    r"(?iu)(?:^|\s)(fenêtre|window)s?\b",
+    r"(?iu)(?:^|\s)(peinture|paint)s?\b",
+    r"(?iu)(?:^|\s)(plancher|flooring|floor)s?\b",
+    r"(?iu)(?:^|\s)(plafond|ceiling)s?\b",
+    r"(?iu)(?:^|\s)(isolation|insulation)\b",
+    r"(?iu)(?:^|\s)(gypse|drywall|gyproc)\b",
+    r"(?iu)(?:^|\s)(tuile|tile)s?\b",
+    r"(?iu)(?:^|\s)(béton|concrete)\b",
+    r"(?iu)(?:^|\s)(acier|steel)\b",
+    r"(?iu)(?:^|\s)(bois|wood)\b",
+    r"(?iu)(?:^|\s)(verre|glass)\b",
+    r"(?iu)(?:^|\s)(quincaillerie|hardware)\b",
+    r"(?iu)(?:^|\s)(membrane)\b",
+    r"(?iu)(?:^|\s)(revêtement|cladding|siding)\b",
+]
 STANDARDS = ["CSA", "ASTM", "ANSI", "ISO", "NORME", "NORM"]
 
 # The older index: sections that a room type requires and those it commonly has, titles of sections.

@@ -173,7 +173,7 @@ def around(text: Column, span: Column, before: int, after: int) -> Column:
 
 def product_type(text: Column) -> Column:
     """The first kind of product that a text names."""
-    return F.coalesce(*(F.nullif(F.lower(F.regexp_extract(text, rf"(?iu)(?:^|\s){p}\b", 1)), F.lit("")) for p in fixed.PRODUCT_TYPES))
+    return F.coalesce(*(F.nullif(F.lower(F.regexp_extract(text, p, 1)), F.lit("")) for p in fixed.PRODUCT_TYPES))
 
 
 def specs(text: Column) -> Column:

@@ -75,7 +75,7 @@ def sightings(room_id: str, spans: DataFrame, plans: DataFrame) -> DataFrame:
 
 def plans_of(spark) -> DataFrame:
     """The drawing set's plans by page: page, plan_id, description, preferred."""
-    rows = [(i, plan, about, plan in fixed.PREFERRED_PLANS) for i, (plan, about) in enumerate(fixed.PLANS)]
+    rows = [(page, plan, about, plan in fixed.PREFERRED_PLANS) for page, plan, about in fixed.PLANS]
     return spark.createDataFrame(rows, "page int, plan_id string, description string, preferred boolean")
 
 
