@@ -219,16 +219,24 @@ def contradictory_groups(t):
     return check.contradictions(t.documents.select(F.md5("text").alias("id"), c("source").alias("name"))).select("item", "message")
 
 
-@query("""SELECT type, wall, floor FROM (VALUES ('CLASSE', 'gypse', 'VCT (09 65 19)'), ('WC', 'céramique (09 30 13)', 'céramique (09 30 13)'), ('CORRIDOR', 'peinture P05', 'VCT (09 65 19)'), ('GYMNASE', 'peinture P01/P05', 'spécifique sport'), ('TECHNIQUE', 'peinture P05', 'béton peint P06'), ('BUREAU', 'gypse', 'VCT (09 65 19)'),
-('SERVICE', 'céramique ou peinture', 'céramique ou VCT'), ('RANGEMENT', 'peinture P05', 'béton ou VCT'), ('CIRCULATION', 'peinture P05', 'VCT (09 65 19)'), ('SALLE', 'gypse', 'VCT (09 65 19)')) v(type, wall, floor)""")
+_TYPED = f"(SELECT id, coalesce(type, {_plan_type('name')}) AS type FROM {_ROOMS})"
+
+
+def _typed(t):
+    return _rooms(t).select("id", F.coalesce("type", text.room_type(c("name"))).alias("type"))
+
+
+@query(f"""SELECT id, type, wall, floor FROM {_TYPED} LEFT JOIN (VALUES ('CLASSE', 'gypse', 'VCT (09 65 19)'), ('WC', 'céramique (09 30 13)', 'céramique (09 30 13)'), ('CORRIDOR', 'peinture P05', 'VCT (09 65 19)'), ('GYMNASE', 'peinture P01/P05', 'spécifique sport'), ('TECHNIQUE', 'peinture P05', 'béton peint P06'), ('BUREAU', 'gypse', 'VCT (09 65 19)'),
+('SERVICE', 'céramique ou peinture', 'céramique ou VCT'), ('RANGEMENT', 'peinture P05', 'béton ou VCT'), ('CIRCULATION', 'peinture P05', 'VCT (09 65 19)'), ('SALLE', 'gypse', 'VCT (09 65 19)')) v(type, wall, floor) USING (type)""")
 def dim_lookup(t):
-    return check.expected_finishes(t.spark).select("type", c("wall")[0].alias("wall"), c("floor")[0].alias("floor"))
+    known = check.expected_finishes(t.spark).select("type", c("wall")[0].alias("wall"), c("floor")[0].alias("floor"))
+    return _typed(t).join(known, "type", "left").select("id", "type", "wall", "floor")
 
 
-@query("""SELECT type, array_to_string(list_sort(list(system)), ',') AS systems FROM (VALUES ('P01', 'TECHNIQUE'), ('P01', 'SERVICE'), ('P02', 'CLASSE'), ('P02', 'BUREAU'), ('P02', 'SALLE'), ('P02', 'AUTRE'), ('P05', 'TECHNIQUE'), ('P05', 'CORRIDOR'), ('P05', 'CIRCULATION'), ('P05', 'RANGEMENT'), ('P06', 'TECHNIQUE'), ('P08', 'WC')) v(system, type) GROUP BY 1""")
+@query(f"""SELECT type, count(DISTINCT id) AS n_rooms, array_to_string(list_sort(list(DISTINCT system)), ',') AS systems FROM {_TYPED} JOIN (VALUES ('P01', 'TECHNIQUE'), ('P01', 'SERVICE'), ('P02', 'CLASSE'), ('P02', 'BUREAU'), ('P02', 'SALLE'), ('P02', 'AUTRE'), ('P05', 'TECHNIQUE'), ('P05', 'CORRIDOR'), ('P05', 'CIRCULATION'), ('P05', 'RANGEMENT'), ('P06', 'TECHNIQUE'), ('P08', 'WC')) v(system, type) USING (type) GROUP BY 1""")
 def finish_coverage(t):
-    each = check.paint_systems(t.spark).select("system", F.explode("types").alias("type"))
-    return each.groupBy("type").agg(F.array_join(F.array_sort(F.collect_list("system")), ",").alias("systems"))
+    each = check.paint_systems(t.spark).select("system", F.explode("types").alias("type")).groupBy("type").agg(F.array_join(F.array_sort(F.collect_list("system")), ",").alias("systems"))
+    return _typed(t).groupBy("type").agg(F.count_distinct("id").alias("n_rooms")).join(each, "type").select("type", "n_rooms", "systems")
 
 
 _REPLY = "CASE o_orderkey % 5 WHEN 0 THEN 'ID: a-' || o_custkey || ', NOM: salle verte' WHEN 1 THEN 'Local ' || o_custkey || 'b est un corridor nord, ou bien' WHEN 2 THEN 'vu B-1' || (10 + o_custkey % 90) || ': la cuisine' WHEN 3 THEN 'NOM = Bureau' ELSE 'rien' END"
