@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scores
+from ..operators import settle
 from ..operators.keep import diversified, keep_first, stratified
 from ..plans import check
 from .base import query
@@ -90,3 +91,43 @@ def event_windows(t):
     from ..streaming.streams import windowed
 
     return windowed(t.events).select("start", "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("""SELECT event_type, count(*) AS n, round(sum(value), 4) AS total, max(ts)::TIMESTAMP AS last_seen FROM events GROUP BY 1""")
+def distinct_totals(t):
+    """Totals that a table changed by key holds after every event came twice, in two batches, the second one played again."""
+    from ..sources import upsert
+    from ..streaming import streams
+
+    path = settle.fresh_path(t.spark, "totals")
+    first = t.events.filter("event_id % 2 = 0")
+    for number, events in ((0, first), (1, t.events.unionByName(first)), (1, first)):
+        upsert.upsert(streams.rule_totals(streams.distinct_events(events, ["event_id"])), path, ["event_type"], buckets=8, batch=("totals", number))
+    return upsert.read(t.spark, path).select("event_type", "n", F.round("total", 4).alias("total"), "last_seen")
+
+
+@query("""WITH l AS (SELECT o_custkey, o_totalprice, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC, o_totalprice DESC) = 1)
+SELECT coalesce(c_custkey, o_custkey) AS k, CASE WHEN o_custkey IS NULL THEN c_acctbal ELSE o_totalprice END AS balance FROM customer FULL JOIN l ON c_custkey = o_custkey WHERE o_orderstatus IS DISTINCT FROM 'P'""")
+def upsert_by_key(t):
+    """Balances after the last order of each customer took their place, or took the customer out."""
+    from ..sources import upsert
+
+    path = settle.fresh_path(t.spark, "balances")
+    upsert.upsert(t.customer.select(c("c_custkey").alias("k"), c("c_acctbal").alias("balance")), path, ["k"], buckets=32)
+    changes = t.orders.select(c("o_custkey").alias("k"), c("o_totalprice").alias("balance"), "o_orderkey", (c("o_orderstatus") == "P").alias("gone"))
+    last = keep_first(changes, ["k"], [F.desc("o_orderkey"), F.desc("balance")]).drop("o_orderkey")
+    upsert.upsert(last, path, ["k"], deleted="gone")
+    return upsert.read(t.spark, path)
+
+
+@query("""SELECT 0 AS ord, 'orders' AS name, count(*) AS value FROM orders UNION ALL SELECT 1, 'large', count(*) FROM orders WHERE o_totalprice > 100000
+UNION ALL SELECT 2, 'customers', count(DISTINCT o_custkey) FROM orders""")
+def run_figures(t):
+    """Figures of a run, found by the jobs that write its tables."""
+    from ..plans import reports
+
+    orders, of_orders = reports.observed(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), orders=F.count("*"), large=F.count_if(c("o_totalprice") > 100000))
+    kept = settle.settled(orders)
+    customers, of_customers = reports.observed(kept.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total")), customers=F.count("*"))
+    settle.settled(customers)
+    return reports.run_steps(t.spark, [of_orders, of_customers])

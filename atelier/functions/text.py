@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
+from .scores import let
+
+#: Pieces of a text whose lengths are added up at a time.
+BLOCK = 128
 
 
 def bare(c: Column) -> Column:
@@ -140,28 +144,67 @@ def room_search_text(name: Column, plan_id: Column, id_: Column, type_: Column,
     return search_text(F.concat_ws(" ", *parts))
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """All matches of a pattern with their places: array<struct<match, start, stop>> (0-based, stop excluded), JVM-side.
+def _running(sizes: Column) -> Column:
+    """0 and the sums of the first one, two and more sizes; in blocks, so that an append copies no more than a block."""
+    append = lambda start, part: F.aggregate(part, start, lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n))
+    zero = F.array(F.lit(0))
+
+    def by_blocks(ns):
+        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(ns) / BLOCK).cast("int")), lambda i: F.slice(ns, i * BLOCK + 1, BLOCK))
+
+        def summed(bs):
+            ats = append(zero, F.transform(bs, lambda b: F.aggregate(b, F.lit(0), lambda acc, n: acc + n)))
+            shifted = lambda b, at: F.transform(F.slice(append(zero, b), 2, BLOCK), lambda x: at + x)
+            return let(ats, lambda a: F.concat(zero, F.flatten(F.transform(bs, lambda b, i: shifted(b, F.get(a, i))))))
+
+        return let(blocks, summed)
+
+    return let(sizes, lambda ns: F.when(F.size(ns) <= BLOCK, append(zero, ns)).otherwise(by_blocks(ns)))
+
 
-    One pass of the pattern marks the matches; places are sums of the lengths of what stands before.
+def found(text: Column, pattern: str, groups: int | None = 0) -> Column:
+    """All matches of a pattern: array<struct<match, start, stop, groups>>, left to right, JVM-side, in one pass of the pattern.
+
+    Places are 0-based, stop excluded; ``groups`` holds the texts of the first so many groups, '' for one that took no
+    part (None: no such field).  Empty matches are left out; null text gives null.  The pass puts marks about matches and groups that the text
+    does not hold, and places are sums of the lengths of what stands before, in blocks so that many matches cost no more
+    than a few each.
     """
-    mark = "\uf8f0"  # of the private area: taken out of the text first, one character for one
-    marked = F.split(F.regexp_replace(F.translate(text, mark, "\uf8f1"), pattern, f"{mark}$0{mark}"), mark)
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out"))
+    one, other = F.lit("\uf8f0"), F.lit("\uf8f1")  # of the private area; a text that holds one gets marks of its own digest
+
+    def split(t):
+        tail = F.when(F.contains(t, one) | F.contains(t, other), F.sha2(t.cast("binary"), 256)).otherwise("")
+        mark, part = F.concat(one, tail), F.concat(other, tail)
+        whole = F.concat(mark, F.lit("$0"), *(x for i in range(1, (groups or 0) + 1) for x in (part, F.lit(f"${i}"))), mark)
+        return F.struct(F.split(F.regexp_replace(t, F.lit(pattern), whole), mark).alias("pieces"), part.alias("part"))
+
+    def placed(x):
+        pieces = x["pieces"]
+        bare_piece = (lambda p: F.call_function("substring_index", p, x["part"], F.lit(1))) if groups else (lambda p: p)
 
-    def step(acc, x):
-        return F.struct((acc["at"] + F.length(x)).alias("at"), (acc["n"] + 1).alias("n"), F.when(acc["n"] % 2 == 1, F.array_append(acc["out"], acc["at"])).otherwise(acc["out"]).alias("out"))
+        def one_match(start, i):
+            piece = F.element_at(pieces, 2 * i + 2)
+            match = bare_piece(piece)
+            parts = [] if groups is None else [(F.slice(F.split(piece, x["part"]), 2, groups) if groups else F.array().cast("array<string>")).alias("groups")]
+            return F.struct(match.alias("match"), start.alias("start"), (start + F.length(match)).alias("stop"), *parts)
 
-    def placed(pieces):
-        starts = F.aggregate(pieces, zero, step, lambda acc: acc["out"])
+        ends = _running(F.transform(pieces, lambda p: F.length(bare_piece(p))))
+        starts = F.filter(F.slice(ends, 2, F.size(pieces) - 1), lambda _, i: i % 2 == 0)
+        return F.transform(starts, one_match)
 
-        def one(start, i):
-            match = F.element_at(pieces, 2 * i + 2)
-            return F.struct(match.alias("match"), start.alias("start"), (start + F.length(match)).alias("stop"))
+    out = let(split(text), placed)
+    return F.when(text.isNotNull(), F.filter(out, lambda m: m["stop"] > m["start"]))
+
+
+def spans(text: Column, pattern: str) -> Column:
+    """All matches of a pattern with their places: ``found`` without groups, array<struct<match, start, stop>>."""
+    return found(text, pattern, None)
 
-        return F.transform(starts, one)
 
-    return F.when(text.isNotNull(), F.element_at(F.transform(F.array(marked), placed), 1))
+def matches(text: Column, forms: list[tuple[int, str, int]]) -> Column:
+    """Matches of several patterns (rank, pattern, groups) as one array, form by form, each with its rank: one scan, one explode."""
+    ranked = lambda rank: lambda m: F.struct(F.lit(rank).alias("rank"), m["match"].alias("match"), m["start"].alias("start"), m["stop"].alias("stop"), m["groups"].alias("groups"))
+    return F.concat(*(F.transform(found(text, pattern, groups), ranked(rank)) for rank, pattern, groups in forms))
 
 
 def around(text: Column, span: Column, before: int, after: int) -> Column:

@@ -37,8 +37,8 @@ def room_references(blocks: DataFrame, keys: list[str], whole_words: bool = True
 
     whole_words=False also takes ISOLATION or NORMAL for a standard.
     """
-    each = blocks.withColumn("s", F.explode(text.spans(c("text"), ROOM)))
-    part = lambda i: F.nullif(F.regexp_extract("s.match", ROOM, i), F.lit(""))
+    each = blocks.withColumn("s", F.explode(text.found(c("text"), ROOM, 3)))
+    part = lambda i: F.nullif(c("s.groups")[i - 1], F.lit(""))
     each = each.withColumns({"room_ref": F.coalesce(part(1), part(2), part(3)), "context": text.around(c("text"), c("s"), 30, 50)})
     words = "|".join(fixed.STANDARDS)
     about = c("context").rlike(rf"(?iuU)\b(?:{words})\b") if whole_words else c("context").rlike(f"(?iu)(?:{words})")

@@ -9,6 +9,7 @@ from ..functions import fixed, scores, text
 from ..operators.keep import keep_first
 
 c = F.col
+LISTED = 9  # the rank of makers in lists, behind all introductions
 
 
 def _clean(name: Column) -> Column:
@@ -28,21 +29,25 @@ def products(blocks: DataFrame, keys: list[str]) -> DataFrame:
     none = F.lit(None).cast("string")
     no_specs = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
 
-    def part(rank: int, pattern: str, maker: int, product: Column, good: Column, plain: bool = False) -> DataFrame:
-        each = b.select(*keys, "ord", "page", "code", "text", F.lit(rank).alias("_rank"), F.explode(text.spans(c("text"), pattern)).alias("_s"))
-        name = text.bare(F.regexp_extract("_s.match", pattern, maker)) if plain else _clean(F.regexp_extract("_s.match", pattern, maker))
-        each = each.withColumn("maker", name).filter(good)
-        about = F.substring("text", F.greatest(c("_s.start") - 50, F.lit(0)) + 1, F.least(c("_s.stop") + 50, F.length("text")) - F.greatest(c("_s.start") - 50, F.lit(0))) if plain else F.left("text", F.lit(200))
-        return each.select(*keys, "ord", "page", "code", "_rank", c("_s.start").alias("_at"), "maker", product.alias("model"), F.lit(plain).alias("_plain"), "text", F.left(about, F.lit(200)).alias("context"))
+    # all forms in one scan: (rank, pattern, its groups), the first group is the maker
+    forms = [(0, fixed.BAR_PRODUCT, 2), *((i, p, 1) for i, p in enumerate(fixed.MAKER_INTRODUCTIONS, 1)), (LISTED, fixed.LIST_MAKER, 1)]
 
+    def named(m):  # the maker is computed with the match, once, ahead of all that asks for it
+        maker = F.when(m["rank"] == LISTED, text.bare(m["groups"][0])).otherwise(_clean(m["groups"][0]))
+        return F.struct(m["rank"].alias("rank"), m["start"].alias("start"), m["stop"].alias("stop"), maker.alias("maker"), m["groups"].alias("groups"))
+
+    each = b.select(*keys, "ord", "page", "code", "text", F.explode(F.transform(text.matches(c("text"), forms), named)).alias("_s")).withColumn("maker", c("_s.maker"))
+    plain = c("_s.rank") == LISTED
     low, size = F.lower("maker"), F.length("maker")
-    bar = F.regexp_replace(text.bare(F.regexp_extract("_s.match", fixed.BAR_PRODUCT, 2)), "[.,;:]+$", "")
-    out = part(0, fixed.BAR_PRODUCT, 1, bar, text.is_maker(c("maker")))
-    for i, p in enumerate(fixed.MAKER_INTRODUCTIONS, 1):
-        out = out.unionByName(part(i, p, 1, model, size.between(2, 50) & ~low.isin(fixed.NO_INTRODUCED)))
-    listed = part(9, fixed.LIST_MAKER, 1, none, size.between(2, 40) & ~text.any_of(low, fixed.NO_LISTED), plain=True)
-    out = out.unionByName(listed).withColumn("_key", F.lower("maker"))
-    first = keep_first(out, [*keys, "_key", "model"], ["ord", "_rank", "_at"])
+    barred = text.is_maker(c("maker"))
+    introduced = size.between(2, 50) & ~low.isin(fixed.NO_INTRODUCED)
+    listed = size.between(2, 40) & ~text.any_of(low, fixed.NO_LISTED)
+    each = each.filter(F.when(c("_s.rank") == 0, barred).when(plain, listed).otherwise(introduced))
+    bar = F.regexp_replace(text.bare(c("_s.groups")[1]), "[.,;:]+$", "")
+    lo, hi = F.greatest(c("_s.start") - 50, F.lit(0)), F.least(c("_s.stop") + 50, F.length("text"))
+    about = F.left(F.when(plain, F.substring("text", lo + 1, hi - lo)).otherwise(c("text")), F.lit(200))
+    out = each.select(*keys, "ord", "page", "code", c("_s.rank").alias("_rank"), c("_s.start").alias("_at"), "maker", F.when(c("_s.rank") == 0, bar).when(plain, none).otherwise(model).alias("model"), plain.alias("_plain"), "text", about.alias("context"))
+    first = keep_first(out.withColumn("_key", F.lower("maker")), [*keys, "_key", "model"], ["ord", "_rank", "_at"])
     # what a block states is read once for each product that stays
     first = first.withColumns({"kind": F.when(c("_plain"), none).otherwise(kind), "specs": F.when(c("_plain"), no_specs).otherwise(stated)})
     return first.drop("_key", "_rank", "_at", "_plain", "text")
@@ -77,21 +82,25 @@ def older_products(texts: DataFrame, keys: list[str]) -> DataFrame:
     t = texts.select(*keys, joined.alias("text"))
     makers = "|".join("\\Q" + m + "\\E" for m in sorted(fixed.KNOWN_MAKERS, key=lambda m: (-len(m), m)))
     tidy = lambda x: F.regexp_replace(F.regexp_replace(text.bare(F.regexp_replace(x, r"^[\s.0-9]+", "")), r"\s+", " "), "[.,;:]+$", "")
-    out = None
-    for rank, (form, pattern, maker, model, _) in enumerate(fixed.OLD_PRODUCTS):
-        p = pattern.replace("MAKERS", makers)
-        each = t.select(*keys, F.explode(text.spans(c("text"), p)).alias("s")).select(*keys, F.lit(form).alias("form"), F.lit(rank).alias("_rank"), c("s.start").alias("_at"), F.regexp_replace(text.bare(F.regexp_extract("s.match", p, maker)), "[.,;:)]+$", "").alias("maker"), tidy(F.regexp_extract("s.match", p, model)).alias("model"))
-        low = F.lower("maker")
-        if form == "pipe":
-            good = ~low.isin(fixed.NO_BAR_MAKERS) & (is_known(c("maker")) | (F.length("maker") > 4))
-        elif form == "labeled":
-            good = (F.length("maker") >= 3) & (F.length("model") >= 3)
-        elif form == "known_mfr":
-            good = ~F.lower("model").rlike("^(?:ou|or|et|and|de) ") & ~text.any_of(F.lower("model"), fixed.OTHER_MAKERS)
-        else:
-            good = is_known(c("maker"))
-        each = each.filter(good & is_product(c("maker"), c("model")))
-        out = each if out is None else out.unionByName(each)
+    forms = [(rank, pattern.replace("MAKERS", makers), 2) for rank, (_, pattern, *_) in enumerate(fixed.OLD_PRODUCTS)]
+    names = [form for form, *_ in fixed.OLD_PRODUCTS]
+    turned = [rank for rank, (_, _, maker, _, _) in enumerate(fixed.OLD_PRODUCTS) if maker == 2]
+
+    def named(m):  # both names are computed with the match, once, ahead of all that asks for them
+        maker, model = (F.when(m["rank"].isin(turned), m["groups"][1 - i]).otherwise(m["groups"][i]) for i in (0, 1))
+        return F.struct(m["rank"].alias("rank"), m["start"].alias("start"), F.regexp_replace(text.bare(maker), "[.,;:)]+$", "").alias("maker"), tidy(model).alias("model"))
+
+    form = F.element_at(F.array(*(F.lit(n) for n in names)), c("s.rank") + 1)
+    each = t.select(*keys, F.explode(F.transform(text.matches(c("text"), forms), named)).alias("s"))
+    each = each.select(*keys, form.alias("form"), c("s.rank").alias("_rank"), c("s.start").alias("_at"), c("s.maker").alias("maker"), c("s.model").alias("model"))
+    low, known = F.lower("maker"), is_known(c("maker"))
+    good = (
+        F.when(c("form") == "pipe", ~low.isin(fixed.NO_BAR_MAKERS) & (known | (F.length("maker") > 4)))
+        .when(c("form") == "labeled", (F.length("maker") >= 3) & (F.length("model") >= 3))
+        .when(c("form") == "known_mfr", ~F.lower("model").rlike("^(?:ou|or|et|and|de) ") & ~text.any_of(F.lower("model"), fixed.OTHER_MAKERS))
+        .otherwise(known)
+    )
+    out = each.filter(good & is_product(c("maker"), c("model")))
     out = out.withColumns({"_maker": F.lower("maker"), "_model": F.lower("model")})
     first = keep_first(out, [*keys, "_maker", "_model"], ["_rank", "_at"])
     shown = F.when(c("form") == "known_mfr", F.initcap("maker")).otherwise(c("maker"))

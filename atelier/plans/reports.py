@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 c = F.col
@@ -59,6 +59,22 @@ def verification(totals: DataFrame, rows: DataFrame) -> DataFrame:
     return joined([("# Verification", head), ("## What disagrees", wrong), ("## Conclusion", totals.select(F.concat(F.lit("The truth is "), verdict).alias("text")))])
 
 
+def observed(df: DataFrame, **figures: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and figures of it (aggregates by name) that the job which writes it finds on the way: no second scan.
+
+    The figures are there when an action on the returned frame has ended; rows of one action are counted once, however
+    often its tasks are run again.
+    """
+    watch = Observation()
+    return df.observe(watch, *(v.alias(k) for k, v in figures.items())), watch
+
+
+def run_steps(spark: SparkSession, watches: list[Observation]) -> DataFrame:
+    """Figures of observed jobs that have ended, in order, as run_summary takes them: ord, name, value."""
+    found = [(k, None if v is None else int(v)) for watch in watches for k, v in watch.get.items()]
+    return spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(found)], "ord int, name string, value long")
+
+
 def run_summary(steps: DataFrame, source: str, seconds: float) -> DataFrame:
     """A run: what each step counted, in order.  steps: ord, name, value."""
     return lines(steps, ["ord"], F.concat_ws("", F.lit("- **"), "name", F.lit(":** "), F.col("value").cast("string"))).select(F.concat(F.lit(f"# Run\n\nSource: {source}\nSeconds: {seconds:.1f}\n\n"), "text").alias("text"))

@@ -65,6 +65,29 @@ def test_spans_equal_the_plain_search(spark):
         assert [(m.match, m.start, m.stop) for m in got] == [(m[0], m.start(), m.end()) for m in re.finditer(r"\d+", t)]
 
 
+def test_found_equals_the_plain_search_with_groups(spark):
+    import re
+
+    rnd = random.Random(2)
+    marks = "\uf8f0\uf8f1"
+    rows = [("".join(rnd.choice("ab1 2-é\U0001f600" + (marks if k % 2 else "")) for _ in range(rnd.choice((0, 5, 40, 900)))),) for k in range(200)]
+    pattern = r"([ab])(\d)?(?:-([^ ]))?"
+    for t, got in values(spark, rows, "t string", "t", text.found(c("t"), pattern, 3)):
+        want = [(m[0], m.start(), m.end(), [g or "" for g in m.groups()]) for m in re.finditer(pattern, t)]
+        # places are in characters, as the text's length is
+        assert [(m.match, m.start, m.stop, m.groups) for m in got] == want, t
+    empty = values(spark, [("baab",), ("",), (None,)], "t string", text.found(c("t"), "a*"))
+    assert [None if m is None else [(x.match, x.start) for x in m] for (m,) in empty] == [[("aa", 1)], [], None]
+    many = values(spark, [("a" * 20_000,)], "t string", text.found(c("t"), "a"))[0][0]
+    assert [m.start for m in many] == list(range(20_000))
+
+
+def test_matches_of_several_patterns(spark):
+    got = values(spark, [("a1 b2",), (None,)], "t string", text.matches(c("t"), [(3, r"([a-z])(\d)", 2), (5, r"\d", 0)]))
+    assert [(m.rank, m.match, m.start, m.groups) for m in got[0][0]] == [(3, "a1", 0, ["a", "1"]), (3, "b2", 3, ["b", "2"]), (5, "1", 1, []), (5, "2", 4, [])]
+    assert got[1][0] is None
+
+
 def test_pages(spark):
     rows = [("légende des symboles",), ("plan du 2e étage " + " ".join(str(100 + i) for i in range(100)),), ("détail coupe",), ("élévation façade",), ("",), (None,)]
     s = scores.page_scores(c("t"))
