@@ -182,7 +182,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = LEA
     label = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg((F.avg("quality") < 0.5).alias("bad"))
     drawn = scratch.table(label.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most), "drawn")  # a bounded sample
     some = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
-    rows = with_statistics(some).filter("n_words > 0").dropDuplicates(["doc_id"]).selectExpr("bad", *(f"{v} AS `{k}`" for k, v in RATIOS.items())).toPandas()
+    rows = with_statistics(some).filter("n_words > 0").selectExpr("doc_id", "bad", *(f"{v} AS `{k}`" for k, v in RATIOS.items()))
+    # of the texts of a repeated doc_id the one of least ratios, so that a task that is run again learns the same rules
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("bad", *(F.col(f"`{k}`") for k in RATIOS))).alias("least")).select("least.*").toPandas()
     x, bad = rows[list(RATIOS)].to_numpy(np.float64), rows["bad"].to_numpy(bool)
     order = np.lexsort(np.concatenate((x.T, bad[None])))
     return learn(x[order], bad[order], seed=seed) if len(x) else []

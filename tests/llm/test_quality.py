@@ -48,6 +48,13 @@ def test_rules_tell_bad_from_good(spark):
     assert rules == quality.fit(spark, d.repartition(7), labels.unionByName(labels))  # order and repeats change nothing
 
 
+def test_other_texts_of_a_repeated_id_change_nothing_by_their_order(spark):
+    d, labels = docs(spark)
+    both = d.unionByName(d.selectExpr("doc_id", "concat(text, ' and two words more') AS text", *(x for x in d.columns if x not in ("doc_id", "text"))))
+    learned = [quality.fit(spark, both.repartition(n).sortWithinPartitions(order), labels) for n, order in ((1, "text"), (5, "doc_id"), (3, "text"))]
+    assert learned[0] and learned[0] == learned[1] == learned[2]
+
+
 def test_rows_that_have_little(spark):
     rows = [(1, None, True), (2, "", True), (None, "a b c d e f g h i j k l", False), (4, "few words", True), (4, "few words", True)]
     d = spark.createDataFrame(rows, "doc_id long, text string, kept boolean")
