@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, scores, text
 from ..operators.keep import keep_first
+from ..operators.settle import settled
+from ..operators.within import held
 
 c = F.col
 LISTED = 9  # the rank of makers in lists, behind all introductions
@@ -120,15 +122,37 @@ def field_score(found: dict[str, Column], true: dict[str, Column]) -> Column:
 FIELDS = ("section", "category", "product", "type")
 
 
+def _agreeing(found: DataFrame, true: DataFrame, k: str) -> DataFrame:
+    """(t_k, f_k): the distinct values of a field that agree: equal, or one within the other where neither is empty."""
+    t, f = true.select(f"t_{k}").distinct(), found.select(f"f_{k}").distinct()
+    same = t.join(f, c(f"t_{k}") == c(f"f_{k}"))
+    both = [held(a, b, own, other, text=own, item=other).select(f"t_{k}", f"f_{k}") for a, own, b, other in ((f, f"f_{k}", t, f"t_{k}"), (t, f"t_{k}", f, f"f_{k}"))]
+    return settled(same.unionByName(both[0]).unionByName(both[1]).distinct())
+
+
 def against_truth(found: DataFrame, truth: DataFrame) -> DataFrame:
     """Each true product with the first found one of its section that agrees in more than half of four fields.
 
-    Both: ord, section, category, product, type.  Without any the status is ``missing``.
+    Both: ord, section, category, product, type.  Without any the status is ``missing``.  Products of a section agree in it,
+    so two of the other three fields are wanted: for each two of them the first product found of equal values stands for
+    all, and distinct values meet by the table of those that agree.  No product meets all of its section.
     """
-    f = found.select(c("section").alias("_s"), c("ord").alias("found_ord"), *(c(k).alias(f"f_{k}") for k in FIELDS))
-    pairs = truth.join(f, F.coalesce("section", F.lit("")) == F.coalesce("_s", F.lit("")))
-    scored = pairs.withColumn("score", field_score({k: c(f"f_{k}") for k in FIELDS}, {k: c(k) for k in FIELDS})).filter("score > 0.5")
-    best = keep_first(scored, ["ord"], ["found_ord"]).select("ord", "found_ord", "score")
+    named = lambda df, p: df.select("ord", F.coalesce("section", F.lit("")).alias("_s"), *(text.compared(c(k).cast("string")).alias(f"{p}_{k}") for k in FIELDS))
+    f, t = settled(named(found, "f")), settled(named(truth, "t"))
+    others = FIELDS[1:]
+    agree = {k: _agreeing(f, t, k) for k in others}
+    whole = F.struct(c("ord").alias("found_ord"), *(c(f"f_{k}") for k in FIELDS))
+    each = t
+    for i, left in enumerate(others):
+        for right in others[i + 1 :]:
+            first = f.groupBy("_s", f"f_{left}", f"f_{right}").agg(F.min(whole).alias("_p"))
+            wanted = t.select("_s", f"t_{left}", f"t_{right}").distinct().join(agree[left], f"t_{left}").join(agree[right], f"t_{right}")
+            best = wanted.join(first, ["_s", f"f_{left}", f"f_{right}"]).groupBy("_s", f"t_{left}", f"t_{right}").agg(F.min("_p").alias(f"_{left}_{right}"))
+            each = each.join(best, ["_s", f"t_{left}", f"t_{right}"], "left")
+    first = F.least(*(c(f"_{x}_{y}") for i, x in enumerate(others) for y in others[i + 1 :]))
+    each = each.withColumn("_p", first).filter("_p is not null")
+    scored = each.select("ord", c("_p.found_ord").alias("found_ord"), field_score({k: c(f"_p.f_{k}") for k in FIELDS}, {k: c(f"t_{k}") for k in FIELDS}).alias("score"))
+    best = keep_first(scored, ["ord"], ["found_ord"])
     return truth.select("ord", "section").join(best, "ord", "left").withColumn("status", F.when(c("score").isNull(), "missing").otherwise("matched"))
 
 

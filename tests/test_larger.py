@@ -1,9 +1,14 @@
 """What larger and other tables than the smallest brought up: rows that turn real, and results against plain loops."""
 
+import random
+
 import duckdb
+from pyspark.sql import functions as F
 
 from atelier.catalogue import QUERIES, SQL
+from atelier.plans import products
 
+c = F.col
 SF = "/root/testdata/sf0.001"
 
 
@@ -14,3 +19,26 @@ def test_a_room_of_a_larger_table_is_not_taken_for_made_up(spark, tmp_path):
     con.sql(f"create view customer as select * from '{tmp_path}/customer.parquet'")
     got = QUERIES["guarded_lookup"](spark, str(tmp_path)).collect()
     assert sorted(tuple(r) for r in got) == sorted(con.sql(SQL["guarded_lookup"]).fetchall())
+
+
+def test_products_against_the_truth_equal_loops_and_pair_no_section(spark):
+    rng = random.Random(3)
+    word = lambda *more: rng.choice(["", None, "a", "A-b", "a b c", "b", "ring", "old ring", *more])
+    table = lambda n: [(k, rng.choice(["09", "10", "", None]), word("x y"), word("Ring_1"), word("z")) for k in range(n)]
+    found, truth = table(70), table(60)
+    norm = lambda x: (x or "").upper().strip().translate(str.maketrans("-_", "  "))
+    agrees = lambda a, b: a == b or (b != "" and b in a) or (a != "" and a in b)
+    want = []
+    for g in truth:
+        scores = ((f[0], sum(agrees(norm(x), norm(y)) for x, y in zip(f[1:], g[1:])) / 4) for f in found if (f[1] or "") == (g[1] or ""))
+        want.append(next(((g[0], k, s) for k, s in scores if s > 0.5), (g[0], None, None)))
+    ddl = "ord int, section string, category string, product string, type string"
+    out = products.against_truth(spark.createDataFrame(found, ddl), spark.createDataFrame(truth, ddl))
+    assert [(r.ord, r.found_ord, r.score) for r in out.orderBy("ord").collect()] == want
+
+
+def test_one_section_of_many_products(spark):
+    # 20,000 by 20,000 products of one section: 4e8 pairs would not end in time
+    make = lambda step: spark.range(20_000).select(c("id").cast("int").alias("ord"), F.lit("09").alias("section"), F.concat(F.lit("brand "), c("id") % 20).alias("category"), F.concat(F.lit("name "), (c("id") * step) % 50).alias("product"), F.lit("x").alias("type"))
+    out = products.against_truth(make(1), make(3))
+    assert out.filter("status = 'matched'").count() == 20_000 and out.agg(F.max("found_ord")).first()[0] < 100
