@@ -6,7 +6,8 @@ import duckdb
 from pyspark.sql import functions as F
 
 from atelier.catalogue import QUERIES, SQL
-from atelier.plans import products
+from atelier.operators import within
+from atelier.plans import products, questions
 
 c = F.col
 SF = "/root/testdata/sf0.001"
@@ -42,3 +43,28 @@ def test_one_section_of_many_products(spark):
     make = lambda step: spark.range(20_000).select(c("id").cast("int").alias("ord"), F.lit("09").alias("section"), F.concat(F.lit("brand "), c("id") % 20).alias("category"), F.concat(F.lit("name "), (c("id") * step) % 50).alias("product"), F.lit("x").alias("type"))
     out = products.against_truth(make(1), make(3))
     assert out.filter("status = 'matched'").count() == 20_000 and out.agg(F.max("found_ord")).first()[0] < 100
+
+
+def test_a_list_that_many_ask_for_is_ranked_once_and_met_in_cells(spark, monkeypatch):
+    monkeypatch.setattr(questions, "CELL", 3)
+    entries = spark.range(11).select(c("id").alias("ord"), F.lit("CLASSE").alias("room_type"), F.lit("A").alias("block"), F.lit(1).alias("floor"), (50 - c("id")).cast("string").alias("plan_id"))
+    totals = spark.range(8).select(c("id").alias("qid"), F.lit("CLASSE").alias("room_type"), F.when(c("id") % 2 == 0, "A").alias("_block")).unionByName(spark.sql("select 99L as qid, 'CLASSE' as room_type, 'Z' as _block"))
+    got = questions._listed(totals, entries)
+    assert sorted((r.qid, r["rank"], r.ord) for r in got.collect()) == [(q, k, 11 - k) for q in range(8) for k in range(1, 12)]
+    # no window or sort over questions: the questions of a cell are one row until the last step
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.index("Generate explode(_qids") < plan.index("Join")
+
+
+def test_texts_that_hold_few_items_are_not_shuffled(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "le local A-12 est vu"), (2, "a b"), (3, None), (4, "rue des A-1")], "id int, text string")
+    items = spark.createDataFrame([(1, "A-1"), (2, "des A"), (3, "local A-12 est"), (4, "")], "i int, item string")
+    want = [(1, 1), (1, 3), (4, 1), (4, 2)]
+    for few in (within.FEW, 0):
+        monkeypatch.setattr(within, "FEW", few)
+        assert sorted((r.id, r.i) for r in within.held(docs, items, "id", "i").collect()) == want
+        valued = within.held(docs, items, "id", "i", value=lambda x: F.length(x) + F.length("text"))
+        assert sorted((r.id, r.i, r.value) for r in valued.collect()) == [(1, 1, 23), (1, 3, 34), (4, 1, 14), (4, 2, 16)]
+    monkeypatch.setattr(within, "FEW", 500_000)
+    plan = within.held(docs, items, "id", "i")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "rightHint=(strategy=broadcast)" in plan
