@@ -27,6 +27,7 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +47,12 @@ SUMMARIES = 50_000
 NONE = np.iinfo(np.int64)
 
 
+def compact(v: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the narrowest type that holds them all: what a task keeps and sends of them."""
+    low, high = (int(v.min()), int(v.max())) if v.size else (0, 0)
+    return v.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
+
 def build(ids: np.ndarray, vecs: np.ndarray, leaf: int = LEAF) -> dict:
     """Ball tree as arrays; rows of a node are contiguous after reordering.  Halving by rank bounds the depth for any data."""
     order, nodes = np.arange(len(ids)), []
@@ -67,7 +74,7 @@ def build(ids: np.ndarray, vecs: np.ndarray, leaf: int = LEAF) -> dict:
 
     grow(0, len(ids))
     lo, hi, left, right, mid, far, least = zip(*nodes)
-    return {"ids": ids[order], "vecs": vecs[order], "lo": lo, "hi": hi, "left": left, "right": right, "mid": np.array(mid), "far": np.array(far), "least": np.array(least)}
+    return {"ids": ids[order], "vecs": compact(vecs[order]), "lo": lo, "hi": hi, "left": left, "right": right, "mid": np.array(mid), "far": np.array(far), "least": np.array(least)}
 
 
 def spread_axis(x: np.ndarray, spread: np.ndarray) -> np.ndarray:
@@ -104,15 +111,21 @@ class Best:
 
 def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Integer inner products; by doubles where these are exact."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[1]
-    return (q.astype(np.float64) @ v.T.astype(np.float64)).astype(np.int64) if most < EXACT else q @ v.T
+    qf, vf = q.astype(np.float64), v.astype(np.float64)
+    return (qf @ vf.T).astype(np.int64) if exact(qf, vf) else q.astype(np.int64) @ v.T.astype(np.int64)
+
+
+def exact(qf: np.ndarray, vf: np.ndarray) -> bool:
+    """Whether doubles give the inner products of these whole numbers exactly."""
+    return float(np.abs(qf).max(initial=0)) * float(np.abs(vf).max(initial=0)) * qf.shape[1] < EXACT
 
 
 def search(tree: dict, q: np.ndarray, best: Best) -> int:
     """Best-first walk of one tree by all queries of a block that can still gain; returns the number of leaves scored."""
     scored = 0
-    qf = q.astype(np.float64)
+    qf, vf = q.astype(np.float64), tree["vecs"].astype(np.float64)
     size = np.sqrt((qf**2).sum(axis=1))
+    doubles = exact(qf, vf)
 
     def bound(node: int, rows: np.ndarray) -> np.ndarray:
         top = qf[rows] @ tree["mid"][node] + size[rows] * tree["far"][node]
@@ -124,12 +137,19 @@ def search(tree: dict, q: np.ndarray, best: Best) -> int:
         _, node, rows = heapq.heappop(heap)
         top = bound(node, rows)
         kth, kid = best.kth(rows)
-        rows = rows[(top > kth) | ((top == kth) & (tree["least"][node] <= kid))]
+        able = (top > kth) | ((top == kth) & (tree["least"][node] <= kid))
+        rows = rows[able]
         if not len(rows):
             continue
         if tree["left"][node] < 0:
             lo, hi = tree["lo"][node], tree["hi"][node]
-            best.add(rows, tree["ids"][lo:hi], products(q[rows], tree["vecs"][lo:hi]))
+            ids = tree["ids"][lo:hi]
+            scores = (qf[rows] @ vf[lo:hi].T).astype(np.int64) if doubles else products(q[rows], tree["vecs"][lo:hi])
+            # only queries that gain by a row of the leaf are ranked anew
+            kth, kid = kth[able, None], kid[able, None]
+            gains = ((scores > kth) | ((scores == kth) & (ids <= kid))).any(axis=1)
+            if gains.any():
+                best.add(rows[gains], ids, scores[gains])
             scored += 1
         else:
             for child in (tree["left"][node], tree["right"][node]):
@@ -194,7 +214,7 @@ def _celled(cells):
 
     def run(batches):
         for batch in batches:
-            dims = np.array([len(x) for x in batch.column(1)], np.int32)
+            dims = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int32)
             cell = np.zeros(batch.num_rows, np.int32)
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
@@ -229,7 +249,7 @@ def _packed(k: int, size: int):
 
 
 def _block(group, table):
-    made = (table["query_id"].to_numpy(), _lists(table["v"], group[0].as_py()), np.full(table.num_rows, NONE.min))
+    made = (table["query_id"].to_numpy(), compact(_lists(table["v"], group[0].as_py())), np.full(table.num_rows, NONE.min))
     return pa.table({"dim": pa.array([group[0].as_py()], pa.int32()), "block": pa.array([group[1].as_py()], pa.int32()), "asked": pa.array([pickle.dumps(made)], pa.binary())})
 
 
@@ -282,7 +302,8 @@ def _walk(k: int):
             tops = [balls((t["mid"][:1], t["far"][:1], None), q).max(initial=-np.inf) for t in made]
             for i in np.argsort(-np.array(tops), kind="stable"):
                 search(made[i], q, best)
-            row, col = np.nonzero(best.id != NONE.max)
+            # what is under a query's score of the lead can't have a rank
+            row, col = np.nonzero((best.id != NONE.max) & (best.score >= floor[:, None]))
             out.append((q_ids[row], best.id[row, col], best.score[row, col]))
         return pa.table({n: pa.array(np.concatenate(c), pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), zip(*out))})
 

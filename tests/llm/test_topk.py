@@ -101,3 +101,23 @@ def test_tree_search_is_exact(seed, n, size):
     for r, (q, v) in enumerate(zip(ids[:5], vecs[:5])):
         want = sorted((-int(sum(int(a) * int(b) for a, b in zip(v, w))), int(i)) for i, w in zip(ids, vecs) if i != q)[:3]
         assert [(-int(s), int(i)) for s, i in zip(best.score[r], best.id[r]) if i != np.iinfo(np.int64).max] == want
+
+
+def test_a_task_holds_vectors_in_their_narrowest_type_and_sends_no_row_under_the_lead():
+    import pickle
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    vecs, ids = rng.integers(-40, 40, (500, 8)), np.arange(500)
+    tree = topk.build(ids, vecs)
+    assert tree["vecs"].dtype == np.int8 and (tree["vecs"] == vecs[tree["ids"]]).all()
+    assert [topk.compact(np.array([0, x])).dtype.itemsize for x in (127, -129, 2**15, -(2**31) - 1)] == [1, 2, 4, 8]
+    q = vecs[:6]
+    scores = q @ vecs.T
+    scores[np.arange(6), np.arange(6)] = -(2**62)
+    floor = np.sort(scores, axis=1)[:, -3]  # a lead knows that three rows have this score
+    asked = {"asked": pa.array([pickle.dumps((ids[:6], topk.compact(q), floor))])}
+    out = topk._walk(5)(None, {"tree": pa.array([pickle.dumps(tree)])}, asked).to_pydict()
+    want = [(i, j, scores[i, j]) for i in range(6) for j in sorted(range(500), key=lambda j: (-scores[i, j], j))[:5] if scores[i, j] >= floor[i]]
+    assert sorted(zip(out["query_id"], out["vec_id"], out["score"])) == sorted(want)
