@@ -29,14 +29,14 @@ FROM (SELECT * FROM {_POINTS} WHERE label < 5) a LEFT JOIN (SELECT * FROM {_POIN
 def nearest_label(t):
     a, b = _sides(t)
     score = c("dist") - 50.0 * (2 * (c("ry") < c("y")).cast("int") + (c("rx") < c("x")).cast("int"))
-    return near.nearest(a, b, ["k"], ["vec_id"], 60.0, score).select("vec_id", c("rord").alias("name_id"), F.round("dist", 6).alias("dist"))
+    return near.nearest(a, b, ["k"], ["vec_id"], 60.0, score, under=150.0).select("vec_id", c("rord").alias("name_id"), F.round("dist", 6).alias("dist"))
 
 
 @query(f"""SELECT vec_id, name_id, round(d, 6) AS dist FROM (SELECT a.vec_id, b.vec_id AS name_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d, row_number() OVER (PARTITION BY a.vec_id ORDER BY sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) NULLS LAST, b.vec_id NULLS LAST) AS r
 FROM (SELECT * FROM {_POINTS} WHERE label < 5) a LEFT JOIN (SELECT * FROM {_POINTS} WHERE label >= 5) b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) < 25) WHERE r = 1""")
 def nearest_strict_radius(t):
     a, b = _sides(t)
-    return near.nearest(a, b, ["k"], ["vec_id"], 25.0, strict=True).select("vec_id", c("rord").alias("name_id"), F.round("dist", 6).alias("dist"))
+    return near.nearest(a, b, ["k"], ["vec_id"], 25.0, strict=True, under=0.0).select("vec_id", c("rord").alias("name_id"), F.round("dist", 6).alias("dist"))
 
 
 @query(f"""SELECT a.vec_id, min(b.vec_id) AS first_id FROM (SELECT * FROM {_POINTS} WHERE label < 5) a JOIN (SELECT * FROM {_POINTS} WHERE label >= 5) b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) < 30 GROUP BY 1""")

@@ -13,6 +13,8 @@ from .settle import settled
 
 #: Points of a key that are thinned as one array.
 FEW = 2_000
+#: Places of a cell of the first radius of ``nearest``, about, and how often the radius is halved for that at most.
+CELL, HALVINGS = 4, 16
 
 
 def grid_join(left: DataFrame, right: DataFrame, keys: list[str], radius: float, strict: bool = False, how: str = "inner", extra: Column | None = None) -> DataFrame:
@@ -34,10 +36,51 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str], radius: float,
     return a.join(b, cond, how).withColumn("dist", dist).drop("_gx", "_gy", *(f"_r_{c}" for c in (*keys, "_gx", "_gy")))
 
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str], id_: list[str], radius: float, score: Column | None = None, tie: str = "rord", strict: bool = False, extra: Column | None = None) -> DataFrame:
-    """Every row of left with its best row of right (least score, then tie), or with nulls."""
-    pairs = grid_join(left, right, keys, radius, strict, "left", extra)
-    return keep_first(pairs, [*keys, *id_], [(F.col("dist") if score is None else score).asc_nulls_last(), F.col(tie).asc_nulls_last()])
+def nearest(left: DataFrame, right: DataFrame, keys: list[str], id_: list[str], radius: float, score: Column | None = None, tie: str = "rord", strict: bool = False, extra: Column | None = None, under: float | None = None) -> DataFrame:
+    """Every row of left with its best row of right (least score, then tie), or with nulls.
+
+    ``under``: how far a score may lie below ``dist`` at most (0 without a score), where score is of both places alone and
+    right is no more than keys, rx, ry and the tie; then crowded places cost no more than others: see ``_widening``.
+    """
+    value = F.col("dist") if score is None else score
+    if under is not None:
+        pairs = _widening(left, right, keys, radius, value, tie, strict, under)
+    else:
+        pairs = grid_join(left, right, keys, radius, strict, "left", extra)
+    return keep_first(pairs, [*keys, *id_], [value.asc_nulls_last(), F.col(tie).asc_nulls_last()])
+
+
+def _same(keys: list[str], other: str) -> Column:
+    return reduce(and_, (F.col(k).eqNullSafe(F.col(f"{other}{k}")) for k in keys))
+
+
+def _widening(left: DataFrame, right: DataFrame, keys: list[str], radius: float, value: Column, tie: str, strict: bool, under: float) -> DataFrame:
+    """``left`` with the best row of right for each place, by rounds of a radius that doubles.
+
+    A place is asked once, however many rows share it, and so is a place of right, for its least tie.  The first radius is such
+    that a cell holds about ``CELL`` places.  What lies beyond a radius r has a score of r - under at least, so a place whose
+    best is less is settled and only the others are looked for farther away.
+    """
+    cell = lambda r: F.xxhash64(*keys, F.floor(F.col("rx") / r), F.floor(F.col("ry") / r))
+    there = settled(right.filter("rx is not null and ry is not null").groupBy(*keys, "rx", "ry").agg(F.min(tie).alias(tie)))
+    open_ = settled(left.filter("x is not null and y is not null").select(*keys, "x", "y").distinct())
+    sizes = [radius / 2**i for i in range(HALVINGS)]
+    n, *cells = there.agg(F.count("*"), *(F.approx_count_distinct(cell(r)) for r in sizes)).first()
+    r = next((r for r, m in zip(sizes, cells) if n <= CELL * m), sizes[-1])
+    best = None
+    while True:
+        last = r >= radius
+        pairs = grid_join(open_, there, keys, r, strict and last).withColumn("_value", value)
+        found = settled(keep_first(pairs, [*keys, "x", "y"], ["_value", tie]))
+        done = found if last else found.filter(F.col("_value") < r - under)
+        best = done if best is None else best.unionByName(done)
+        if last:
+            break
+        place = done.select(*(F.col(k).alias(f"_d_{k}") for k in (*keys, "x", "y")))
+        open_ = settled(open_.join(place, _same([*keys, "x", "y"], "_d_"), "left_anti"))
+        r = min(2 * r, radius)
+    best = best.drop("_value").select(*(F.col(k).alias(f"_d_{k}") for k in (*keys, "x", "y")), "rx", "ry", tie, "dist")
+    return left.join(best, _same([*keys, "x", "y"], "_d_"), "left").drop(*(f"_d_{k}" for k in (*keys, "x", "y")))
 
 
 def suppress(points: DataFrame, keys: list[str], radius: float, order: str = "ord", taken: Column | None = None, most: int = FEW) -> DataFrame:

@@ -68,3 +68,29 @@ def test_texts_that_hold_few_items_are_not_shuffled(spark, monkeypatch):
     monkeypatch.setattr(within, "FEW", 500_000)
     plan = within.held(docs, items, "id", "i")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and "rightHint=(strategy=broadcast)" in plan
+
+
+def test_nearest_in_a_crowd_equals_loops_and_asks_each_place_once(spark, monkeypatch):
+    import math
+
+    from atelier.operators import near
+
+    rng = random.Random(5)
+    at = lambda: rng.choice([rng.gauss(0, 40), rng.gauss(0, 3), 7.0])
+    left = [(i, rng.choice([1, None]), *rng.choice([(at(), at()), (7.0, 7.0), (None, 1.0)])) for i in range(300)]
+    right = [(i, rng.choice([1, None]), *rng.choice([(at(), at()), (7.0, 7.0), (2.0, None)])) for i in range(300)]
+    a, b = spark.createDataFrame(left, "ord int, k int, x double, y double"), spark.createDataFrame(right, "rord int, k int, rx double, ry double").select("k", "rord", "rx", "ry")
+    for strict, bonus in ((True, 0.0), (False, 50.0)):
+        score = lambda p, q: math.hypot(p[2] - q[2], p[3] - q[3]) - bonus * (2 * (q[3] < p[3]) + (q[2] < p[2]))  # noqa: E731, B023
+        near_ = lambda d: d < 60 if strict else d <= 60  # noqa: E731, B023
+        placed = lambda p: None not in p[1:]
+        want = {p[0]: min(((score(p, q), q[0]) for q in right if placed(p) and placed(q) and near_(math.hypot(p[2] - q[2], p[3] - q[3]))), default=(None, None))[1] for p in left}
+        value = c("dist") - bonus * (2 * (c("ry") < c("y")).cast("int") + (c("rx") < c("x")).cast("int"))
+        got = near.nearest(a, b, ["k"], ["ord"], 60.0, value, strict=strict, under=3 * bonus)
+        assert {r.ord: r.rord for r in got.collect()} == want
+    # 8,000 rows at one place on both sides: 64e6 pairs if each row were asked
+    pairs, join = [], near.grid_join
+    monkeypatch.setattr(near, "grid_join", lambda *args: pairs.append(join(*args)) or pairs[-1])
+    crowd = spark.range(8_000).select(F.lit(1).alias("k"), c("id").alias("ord"), F.lit(5.0).alias("x"), F.lit(5.0).alias("y"))
+    got = near.nearest(crowd, crowd.select("k", c("ord").alias("rord"), c("x").alias("rx"), c("y").alias("ry")), ["k"], ["ord"], 60.0, under=0.0)
+    assert got.filter("rord = 0 and dist = 0").count() == 8_000 and sum(p.count() for p in pairs) == len(pairs)
