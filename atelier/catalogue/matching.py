@@ -313,7 +313,7 @@ SELECT l_orderkey AS o_orderkey, section AS code, array_to_string(list_sort(list
 def spec_sections(t):
     from ..operators.keep import keep_first
 
-    first = keep_first(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"])
+    first = keep_first(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"], ["l_orderkey"])
     code = F.concat(F.lit("TITRE "), "l_linenumber", F.lit("\nSection 09  "), F.lpad((c("l_partkey") % 100).cast("string"), 2, "0"), F.lit(" "), F.lpad((c("l_suppkey") % 100).cast("string"), 2, "0"), F.lit("\ncorps"))
     more = F.concat(F.lit("\nSection 10 "), F.lpad((c("l_suppkey") % 100).cast("string"), 2, "0"), F.lit(" 13 fin"))
     page = F.concat(F.lit("--- Page "), "l_linenumber", F.lit(" ---\n"), F.when(c("l_quantity") > 25, code).otherwise("suite"), F.when(c("l_quantity") > 40, more).otherwise(""))
@@ -345,7 +345,7 @@ SELECT l_orderkey, code, title, array_to_string(about, ' | ') AS context, '09' A
 def code_references(t):
     from ..operators.keep import keep_first
 
-    first = keep_first(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"])
+    first = keep_first(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"], ["l_orderkey"])
     made = F.when(c("l_quantity") > 30, F.concat(F.lit("TITRES "), "l_linenumber")).when(c("l_quantity") > 12, F.concat(F.lit("section 09 9"), (c("l_partkey") % 3).cast("string"), F.lit(" 00 suit"))).otherwise("no")
     blocks = first.select("l_orderkey", F.lit(1).alias("page"), c("l_linenumber").alias("ord"), made.alias("text"), F.lit(0.0).alias("x0"), c("l_linenumber").cast("double").alias("y0"), F.lit(10.0).alias("size"), F.lit(False).alias("bold"))
     return books.code_references(blocks, ["l_orderkey"]).select("l_orderkey", "code", "title", "context", "division")

@@ -15,8 +15,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
 
 
-def keep_first(df: DataFrame, keys: list, order: list) -> DataFrame:
-    """The first row of each key in a total order (the planner bounds the rows of a key before it sorts)."""
+def keep_first(df: DataFrame, keys: list, order: list, by: list | None = None) -> DataFrame:
+    """The first row of each key in a total order (the planner bounds the rows of a key before it sorts).
+
+    ``by``: some of the keys, for a table of many keys with few rows each; its rows are dealt by them first, so that a task
+    sorts its share alone and not a whole split of the input, of which next to nothing would be left out.
+    """
+    df = df.repartition(*by) if by else df
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 

@@ -108,10 +108,12 @@ def header_parts(pages: DataFrame, keys: list[str]) -> DataFrame:
 
     The title is the line above the header, unless that is a page number or a running head.
     """
-    pieces = F.split("text", f"(?={fixed.HEADER})")
-    parts = pages.select(*keys, "page", F.posexplode(pieces).alias("n", "text"))
+    cut = pages.select(*keys, "page", F.split("text", f"(?={fixed.HEADER})").alias("_pieces"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("_pieces", 1, F.size("_pieces") - 1))
+    each = F.zip_with("_pieces", before, lambda x, y: F.struct(x.alias("text"), y.alias("above")))
+    parts = cut.select(*keys, "page", F.posexplode(each).alias("n", "_part")).select(*keys, "page", "n", "_part.*")
     code = F.regexp_replace(F.nullif(F.regexp_extract("text", f"^{fixed.HEADER}", 1), F.lit("")), r"\s+", " ")
-    above = F.lag("text").over(Window.partitionBy(*keys, "page").orderBy("n"))
+    above = F.col("above")
     lines = F.split(F.regexp_replace(above, r"\n[^\n]*\z", ""), "\n", -1)
     line = F.when(F.contains(above, F.lit("\n")), F.regexp_replace(F.element_at(lines, -1), r"(?U)^\s+|\s+$", ""))
     title = F.when(code.isNotNull() & (line != "") & ~line.rlike(fixed.NO_TITLE), line)

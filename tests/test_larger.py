@@ -94,3 +94,15 @@ def test_nearest_in_a_crowd_equals_loops_and_asks_each_place_once(spark, monkeyp
     crowd = spark.range(8_000).select(F.lit(1).alias("k"), c("id").alias("ord"), F.lit(5.0).alias("x"), F.lit(5.0).alias("y"))
     got = near.nearest(crowd, crowd.select("k", c("ord").alias("rord"), c("x").alias("rx"), c("y").alias("ry")), ["k"], ["ord"], 60.0, under=0.0)
     assert got.filter("rord = 0 and dist = 0").count() == 8_000 and sum(p.count() for p in pairs) == len(pairs)
+
+
+def test_pages_are_dealt_before_they_are_sorted_and_parts_need_no_window(spark):
+    from atelier.operators import sections
+
+    plan = QUERIES["spec_sections"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    lowest = plan[plan.index("Repartition") if "Repartition" in plan else plan.rindex("Exchange hashpartitioning") :]
+    assert "WindowGroupLimit" not in lowest and "WindowGroupLimit" in plan
+    pages = spark.createDataFrame([(1, 1, "UN\nSection 09 91 00 a\nDEUX\nSection 10 28 13")], "k int, page int, text string")
+    parts = sections.header_parts(pages, ["k"])
+    assert [(r.n, r.code, r.title) for r in parts.orderBy("n").collect()] == [(0, None, ""), (1, "09 91 00", "UN"), (2, "10 28 13", "DEUX")]
+    assert "Window" not in parts._jdf.queryExecution().optimizedPlan().toString()
