@@ -110,3 +110,18 @@ def test_a_step_of_training_equals_plain_loops():
                         gw[j, :, f] += held[d][1][places[d][n] + j] * g
         big = np.abs(gw) > 1e-4  # a step divides by the gradient's size, so rounding shows where that is near nothing
         assert np.allclose(got.w[i][big], step(net.w[i], gw)[big], atol=2e-3) and np.allclose(got.b[i], step(net.b[i], gb), atol=2e-3)
+
+
+def test_all_labelled_rows_are_learnt_in_parts_whatever_their_length(spark, monkeypatch):
+    docs, labels = corpus(spark, 2400)
+    # a word that only rows of more than 20,000 bytes tell of
+    docs = docs.union(spark.createDataFrame([(i, "plain words " * 2_000 + ("qqxyz" if i % 2 else "fine"), "en") for i in range(10_000, 10_060)], docs.schema))
+    labels = labels.union(spark.createDataFrame([(i, i % 2) for i in range(10_000, 10_060)], labels.schema))
+    tables, write = {}, tox.Scratch.table
+    monkeypatch.setattr(tox.Scratch, "table", lambda self, df, name: tables.setdefault(name, write(self, df, name)))
+    net, cuts = tox.fit(spark, docs, labels, part_rows=600)
+    wanted = labels.filter(f"not ({tox.HELD_OUT})").count()
+    assert tables["labelled"].count() == wanted and tables["learnt"].select("part").distinct().count() > 2
+    assert tables["learnt"].count() == tables["labelled"].filter("not tested").count() > 0.7 * wanted
+    held = tox.scored(spark, docs, net, cuts).filter(tox.HELD_OUT).join(labels, "doc_id").collect()
+    assert sum(r.predicted == r.toxic for r in held) / len(held) >= 0.9
