@@ -290,3 +290,32 @@ def test_signatures_of_very_many_texts_stay_where_they_are(spark, monkeypatch):
     assert hot >= 200
     got = {r.doc_id: r for r in ss.repeated_passages(spark, spark.createDataFrame(rows, "doc_id long, text string").withColumns({"spans": ss.F.lit(1), "sid": ss.F.lit(2), "key": ss.F.lit(3)})).collect()}
     assert all(got[i].class_id == 0 and got[i].spans for i in range(200)) and all(got[1000 + i].spans == [] for i in range(20))
+
+
+def test_all_ways_of_counting_agree(monkeypatch):
+    """Texts of runs of words and texts that hold forms: one product for all windows, shift by shift, and loops."""
+    rnd = random.Random(61)
+    kinds = words(rnd, 6)
+    cases = []
+    for _ in range(6):
+        run = lambda: sum(([rnd.choice(kinds)] * rnd.randint(20, 60) for _ in range(3)), []) + words(rnd, 10)
+        cases.append((run(), run()))
+    variants, again = records(rnd)
+    cases.append((sum(variants, []) + ["a"] * 60, words(rnd, 30) + again + ["a"] * 50))
+    for a, b in cases:
+        x, y = numbered(a, b)
+        want = covered(windows_by_loops(x, y), len(x)), covered(windows_by_loops(y, x), len(y))
+        for cells in (0, 10**9):
+            monkeypatch.setattr(ss, "FEW_PLACES", 0)
+            monkeypatch.setattr(ss, "CELLS", cells)
+            assert all((g == w).all() for g, w in zip(ss.passages(x, y), want, strict=True))
+
+
+def test_what_a_text_has_covered_is_kept_and_links_are_still_found():
+    rng = np.random.default_rng(3)
+    base = rng.integers(1, 10**9, 80).astype(np.uint64)
+    near = base.copy()
+    near[40] = 7
+    texts = [ss._Text(np.concatenate((rng.integers(10**10, 10**12, 30).astype(np.uint64), v))) for v in (base, base, near)]
+    assert ss.linked(texts[0], texts[1]) and ss.linked(texts[0], texts[2]) and ss.linked(texts[1], texts[2])
+    assert all(t.words[30:].all() and not t.words[:24].any() for t in texts)
