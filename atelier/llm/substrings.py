@@ -9,16 +9,18 @@ Tokens are five-word shingles; a passage is a window of 50 words, 46 shingles.
 2. Interval joins.  Six hash functions give three pairs of trees; the intervals of a pair are joined to the
    overlaps that share both signatures.  Texts that hold overlaps of one pair of signatures are a region.
 3. Regions of ``SMALL`` texts or fewer compare all.  In a larger one each text is compared with the least text that
-   agrees on the other hashes, these with the least of all, and each with its next neighbours; then, in rounds, with the text of the region that has most links so far and was not taken before.
+   agrees on the other hashes, these with the least of all, and each with its next neighbours; then, in rounds, with the text of the region that has most links so far and was not taken before, and last all pairs that can still add something.
 4. Exact passages don't rest on regions: every window of 46 shingles is also grouped by a hash of its sequence,
    and all texts of a group are compared with its least, which holds that passage too.
 5. Every comparison is verified on whole texts: a passage of x counts where 41 of the 46 shingles of a window are in
    the aligned window of y and the other way round (a Jaccard similarity of 0.8 where none repeats).
 
 An exact passage of 50 words is always found.  A passage at similarity 0.8 comes into a common region with
-probability 0.95 for a single window (longer passages have many).  In a region of more than ``SMALL`` texts a link
-is missed only where neither text is a text of most links, a least text or a neighbour of the other in any region
-that both are in; the README has measured recall.
+probability 0.95 for a single window (longer passages have many).  What the rounds leave of a large region is compared
+as well: all pairs of its texts but those that can't add anything, because the shingles of no window of one of them are
+in other texts of the region as often as a similar window needs, or because both are of one class and all such windows
+of both are covered.  So classes and spans are those of comparing all pairs of every region; n_links counts, and
+partners lists, the pairs that were compared, and copies of a passage that a class already holds are not all paired.
 
 A signature that very many texts of one task share is not gathered: its texts meet the least of them there, and
 only those travel on (``HOT``); the number of buckets grows with the data.
@@ -39,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, extended
 from .jaccard import BROADCAST_ROWS, BUCKET_BYTES, compared
 from .scratch import Scratch, partitions
 from .textkit import U, Words, _power, buffers, mix, spans, tidy, windows
@@ -126,27 +128,32 @@ def interval_join(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndar
     return a[0][np.searchsorted(a[1], first, "right") - 1], b[0][np.searchsorted(b[1], first, "right") - 1], first, last
 
 
-def signatures(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, region key, agreement on the other hashes) of every interval of starts that shares a pair of signatures."""
-    none = np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.uint32)
+def regions(x: np.ndarray, at: np.ndarray):
+    """For each pair of hashes: (its number, places of all minima, text, region key, first start, last start) of every interval of starts that shares a pair of signatures."""
     if len(x) < T:
-        return none
+        return
     n = len(x) - T + 1
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))[:n]
-    ok = at[1:][text] - np.arange(n) >= T
+    end = at[1:][text] - T
     place = [minima(x, s) for s in SALTS]
     trees = [compact_windows(p, text) for p in place]
-    low = [(mix(x[p] ^ s) & U(255)).astype(np.uint32) for p, s in zip(place, SALTS)]
-    out = []
     for k in range(0, len(SALTS), 2):
-        one, two, start, _ = interval_join(trees[k], trees[k + 1])
-        good = ok[start]  # windows that cross into the next text belong to neither
+        one, two, start, last = interval_join(trees[k], trees[k + 1])
+        good = end[start] >= start  # windows that cross into the next text belong to neither
         one, two, i = one[good], two[good], start[good]
         key = mix(mix(x[one] ^ SALTS[k]) * U(0x9E3779B97F4A7C15) + mix(x[two] ^ SALTS[k + 1]) + U(k))
+        yield k, place, text[i], key, i, np.minimum(last[good], end[i])
+
+
+def signatures(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, region key, agreement on the other hashes) of every interval of starts that shares a pair of signatures."""
+    out, low = [(np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.uint32))], None
+    for k, place, text, key, i, _ in regions(x, at):
+        low = [(mix(x[p] ^ s) & U(255)).astype(np.uint32) for p, s in zip(place, SALTS)] if low is None else low
         rest = np.zeros(len(i), np.uint32)
         for j, v in enumerate(v for m, v in enumerate(low) if m not in (k, k + 1)):
             rest |= v[i] << np.uint32(8 * j)
-        out.append((text[i], key, rest))
+        out.append((text, key, rest))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -204,7 +211,9 @@ def _windows(n_buckets: int, turn: int = 0):
                 if len(x):
                     yield _rows(a=x, b=y)
                 yield _rows(a=s, key=k)
-                key, sid, rest = (np.concatenate((c[~hot], d[lead])) for c, d in ((key, k), (sid, s), (rest, r)))
+                # enough of them that the region is large there too, so that texts of other tasks are rows of it as well
+                on = lead | (np.arange(len(k)) - np.repeat(h, n) <= SMALL)
+                key, sid, rest = (np.concatenate((c[~hot], d[on])) for c, d in ((key, k), (sid, s), (rest, r)))
             bucket = (key % U(n_buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]))
@@ -273,6 +282,116 @@ def _pairs(batches):
             yield _rows(a=x[lo : lo + 100_000], b=y[lo : lo + 100_000]).select(["a", "b", "key"])
 
 
+def _open_windows(n_buckets: int):
+    """Blobs by bucket of the intervals of texts in their large regions: key, text, component, shingles, and which windows have a word that is not covered."""
+
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            key, sid, label, n, x, free = (np.concatenate(c) for c in zip(*held))
+            bucket = (key % U(n_buckets)).astype(np.int32)
+            ends = np.cumsum(n)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                i = order[a:b]
+                at = np.repeat(ends[i] - np.cumsum(n[i]), n[i]) + np.arange(n[i].sum())
+                blob = b"".join(c.tobytes() for c in (np.array([len(i), len(at)], np.int64), key[i], sid[i], label[i], n[i], x[at], free[at]))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[i[:1]]), pa.array([blob], pa.binary())], names=["bucket", "blob"])
+
+        for batch in batches:
+            sids, labels = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("sid", "label"))
+            keys, covered = batch.column("keys").to_pylist(), batch.column("spans").to_pylist()
+            for first, m, x, at, _ in sequences(batch.column("text")):
+                free = np.zeros(len(x), bool)
+                for d in range(m):
+                    words = np.zeros(at[d + 1] - at[d] + K - 1, bool)
+                    for span in covered[first + d] or []:
+                        words[span["lo"] : span["hi"]] = True
+                    left = np.concatenate(([0], np.cumsum(~words)))
+                    own = left[PASSAGE:] > left[:-PASSAGE]
+                    free[at[d] : at[d] + len(own)] = own
+                mine = np.unique(np.array([mix_key(k, first + d) for d in range(m) for k in keys[first + d]], U))
+                for _, _, text, key, lo, hi in regions(x, at):
+                    at_home = mix(key ^ (first + text).astype(U))
+                    hot = np.isin(at_home, mine)
+                    text, key, lo, n = text[hot], key[hot], lo[hot], hi[hot] - lo[hot] + T
+                    i = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    held.append((key, sids[first + text], labels[first + text], n, x[i], free[i]))
+                    size += len(i)
+                    if size > FLUSH:
+                        yield from flush()
+                        held, size = [], 0
+        if size:
+            yield from flush()
+
+    return run
+
+
+def mix_key(key: int, row: int) -> np.uint64:
+    return mix(np.array([key], np.int64).view(U) ^ U(row))[0]
+
+
+def _rest(batches):
+    """Pairs of large regions that can still add something: windows of both have ``NEED`` of their shingles in other texts of
+    the region, and the texts are of different components or one has such a window that is not covered."""
+    parts = []
+    for batch in batches:
+        for blob in batch.column("blob").drop_null():
+            raw, at, part = blob.as_buffer(), 16, []
+            m, k = np.frombuffer(raw, np.int64, 2).tolist()
+            for kind, count in ((U, m), (np.int64, m), (np.int64, m), (np.int64, m), (U, k), (bool, k)):
+                part.append(np.frombuffer(raw, kind, count, at))
+                at += count * np.dtype(kind).itemsize
+            parts.append(part)
+    if not parts:
+        return
+    key, sid, label, n, x, free = (np.concatenate(c) for c in zip(*parts))
+    del parts
+    # shingles that several texts of a region hold
+    value, owner = mix(x ^ np.repeat(mix(key), n)), np.repeat(sid, n)
+    order = np.lexsort((owner, value))
+    v, o = value[order], owner[order]
+    head = np.concatenate(([True], v[1:] != v[:-1]))
+    first = np.flatnonzero(head)
+    several = np.maximum.reduceat(o, first) != np.minimum.reduceat(o, first)
+    shared = np.zeros(len(x), bool)
+    shared[order] = several[np.cumsum(head) - 1]
+    so_far = np.concatenate(([0], np.cumsum(shared)))
+    ends = np.cumsum(n)
+    start = np.repeat(ends - n, n - T + 1) + np.arange((n - T + 1).sum()) - np.repeat(np.cumsum(n - T + 1) - (n - T + 1), n - T + 1)
+    rich = so_far[start + T] - so_far[start] >= NEED
+    each = np.cumsum(n - T + 1) - (n - T + 1)
+    able, open_ = np.logical_or.reduceat(rich, each), np.logical_or.reduceat(rich & free[start], each)
+    key, sid, label, open_ = key[able], sid[able], label[able], open_[able]
+    order = np.lexsort((~open_, sid, key))  # a text once in a region, open if one of its intervals is
+    key, sid, label, open_ = (c[order] for c in (key, sid, label, open_))
+    new = np.concatenate(([True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1]))) if len(key) else np.zeros(0, bool)
+    key, sid, label, open_ = key[new], sid[new], label[new], open_[new]
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    a, b, size = [], [], 0
+    for lo, hi in zip(head, np.append(head[1:], len(key))):
+        s, c, o = sid[lo:hi], label[lo:hi], open_[lo:hi]
+        one = (c == c[0]).all()
+        for i in np.flatnonzero(o) if one else range(len(s)):
+            with_ = np.arange(len(s)) != i if o[i] else (c != c[i]) & ~o
+            with_[: i + 1] &= ~o[: i + 1] if o[i] else False
+            a.append(np.full(int(with_.sum()), s[i]))
+            b.append(s[with_])
+            size += len(b[-1])
+            if size > FLUSH:
+                yield from _few_pairs(a, b)
+                a, b, size = [], [], 0
+    yield from _few_pairs(a, b)
+
+
+def _few_pairs(a: list, b: list):
+    if a:
+        for rows in _pair_rows(np.concatenate(a), np.concatenate(b)):
+            yield rows.select(["a", "b"])
+
+
 def _sequences(n_buckets: int, turn: int = 0):
     """Every window of T shingles: blobs of (texts, 40 bits of its hash, place of its text) by bucket; pairs of texts that meet here."""
 
@@ -695,7 +814,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
     hot = scratch.table(similar.filter("key is not null").select("key", F.col("a").alias("sid")).distinct(), "hot")
     sids = points.select(F.col("f1").alias("sid"), "tkey")
     out = compared(scratch, pairs, sids, texts, "passages", _compare, SPANS)
-    for k in range(ROUNDS if hot.limit(1).count() else 0):
+    large = hot if hot.limit(1).count() else None
+    for k in range(ROUNDS if large is not None else 0):
         # large regions meet their text of most links, another one in each round
         links = out.filter("a is not null").select("a", "b").distinct()
         degree = links.select(F.col("a").alias("sid")).union(links.select("b")).groupBy("sid").agg(F.count("*").alias("n"))
@@ -710,8 +830,22 @@ def repeated_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
             continue
         more = compared(scratch, star, sids, texts, f"more-{k}", _compare, SPANS)
         pairs, out = pairs.unionByName(star), out.unionByName(more)
+    labels = components(scratch, out.filter("a is not null").select("a", "b"), "cc")
+    if large is not None:
+        # what the rounds leave of large regions: all pairs that can still add a link between components or a covered word
+        of_text = large.groupBy("sid").agg(F.collect_set("key").alias("keys")).join(sids, "sid")
+        covered = out.filter("sid is not null").select("sid", F.struct("lo", "hi").alias("s")).groupBy("sid").agg(F.collect_set("s").alias("spans"))
+        known = of_text.join(covered, "sid", "left").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "keys", "spans", "tkey", F.coalesce("label", "sid").alias("label"))
+        known = scratch.table(known, "known")
+        with_text = scratch.table(texts.join(known.select("tkey"), "tkey", "left_semi").groupBy("tkey").agg(F.first("text").alias("text")).join(known, "tkey").select("sid", "text", "label", "keys", "spans"), "known-texts")
+        blobs = with_text.mapInArrow(tidy(_open_windows(buckets)), "bucket int, blob binary").repartition(buckets, "bucket")
+        rest = scratch.table(blobs.mapInArrow(tidy(_rest), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
+        scratch.drop("known-texts")
+        if rest.limit(1).count():
+            more = compared(scratch, rest, sids, texts, "more-rest", _compare, SPANS)
+            labels = extended(scratch, labels, more.filter("a is not null").select("a", "b"), "cc-rest")
+            out = out.unionByName(more)
     links = scratch.table(out.filter("a is not null").select("a", "b").distinct(), "links")
-    labels = components(scratch, links, "cc")
     spans_of = out.filter("sid is not null").select("sid", F.struct("lo", "hi").alias("s")).distinct().groupBy("sid").agg(F.array_sort(F.collect_list("s")).alias("spans"))
     spans_of = spans_of.select("sid", joined_spans().alias("spans"))
     least = points.groupBy(F.col("f1").alias("sid")).agg(F.min("least_id").alias("least_id"))

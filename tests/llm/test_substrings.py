@@ -319,3 +319,15 @@ def test_what_a_text_has_covered_is_kept_and_links_are_still_found():
     texts = [ss._Text(np.concatenate((rng.integers(10**10, 10**12, 30).astype(np.uint64), v))) for v in (base, base, near)]
     assert ss.linked(texts[0], texts[1]) and ss.linked(texts[0], texts[2]) and ss.linked(texts[1], texts[2])
     assert all(t.words[30:].all() and not t.words[:24].any() for t in texts)
+
+
+def test_large_regions_lose_no_class_and_no_span(spark):
+    """Pairs whose passages of 50 words are a phrase of all texts, six words of the pair and the last one changed: most are in large regions alone."""
+    rnd = random.Random(71)
+    phrase, texts = words(rnd, 44), []
+    for _ in range(100):
+        own = words(rnd, 6)
+        texts += [" ".join(words(rnd, 30) + phrase + own[:5] + last + words(rnd, 30)) for last in (own[5:], ["changed"])]
+    got = {r.doc_id: r for r in ss.repeated_passages(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [i for i in range(200) if got[i].class_id != i - i % 2] == []
+    assert [i for i in range(200) if i ^ 1 not in got[i].partners or not any(s.lo <= 30 and s.hi >= 80 for s in got[i].spans)] == []
