@@ -106,3 +106,15 @@ def test_pages_are_dealt_before_they_are_sorted_and_parts_need_no_window(spark):
     parts = sections.header_parts(pages, ["k"])
     assert [(r.n, r.code, r.title) for r in parts.orderBy("n").collect()] == [(0, None, ""), (1, "09 91 00", "UN"), (2, "10 28 13", "DEUX")]
     assert "Window" not in parts._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_are_split_and_only_long_ones_searched(spark):
+    """Tokens equal those of the pattern for words of any length, blanks at the ends, empty and null texts."""
+    long_, longer = "x" * 64, "".join(chr(97 + i % 26) for i in range(200))
+    texts = ["", None, "  ", f" a b\t{long_} {longer}\n{long_}y \U0001f600{long_} ", "no long one here here", longer]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string")
+    by_pattern = F.array_distinct(F.regexp_extract_all("t", F.lit(within.WORD), F.lit(1)))
+    got = df.select(F.array_sort(within.tokens(F.col("t"), F.lit(False), F.lit(False))).alias("a"), F.array_sort(by_pattern).alias("b")).collect()
+    assert all(r.a == r.b for r in got) and len(got[3].a) > 6
+    plan = df.select(within.tokens(F.col("t"), F.lit(False), F.lit(False)))._jdf.queryExecution().toString()
+    assert "array_max(" in plan  # the pattern is asked behind the length of the longest word
