@@ -331,3 +331,36 @@ def test_large_regions_lose_no_class_and_no_span(spark):
     got = {r.doc_id: r for r in ss.repeated_passages(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert [i for i in range(200) if got[i].class_id != i - i % 2] == []
     assert [i for i in range(200) if i ^ 1 not in got[i].partners or not any(s.lo <= 30 and s.hi >= 80 for s in got[i].spans)] == []
+
+
+def test_what_rounds_leave_is_no_square_of_a_region(spark, monkeypatch):
+    """The texts of the last test: each is similar to one other text of its region, and only such pairs are compared at last."""
+    rnd = random.Random(72)
+    phrase, texts, last_pairs = words(rnd, 44), [], []
+    for _ in range(60):
+        own = words(rnd, 6)
+        texts += [" ".join(words(rnd, 30) + phrase + own[:5] + last + words(rnd, 30)) for last in (own[5:], ["changed"])]
+    compared = ss.compared
+
+    def counted(scratch, pairs, points, held, name, *how):
+        if name == "more-rest":
+            last_pairs.append(pairs.distinct().count())
+        return compared(scratch, pairs, points, held, name, *how)
+
+    monkeypatch.setattr(ss, "compared", counted)
+    monkeypatch.setattr(ss, "ROUNDS", 1)
+    got = {r.doc_id: r for r in ss.repeated_passages(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum(last_pairs) <= len(texts)
+    assert [i for i in range(120) if got[i].class_id != i - i % 2 or not any(s.lo <= 30 and s.hi >= 80 for s in got[i].spans)] == []
+
+
+def test_a_window_meets_a_copy_of_its_own_texts_other_window():
+    """One text holds a passage and a variant of it, another the variant alone: both hold it word for word, and so the first's passage is similar to the other's."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(1, 10**9, 60).astype(np.uint64)
+    near = base.copy()
+    near[30] = 7
+    covered_, free = np.zeros(15, bool), np.ones(15, bool)
+    sid = np.array([1, 1, 2])
+    made = list(ss._additions(sid, np.array([1, 1, 1]), [base, near, near], [free, covered_, covered_]))
+    assert [(int(a), int(b)) for a, b in made] == [(1, 2)]
