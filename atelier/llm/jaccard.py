@@ -8,7 +8,9 @@ A document is the set of its five-word shingles; documents of one set are one po
    four fifths of its shingles, so replicating x to the regions of its n - ceil(0.8 n) + 1 rarest shingles
    (the window in which the triangle inequality leaves a neighbour possible) puts every linked pair into
    one region at least.
-2. Small regions compare pairs that pass the length and place bounds.
+2. Small regions compare pairs that pass the length and place bounds.  Pairs that share one of their three first
+   shingles by hash are joined by that alone, and left out of the small regions: similar texts share many shingles, and
+   would else be a row of every bucket that holds one of them.
 3. Large regions recur on document pivots: the most central member (least share of rarer shingles) is the
    pivot, every member's distance to it is verified, members within 0.2 are linked through it, and what
    is left goes on to the next pivot.  After the pivots, only pairs of different components whose distances
@@ -50,6 +52,9 @@ BUCKET_BYTES = 64 << 20
 FREED_BYTES = 4 << 20
 K1, K2 = U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB)
 HEAVY = np.uint32(1 << 31)
+#: First shingles of a set by hash.  Pairs that share one, but for those of more than ``LARGE`` sets, are found by it alone and not once more in each bucket.
+FIRST = 3
+HEADS = pa.list_(pa.int64())
 
 
 def fingerprint(x: np.ndarray, turn: int = 0) -> tuple[np.uint64, np.uint64]:
@@ -59,20 +64,21 @@ def fingerprint(x: np.ndarray, turn: int = 0) -> tuple[np.uint64, np.uint64]:
 
 
 def _profile(batches, turn: int = 0):
-    """Rows of documents (fingerprint, size) and of shingles that several sets of this partition hold."""
+    """Rows of documents (fingerprint, size, first shingles by hash) and of shingles that several sets of this partition hold."""
     held, size, seen = [], 0, set()
 
     def counts():
         tok, n = np.unique(np.concatenate(held), return_counts=True)
         tok, n = tok[n >= 2], n[n >= 2]
         none = pa.nulls(len(tok), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(tok), pa.string()), pa.array(tok.view(np.int64)), pa.array(n.astype(np.int64))], names=["doc_id", "f1", "f2", "n", "tkey", "tok", "cnt"])
+        return pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(tok), pa.string()), pa.array(tok.view(np.int64)), pa.array(n.astype(np.int64)), pa.nulls(len(tok), HEADS)], names=["doc_id", "f1", "f2", "n", "tkey", "tok", "cnt", "heads"])
 
     for batch in batches:
         rows = batch.num_rows
-        f1, f2, n = np.zeros(rows, U), np.zeros(rows, U), np.zeros(rows, np.int64)
+        f1, f2, n, heads = np.zeros(rows, U), np.zeros(rows, U), np.zeros(rows, np.int64), [[]] * rows
         for i, x in shingle_sets(batch.column(1)):
             n[i] = len(x)
+            heads[i] = x[:FIRST].view(np.int64)
             if len(x):
                 f1[i], f2[i] = fingerprint(x, turn)
                 if (f1[i], f2[i]) not in seen:
@@ -80,7 +86,7 @@ def _profile(batches, turn: int = 0):
                     held.append(x)
                     size += len(x)
         none = pa.nulls(rows, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array(n), batch.column(2), none, none], names=["doc_id", "f1", "f2", "n", "tkey", "tok", "cnt"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array(n), batch.column(2), none, none, pa.array(heads, HEADS)], names=["doc_id", "f1", "f2", "n", "tkey", "tok", "cnt", "heads"])
         if size > 4 * FLUSH:
             yield counts()
             held, size, seen = [], 0, set()
@@ -88,20 +94,27 @@ def _profile(batches, turn: int = 0):
         yield counts()
 
 
-def _postings(n_buckets, frequent, turn: int = 0):
+def _postings(n_buckets, frequent, crowded, turn: int = 0):
     def run(batches):
         heavy, often = frequent.value
-        seen, held, size = set(), [], 0
+        seen, held, texts, size = set(), [], [], 0
 
         def flush():
-            tok, sid, n, pos = (np.concatenate(x) for x in zip(*held))
+            tok, text, pos = (np.concatenate(x) for x in zip(*held))
+            names, sizes, heads = (np.array(x, t) for x, t in zip(zip(*texts), (U, np.uint32, U)))
+            if crowded.value is None:
+                heads[:] = 0
+            else:
+                heads[np.isin(heads, crowded.value)] = 0
+            sid = names[text]
             bucket = (np.where(pos & HEAVY, mix(sid), tok) % U(n_buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]))
             blobs = []
             for a, b in zip(cuts[:-1], cuts[1:]):
                 at = order[a:b]
-                blobs.append(b"".join(c[at].tobytes() for c in (tok, sid, n, pos)))
+                own, which = np.unique(text[at], return_inverse=True)
+                blobs.append(b"".join(c.tobytes() for c in (np.array([len(at), len(own)], np.int64), tok[at], names[own], heads[own], sizes[own], which.astype(np.uint32), pos[at])))
             for a in range(0, len(blobs), 64):
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[order[cuts[a : min(a + 64, len(blobs))]]]), pa.array(blobs[a : a + 64], pa.binary())], names=["bucket", "blob"])
 
@@ -127,11 +140,12 @@ def _postings(n_buckets, frequent, turn: int = 0):
                     order = np.lexsort((x[hit], often[at[hit]]))[:rest]
                     light = np.concatenate((light, x[hit][order]))
                     pos[m - rest :] |= HEAVY
-                held.append((light, np.full(m, sid), np.full(m, n, np.uint32), pos))
+                held.append((light, np.full(m, len(texts)), pos))
+                texts.append((sid, n, np.append(x[:FIRST], np.zeros(max(0, FIRST - n), U))))
                 size += m
                 if size > FLUSH:
                     yield from flush()
-                    held, size = [], 0
+                    held, texts, size = [], [], 0
         if held:
             yield from flush()
 
@@ -143,21 +157,26 @@ NAMES = ["hot", "tok", "a", "n", "pos", "b", "nb", "shared", "top"]
 
 
 def _regions(batches):
-    """Pairs of small regions; members of large ones as rows."""
-    parts = []
+    """Pairs of small regions that share no first shingle; members of large regions as rows."""
+    parts, before = [], 0
     for batch in batches:
         for blob in batch.column(1):
             raw = blob.as_buffer()
-            k = raw.size // 24
-            parts.append((np.frombuffer(raw, U, k), np.frombuffer(raw, U, k, 8 * k), np.frombuffer(raw, np.uint32, k, 16 * k), np.frombuffer(raw, np.uint32, k, 20 * k)))
+            (k, m), at, part = np.frombuffer(raw, np.int64, 2).tolist(), 16, []
+            for kind, count in ((U, k), (U, m), (U, FIRST * m), (np.uint32, m), (np.uint32, k), (np.uint32, k)):
+                part.append(np.frombuffer(raw, kind, count, at))
+                at += count * np.dtype(kind).itemsize
+            tok, names, heads, sizes, which, pos = part
+            parts.append((tok, names[which], sizes[which], pos, which.astype(np.int64) + before, heads.reshape(m, FIRST)))
+            before += m
     if not parts:
         return
-    tok, sid, n, pos = (np.concatenate(x) for x in zip(*parts))
+    tok, sid, n, pos, text, heads = (np.concatenate(x) for x in zip(*parts))
     del parts
     order = np.lexsort((sid, tok))
-    tok, sid, n, pos = tok[order], sid[order], n[order].astype(np.int64), pos[order]
+    tok, sid, n, pos, text = tok[order], sid[order], n[order].astype(np.int64), pos[order], text[order]
     new = np.concatenate(([True], (tok[1:] != tok[:-1]) | (sid[1:] != sid[:-1])))
-    tok, sid, n, pos = tok[new], sid[new], n[new], pos[new]
+    tok, sid, n, pos, text = tok[new], sid[new], n[new], pos[new], text[new]
     heavy = (pos & HEAVY) > 0
     pos = (pos & ~HEAVY).astype(np.int64)
     head = np.flatnonzero(np.concatenate(([True], tok[1:] != tok[:-1])))
@@ -176,8 +195,12 @@ def _regions(batches):
             x = np.repeat(first + i, s - 1 - i)
             y = (first[:, None] + np.arange(i + 1, s)).ravel()
             ok = 5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y])
-            if ok.any():
+            x, y = x[ok], y[ok]
+            for j in range(FIRST * FIRST):
+                one, two = heads[text[x], j // FIRST], heads[text[y], j % FIRST]
+                ok = (one != two) | (one == 0)
                 x, y = x[ok], y[ok]
+            if len(x):
                 pairs.append((sid[x], sid[y], n[x], n[y], np.minimum(n[x] - pos[x], n[y] - pos[y])))
     if pairs:
         a, b, na, nb, top = (np.concatenate(c) for c in zip(*pairs))
@@ -275,9 +298,9 @@ def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
     wide = docs.select("doc_id", "text", F.md5("text").alias("tkey"))
     for turn in range(8):
         profile = lambda batches: _profile(batches, turn)  # noqa: E731, B023
-        raw = scratch.table(wide.mapInArrow(tidy(profile), "doc_id long, f1 long, f2 long, n long, tkey string, tok long, cnt long"), "profile")
+        raw = scratch.table(wide.mapInArrow(tidy(profile), "doc_id long, f1 long, f2 long, n long, tkey string, tok long, cnt long, heads array<long>"), "profile")
         rows = raw.filter("n is not null").drop("tok", "cnt")
-        points = scratch.table(rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("tkey").alias("tkey"), F.min("doc_id").alias("least_id"), F.max("n").alias("n")), "points")
+        points = scratch.table(rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("tkey").alias("tkey"), F.min("doc_id").alias("least_id"), F.max("n").alias("n"), F.first("heads").alias("heads")), "points")
         # sets are known by 64 of their 128 bits: where two differ in the others alone, all take other bits
         about = points.agg(F.count("*"), F.count_distinct("f1"), F.sum(F.col("n") - F.ceil(0.8 * F.col("n")) + 1)).first()
         if about[0] == about[1]:
@@ -292,8 +315,17 @@ def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
     frequent = spark.sparkContext.broadcast((tok[order], top["cnt"].to_numpy()[order]))
 
     sids = points.select(F.col("f1").alias("sid"), "tkey")
+    heads = points.select(F.col("f1").alias("sid"), "n", F.explode("heads").alias("tok")).filter("tok <> 0")
+    members = scratch.table(heads.groupBy("tok").agg(F.count("*").alias("members")).filter("members > 1"), "heads")
+    # each has more than LARGE sets, so there are few; of more than FREQUENT_MOST no head is used
+    crowd = members.filter(F.col("members") > LARGE).select("tok").limit(FREQUENT_MOST + 1).toArrow()["tok"].to_numpy().view(U)
+    if len(crowd) > FREQUENT_MOST:
+        members, crowd = members.filter("false"), None
+    held = heads.join(members.filter(F.col("members") <= LARGE).select("tok"), "tok")
+    ahead = held.toDF("tok", "a", "na").join(held.toDF("tok", "b", "nb"), "tok").filter("a < b and 5 * least(na, nb) >= 4 * greatest(na, nb)").select("a", "b")
+    crowded = spark.sparkContext.broadcast(crowd)
     n_buckets = max(partitions(spark), math.ceil(24 * (about[2] or 0) / BUCKET_BYTES))
-    blobs = docs.select("text").mapInArrow(tidy(_postings(n_buckets, frequent, turn)), "bucket int, blob binary").repartition(n_buckets, "bucket")
+    blobs = docs.select("text").mapInArrow(tidy(_postings(n_buckets, frequent, crowded, turn)), "bucket int, blob binary").repartition(n_buckets, "bucket")
     found = scratch.table(blobs.mapInArrow(tidy(_regions), FOUND), "found")
 
     hot = scratch.table(found.filter("hot").select("tok", F.col("a").alias("sid"), "n", "pos"), "hot")
@@ -309,7 +341,7 @@ def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
     pivots = scratch.table(pivots, "pivots")
     pivots = F.broadcast(pivots) if pivots.count() <= BROADCAST_ROWS else pivots  # a row for each large region
     star = hot.join(pivots, "tok").filter("sid <> pivot and 5 * least(n, pn) >= 4 * greatest(n, pn)").select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
-    checked = verified(scratch, small.unionByName(star), sids, texts, "first")
+    checked = verified(scratch, small.unionByName(ahead).unionByName(star), sids, texts, "first")
     labels = components(scratch, checked.filter(LINK).select("a", "b"), "cc0")
     for k in range(1, PIVOT_ROUNDS + 1):
         if not hot.limit(1).count():

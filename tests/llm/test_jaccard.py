@@ -75,3 +75,24 @@ def test_null_ids_repeated_rows_and_clashing_columns(spark):
 
 def test_empty_table(spark):
     assert jaccard.jaccard_components(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_similar_texts_are_no_row_of_every_bucket(spark, monkeypatch):
+    """Families about the threshold: a pair comes once or a few times to be compared, however many buckets there are."""
+    rnd = random.Random(5)
+    rows = []
+    for _ in range(12):
+        base = ["".join(rnd.choice("abcdefg") for _ in range(6)) for _ in range(200)]
+        rows += [edited(rnd, base, 0.02) for _ in range(8)]
+    rows, found, table = list(enumerate(rows)), [], jaccard.Scratch.table
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        found.extend([out.filter("not hot").count()] if name == "found" else [])
+        return out
+
+    monkeypatch.setattr(jaccard.Scratch, "table", counted)
+    monkeypatch.setattr(jaccard, "partitions", lambda spark: 40)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+    assert sum(found) <= 12 * 28
