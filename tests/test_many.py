@@ -69,6 +69,13 @@ def test_many_searches_get_what_each_gets(spark, monkeypatch):
     assert questions.search_many(entries, table.limit(0)).count() == 0 and questions.search_many(entries.limit(0), table).count() == 0
 
 
+def test_words_of_a_question_are_read_once(spark):
+    rows = spark.createDataFrame([("wc de la classe",)], "q string")
+    for terms in (questions.terms_of, questions.gold_terms_of):
+        plan = rows.select(terms(c("q")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1
+
+
 def test_many_keys_get_what_each_gets(spark):
     keys = ["A-101", "a-102", "A-1010", "B-7", "béton", "", None, "09 91 00"]
     asked = ["A-101", "a-1", "LOCAL B-7 EST", "BÉTON armé", "zz", "", None, "91", "A-102", "A-10"]
