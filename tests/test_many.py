@@ -69,6 +69,28 @@ def test_many_searches_get_what_each_gets(spark, monkeypatch):
     assert questions.search_many(entries, table.limit(0)).count() == 0 and questions.search_many(entries.limit(0), table).count() == 0
 
 
+def test_few_terms_are_looked_for_in_one_scan(spark, monkeypatch):
+    def no_postings(*a, **b):
+        raise AssertionError("postings of few terms")
+
+    monkeypatch.setattr(questions, "held", no_postings)
+    monkeypatch.setattr(questions, "BITS", 5)
+    monkeypatch.setattr(questions, "PART", 2)
+    rng = random.Random(7)
+    words = ["salle", "wc", "classe", "salle de bain", "101", "x", "éa", "classes", ""]
+    rows = [(k, "  ".join(rng.choices(words, k=k % 6)), rng.choice(["classe", "WC", None, "la classe"]), rng.choice(["101", "x", "", None])) for k in range(150)]
+    entries = spark.createDataFrame(rows, "id int, search_text string, name string, number string").cache()
+    asked = ["classe 101", "wc", "", "toilette x", "zzz", "salle de", "éa x 101 classes", None, "wc", "porte fenêtre superficie corridor rangement dimension"]
+    table = spark.createDataFrame(list(enumerate(asked)), "qid int, question string")
+    for limit in (3, 200):
+        got = {}
+        for r in questions.search_many(entries, table, limit=limit, tie=("id",)).orderBy("qid", "rank").collect():
+            got.setdefault(r.qid, []).append((r.rank, r.id, r.score))
+        for k, q in enumerate(asked):
+            want = [] if q is None else [(i + 1, r.id, r.score) for i, r in enumerate(search.search(entries, q, limit=limit, tie=("id",)).collect())]
+            assert got.get(k, []) == want, q
+
+
 def test_words_of_a_question_are_read_once(spark):
     rows = spark.createDataFrame([("wc de la classe",)], "q string")
     for terms in (questions.terms_of, questions.gold_terms_of):
